@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymark.schema import same_keys
+from daymark.schema import join_keys
 
 
 def exact_quantiles(
@@ -45,16 +45,8 @@ def exact_quantiles(
         F.percentile_approx("_v", steps, F.lit(ranges * 20)).alias("_cuts"),
         F.sum("_n").alias("_total"),
     )
-    ranged = (
-        counts.join(cuts, same_keys(counts, cuts, keys))
-        .select(
-            *[counts[k] for k in keys],
-            "_v",
-            "_n",
-            "_total",
-            F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_range"),
-        )
-    )
+    place = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
+    ranged = join_keys(counts, cuts, keys).select(*keys, "_v", "_n", "_total", place.alias("_range"))
 
     # At most `ranges` rows per group reach this window.
     along = Window.partitionBy(*keys).orderBy("_range")
@@ -72,8 +64,7 @@ def exact_quantiles(
 
     inside = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     placed = (
-        ranged.join(edges, same_keys(ranged, edges, keys) & (ranged["_range"] == edges["_range"]))
-        .select(*[ranged[k] for k in keys], ranged["_range"], "_v", "_n", "_total", "_start")
+        join_keys(ranged, edges, [*keys, "_range"])
         .withColumn("_to", F.col("_start") + F.sum("_n").over(inside))
         .withColumn("_from", F.col("_to") - F.col("_n"))
     )

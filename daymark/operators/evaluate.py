@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions import errors
 from daymark.functions.quantiles import exact_quantiles
-from daymark.schema import HORIZON, PREDICTION, in_schema, same_keys
+from daymark.schema import HORIZON, PREDICTION, in_schema, join_keys
 
 ALPHA = 0.05
 
@@ -73,13 +73,9 @@ def conformal_calibration(
     scores = exact_quantiles(df, residual, [1 - alpha], by, names=["residual_quantile"])
     widths = df.groupBy(*by).agg(errors.interval_width("lower_bound", "upper_bound").alias("mean_width"))
     factor = F.try_divide(F.col("residual_quantile"), F.col("mean_width") / 2)
-    if not by:
-        # Two one-row tables meet on a constant key.
-        joined = scores.withColumn("_k", F.lit(0)).join(widths.withColumn("_k", F.lit(0)), "_k")
-    else:
-        joined = scores.join(widths, same_keys(scores, widths, by))
-        for key in by:
-            joined = joined.drop(widths[key])
+    if not by:  # two one-row tables meet on a constant key
+        scores, widths = (side.withColumn("_k", F.lit(0)) for side in (scores, widths))
+    joined = join_keys(scores, widths, by or ["_k"])
     return joined.select(*by, "residual_quantile", "mean_width", factor.alias("correction_factor"))
 
 
@@ -138,10 +134,7 @@ def prediction_summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     # Medians over groups of any size: exact, without holding a group in one task.
     for column, name in (("point_prediction", "median_prediction"), ("_width", "median_interval_width")):
         medians = exact_quantiles(spread, column, [0.5], keys, names=[name]).drop("n")
-        joined = plain.join(medians, same_keys(plain, medians, keys), "left")
-        for key in keys:
-            joined = joined.drop(medians[key])
-        plain = joined
+        plain = join_keys(plain, medians, keys, "left")
     return plain if by else plain.drop("_k")
 
 

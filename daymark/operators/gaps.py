@@ -80,12 +80,17 @@ def gap_fill(
     require_columns(df, [*series_cols, DATE, target_col], "daily series")
     w = series_window(series_cols)
     day, count = F.col(DATE), F.col(target_col)
-    medians = [F.median(F.when(F.weekday(day) == i, count)).over(whole(w)) for i in range(7)]
+
+    def median(value: Column) -> Column:
+        # `percentile`, as `median` refuses a window that has an order.
+        return F.percentile(value, F.lit(0.5)).over(whole(w))
+
+    medians = [median(F.when(F.weekday(day) == i, count)) for i in range(7)]
     known = df.where(day.isNotNull()).withColumns(
         {
             "_next": F.lead(day).over(w),
             "_by_weekday": F.array(*medians),
-            "_overall": F.median(count).over(whole(w)),
+            "_overall": median(count),
         }
     )
     last_absent = F.greatest(day, F.date_sub(F.coalesce("_next", day), 1))

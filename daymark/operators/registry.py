@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from daymark.schema import same_keys
-
 PRODUCTION, ARCHIVED, STAGING, NO_STAGE = "Production", "Archived", "Staging", "None"
 # Promotion threshold and registry retention.
 MAE_THRESHOLD = 15.0
@@ -138,6 +136,4 @@ def model_paths(names: DataFrame, registry: DataFrame, version: int | None = Non
     """Storage path per model: the production version, or one given version."""
     rows = production_versions(registry) if version is None else registry.where(F.col("version") == version)
     asked = names.select("model_name").distinct()
-    return asked.join(rows, same_keys(asked, rows, ["model_name"]), "left").select(
-        asked["model_name"], "version", "path"
-    )
+    return asked.join(rows, "model_name", "left").select("model_name", "version", "path")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,9 +114,15 @@ def in_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on all keys (grouping treats NULL keys as equal, so joins back must)."""
+def join_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner"
+) -> DataFrame:
+    """Join on null-safe equality of the keys and keep the left key columns.
+
+    Grouping treats NULL keys as equal, so joining an aggregate back has to as well.
+    """
+    renamed = right.withColumnsRenamed({key: f"_right_{key}" for key in keys})
     condition = F.lit(True)
     for key in keys:
-        condition = condition & left[key].eqNullSafe(right[key])
-    return condition
+        condition = condition & F.col(key).eqNullSafe(F.col(f"_right_{key}"))
+    return left.join(renamed, condition, how).drop(*[f"_right_{key}" for key in keys])

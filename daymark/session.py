@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -40,3 +41,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="daymark-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder every executor sees: the checkpoint folder the session names, else (tests) a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return str(named) if named else tempfile.mkdtemp(prefix="daymark-shared-")
