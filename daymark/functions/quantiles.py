@@ -2,9 +2,9 @@
 
 `percentile` keeps every distinct value of a group in one task. That is right for daily
 tables, where the calendar bounds a group, and wrong for raw rows. `exact_quantiles` gives
-the same linearly interpolated numbers with no step holding more than one value range of a
-group: values are first counted, then cut into ranges of similar size, and only the ranges
-that hold a wanted rank are sorted.
+the same linearly interpolated numbers in two passes: a sketch brackets each wanted quantile
+between two values, then rows outside the brackets are only counted (map-side) while the few
+values inside are ranked.
 """
 
 from __future__ import annotations
@@ -23,70 +23,73 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     names: Sequence[str] | None = None,
-    ranges: int = 200,
+    accuracy: int = 20_000,
+    few_groups: bool = False,
 ) -> DataFrame:
-    """One row per group: the group keys, `n` values, and one column per probability."""
+    """One row per group: the group keys, `n` values, and one column per probability.
+
+    The sketch is off by at most `n / accuracy` ranks and each bracket is four times as wide
+    on both sides, so it always holds the wanted ranks, and at most about 10/accuracy of the
+    rows. Values next to a bracket are kept as well, for groups too small for that margin.
+    `few_groups` says that the number of groups is bounded by definition (horizons, say); the
+    brackets are then broadcast. Otherwise Spark chooses the join by measured size.
+    """
     by = list(by)
     names = list(names) if names else [f"p{round(p * 100):02d}" for p in probs]
-    keys = by or ["_all"]
     value = F.col(value) if isinstance(value, str) else value
+    keys = by or ["_all"]
     source = df if by else df.withColumn("_all", F.lit(0))
-    counts = (
-        source.select(*keys, value.cast("double").alias("_v"))
-        .where(F.col("_v").isNotNull())
-        .groupBy(*keys, "_v")
-        .agg(F.count("*").alias("_n"))
-    )
+    rows = source.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
 
-    # Cut points from a bounded sketch over the distinct values; they only decide how the
-    # work is shared out, never the result.
-    steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cuts = counts.groupBy(*keys).agg(
-        F.percentile_approx("_v", steps, F.lit(ranges * 20)).alias("_cuts"),
-        F.sum("_n").alias("_total"),
+    margin = 4 / accuracy
+    edges = [q for p in probs for q in (max(0.0, p - margin), min(1.0, p + margin))]
+    sketch = rows.groupBy(*keys).agg(
+        F.percentile_approx("_v", F.array(*[F.lit(q) for q in edges]), F.lit(accuracy)).alias("_edges"),
+        F.count("*").alias("n"),
     )
-    place = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
-    ranged = join_keys(counts, cuts, keys).select(*keys, "_v", "_n", "_total", place.alias("_range"))
-
-    # At most `ranges` rows per group reach this window.
-    along = Window.partitionBy(*keys).orderBy("_range")
-    edges = (
-        ranged.groupBy(*keys, "_range")
-        .agg(F.sum("_n").alias("_in_range"), F.first("_total").alias("_total"))
-        .withColumn("_end", F.sum("_in_range").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_start", F.col("_end") - F.col("_in_range"))
-    )
-    wanted = F.lit(False)
-    for p in probs:
-        for rank in _ranks(p):
-            wanted = wanted | ((F.col("_start") <= rank) & (rank < F.col("_end")))
-    edges = edges.where(wanted).select(*keys, "_range", "_start")
-
-    inside = Window.partitionBy(*keys, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    placed = (
-        join_keys(ranged, edges, [*keys, "_range"])
-        .withColumn("_to", F.col("_start") + F.sum("_n").over(inside))
-        .withColumn("_from", F.col("_to") - F.col("_n"))
+    small = few_groups or not by
+    marked = join_keys(rows, F.broadcast(sketch) if small else sketch, keys)
+
+    v, cuts = F.col("_v"), F.col("_edges")
+    inside = F.lit(False)
+    for i in range(len(probs)):
+        inside = inside | v.between(cuts[2 * i], cuts[2 * i + 1])
+    passed = [F.when(v > cuts[2 * i + 1], cuts[2 * i + 1]) for i in range(len(probs))]
+    last_passed = F.greatest(*passed) if len(passed) > 1 else passed[0]
+    counted = (
+        marked.withColumn("_inside", inside)
+        .groupBy(*keys, "n", "_inside", F.when(inside, v).otherwise(last_passed).alias("_place"))
+        .agg(F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
     )
+
+    # Rows of a group here: the values inside its brackets and one row per stretch between.
+    along = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_place"), F.desc("_inside"))
+    ranked = counted.withColumn(
+        "_end", F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    ).withColumn("_start", F.col("_end") - F.col("_n"))
     picks = []
     for i, p in enumerate(probs):
-        for part, rank in zip(("lo", "hi"), _ranks(p)):
-            at_rank = (F.col("_from") <= rank) & (rank < F.col("_to"))
-            picks.append(F.max(F.when(at_rank, F.col("_v"))).alias(f"_{part}{i}"))
-    picked = placed.groupBy(*keys).agg(F.first("_total").alias("n"), *picks)
-    interpolated = []
+        position = F.lit(float(p)) * (F.col("n") - 1)
+        for part, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
+            here = (F.col("_start") <= rank) & (rank < F.col("_end"))
+            picks.append(F.max(F.when(here, _at(rank))).alias(f"_{part}{i}"))
+    picked = ranked.groupBy(*keys, "n").agg(*picks)
+    quantiles = []
     for i, (p, name) in enumerate(zip(probs, names)):
         position = F.lit(float(p)) * (F.col("n") - 1)
-        fraction = position - F.floor(position)
         low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        interpolated.append((low + fraction * (high - low)).alias(name))
-    return picked.select(*by, "n", *interpolated)
+        quantiles.append((low + (position - F.floor(position)) * (high - low)).alias(name))
+    return picked.select(*by, "n", *quantiles)
 
 
-def _ranks(p: float) -> tuple[Column, Column]:
-    """The two zero-based ranks a quantile lies between."""
-    position = F.lit(float(p)) * (F.col("_total") - 1)
-    return F.floor(position), F.ceil(position)
+def _at(rank: Column) -> Column:
+    """The value at a rank: any inside a bracket, the first or last of a stretch outside."""
+    unexpected = F.raise_error(F.lit("quantile outside its bracket")).cast("double")
+    return (
+        F.when(F.col("_inside") | (rank == F.col("_start")), F.col("_min"))
+        .when(rank == F.col("_end") - 1, F.col("_max"))
+        .otherwise(unexpected)
+    )
 
 
 def histogram_quantile(

@@ -257,7 +257,13 @@ class ForecastModel:
 
 
 def score_by_horizon(df: DataFrame, models: Mapping[int, ForecastModel]) -> DataFrame:
-    """Score each row with the model of its horizon; rows without a model are left out."""
+    """Score each row with the model of its horizon; rows without a model are left out.
+
+    The rows are materialised first: every model reads its own part of them, and without that
+    each part would compute all features again.
+    """
+    if len(models) > 1:
+        df = cut_lineage(df)
     parts = []
     for horizon, model in sorted(models.items()):
         scored = model.predict(df.where(F.col(HORIZON) == horizon), return_intervals=True)

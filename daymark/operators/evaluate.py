@@ -70,7 +70,7 @@ def conformal_calibration(
     """
     by = list(by)
     residual = errors.absolute_error("actual", "predicted")
-    scores = exact_quantiles(df, residual, [1 - alpha], by, names=["residual_quantile"])
+    scores = exact_quantiles(df, residual, [1 - alpha], by, names=["residual_quantile"], few_groups=by == [HORIZON])
     widths = df.groupBy(*by).agg(errors.interval_width("lower_bound", "upper_bound").alias("mean_width"))
     factor = F.try_divide(F.col("residual_quantile"), F.col("mean_width") / 2)
     if not by:  # two one-row tables meet on a constant key
@@ -131,10 +131,19 @@ def prediction_summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.stddev_samp("point_prediction").alias("std_prediction"),
         F.avg("_width").alias("mean_interval_width"),
     )
-    # Medians over groups of any size: exact, without holding a group in one task.
-    for column, name in (("point_prediction", "median_prediction"), ("_width", "median_interval_width")):
-        medians = exact_quantiles(spread, column, [0.5], keys, names=[name]).drop("n")
-        plain = join_keys(plain, medians, keys, "left")
+    # Medians over groups of any size: exact, without holding a group in one task. Both
+    # columns go through the two passes together.
+    long = spread.select(*keys, "point_prediction", "_width").unpivot(
+        keys, ["point_prediction", "_width"], "_column", "_value"
+    )
+    medians = exact_quantiles(
+        long, "_value", [0.5], [*keys, "_column"], names=["_median"], few_groups=not by
+    )
+    both = medians.groupBy(*keys).agg(
+        F.max(F.when(F.col("_column") == "point_prediction", F.col("_median"))).alias("median_prediction"),
+        F.max(F.when(F.col("_column") == "_width", F.col("_median"))).alias("median_interval_width"),
+    )
+    plain = join_keys(plain, both, keys, "left")
     return plain if by else plain.drop("_k")
 
 

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from daymark.schema import DATE, series_window
 
 
-def _up_to(w: WindowSpec) -> WindowSpec:
-    return w.rowsBetween(Window.unboundedPreceding, 0)
+def _running(series_cols: Sequence[str], order: Column) -> WindowSpec:
+    """Rows up to this one in the given order.
 
-
-def _from_here(w: WindowSpec) -> WindowSpec:
-    return w.rowsBetween(0, Window.unboundedFollowing)
+    Looking ahead is looking back in reverse order: one more sort per series, while a frame that
+    reaches to the end of the partition is evaluated from every row again.
+    """
+    return series_window(series_cols, [order]).rowsBetween(Window.unboundedPreceding, 0)
 
 
 def _known(column: str) -> Column:
@@ -28,38 +29,35 @@ def fill_last_known(
     df: DataFrame, cols: Sequence[str], series_cols: Sequence[str] = (), order: str = DATE
 ) -> DataFrame:
     """Last earlier value, else first later value, else 0."""
-    w = series_window(series_cols, order)
-    return df.withColumns(
-        {
-            c: F.coalesce(
-                F.last(_known(c), True).over(_up_to(w)),
-                F.first(_known(c), True).over(_from_here(w)),
-                F.lit(0.0),
-            )
-            for c in cols
-        }
-    )
+    back = _running(series_cols, F.col(order))
+    ahead = _running(series_cols, F.col(order).desc())
+    earlier = {f"_p_{c}": F.last(_known(c), True).over(back) for c in cols}
+    later = {f"_n_{c}": F.last(_known(c), True).over(ahead) for c in cols}
+    filled = {c: F.coalesce(f"_p_{c}", f"_n_{c}", F.lit(0.0)) for c in cols}
+    return df.withColumns({**earlier, **later}).withColumns(filled).drop(*earlier, *later)
 
 
 def fill_linear(
     df: DataFrame, cols: Sequence[str], series_cols: Sequence[str] = (), order: str = DATE
 ) -> DataFrame:
     """Straight line between the neighbours by row position; ends take the nearest value; else 0."""
-    w = series_window(series_cols, order)
-    placed = df.withColumn("_row", F.row_number().over(w))
-    neighbours: dict[str, Column] = {}
+    back = _running(series_cols, F.col(order))
+    ahead = _running(series_cols, F.col(order).desc())
+    placed = df.withColumn("_row", F.row_number().over(series_window(series_cols, order)))
+    earlier: dict[str, Column] = {}
+    later: dict[str, Column] = {}
     for c in cols:
         here = F.when(_known(c).isNotNull(), F.struct(_known(c).alias("v"), F.col("_row").alias("r")))
-        neighbours[f"_p_{c}"] = F.last(here, True).over(_up_to(w))
-        neighbours[f"_n_{c}"] = F.first(here, True).over(_from_here(w))
-    placed = placed.withColumns(neighbours)
+        earlier[f"_p_{c}"] = F.last(here, True).over(back)
+        later[f"_n_{c}"] = F.last(here, True).over(ahead)
+    placed = placed.withColumns({**earlier, **later})
     filled = {}
     for c in cols:
         before, after = F.col(f"_p_{c}"), F.col(f"_n_{c}")
         share = F.try_divide(F.col("_row") - before.r, after.r - before.r)
         between = before.v + (after.v - before.v) * share
         filled[c] = F.coalesce(_known(c), between, before.v, after.v, F.lit(0.0))
-    return placed.withColumns(filled).drop("_row", *neighbours)
+    return placed.withColumns(filled).drop("_row", *earlier, *later)
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -33,6 +33,8 @@ PERFORMANCE_GAUGES = [
     "model_interval_width_by_horizon",
 ]
 HORIZON_GAUGES = ["optuna_trials_count", "last_training_timestamp"]
+# Labels that only take a handful of values.
+BOUNDED_LABELS = {"horizon", "dataset", "status", "flow_name", "stage", "step"}
 DATASETS = ["train", "val", "test"]
 FLOWS = ["training_flow", "prediction_flow"]
 
@@ -150,7 +152,13 @@ def duration_quantiles(
     metrics: DataFrame, probs: Sequence[float] = (0.5, 0.95, 0.99), labels: Sequence[str] = ()
 ) -> DataFrame:
     """Exact quantiles of raw durations."""
-    return exact_quantiles(by_labels(metrics, labels), "value", probs, ["metric", *labels])
+    return exact_quantiles(
+        by_labels(metrics, labels),
+        "value",
+        probs,
+        ["metric", *labels],
+        few_groups=set(labels) <= BOUNDED_LABELS,
+    )
 
 
 def bucketed_quantiles(

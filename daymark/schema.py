@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,7 +93,9 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating})
 
 
-def series_window(series_cols: Sequence[str] = (), order: Sequence[str] | str = DATE) -> WindowSpec:
+def series_window(
+    series_cols: Sequence[str] = (), order: Sequence[str | Column] | str = DATE
+) -> WindowSpec:
     """Window over one series in date order.
 
     Used on daily tables only: a series has at most one row per calendar day, so

@@ -14,12 +14,9 @@ from daymark.schema import KEY, TIME, VISITS
 
 # Accepted form of a bracketed database object name.
 BRACKETED_NAME = re.compile(r"(\[\w+\]\.)*\[\w+\]")
-# Patterns of the printed-tuple format.
+# Patterns of the printed-tuple format. A time has six or seven fields.
 TUPLE_KEY = r"^\((\d+)"
-TUPLE_TIME = (
-    r"datetime\.datetime\((\d{4}),\s*(\d{1,2}),\s*(\d{1,2}),"
-    r"\s*(\d{1,2}),\s*(\d{1,2}),\s*(\d{1,2})(?:,\s*(\d+))?\)"
-)
+TUPLE_TIME = r"datetime\.datetime\((\d{4}(?:,\s*\d{1,2}){5}(?:,\s*\d+)?)\)"
 
 
 def scan_visits_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -104,23 +101,32 @@ def db_or_file_fallback(
 
 
 def parse_tuple_dump(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Visits from printed tuples, one per line; lines without a key or a real time are skipped."""
+    """Visits from printed tuples, one per line; lines without a key or a real time are skipped.
+
+    Each line is matched once for its key and once for its time: the generator keeps the
+    optimizer from repeating the matches in the filter below. The seventh field counts
+    microseconds, so it is padded on the left.
+    """
     text = F.trim(F.col(column))
+    matched = F.struct(
+        F.regexp_extract(text, TUPLE_KEY, 1).alias(KEY),
+        F.split(F.regexp_extract(text, TUPLE_TIME, 1), r",\s*").alias("_t"),
+    )
+    found = lines.select(F.inline(F.array(matched)))
 
     def field(i: int, width: int) -> Column:
-        return F.lpad(F.regexp_extract(text, TUPLE_TIME, i), width, "0")
+        return F.lpad(F.coalesce(F.get("_t", F.lit(i)), F.lit("0")), width, "0")
 
     iso = F.concat(
-        F.concat_ws("-", field(1, 4), field(2, 2), field(3, 2)),
+        F.concat_ws("-", field(0, 4), field(1, 2), field(2, 2)),
         F.lit(" "),
-        F.concat_ws(":", field(4, 2), field(5, 2), field(6, 2)),
+        F.concat_ws(":", field(3, 2), field(4, 2), field(5, 2)),
         F.lit("."),
-        field(7, 6),
-    )
-    parsed = lines.where(text.rlike(TUPLE_KEY) & text.rlike(TUPLE_TIME)).select(
-        F.regexp_extract(text, TUPLE_KEY, 1).alias(KEY), iso.try_cast("timestamp_ntz").alias(TIME)
+        field(6, 6),
     )
-    return parsed.where(F.col(TIME).isNotNull())
+    # Six zeros or more is no date, so lines without a time fall out with the invalid ones.
+    visits = found.select(KEY, iso.try_cast("timestamp_ntz").alias(TIME))
+    return visits.where((F.col(KEY) != "") & F.col(TIME).isNotNull())
 
 
 def scan_tuple_dump(spark: SparkSession, path: str) -> DataFrame:

@@ -1 +1,268 @@
-"""Queries for modelling."""
+"""Queries for modelling. Fits use few, shallow trees; rows, series and horizons are all used.
+
+Numbers that come out of a fit have no SQL counterpart and are checked as rows only. The parts
+that do not depend on the fit (which rows are scored, sizes, order of the bounds) have one.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from daymark.functions.calendar import CYCLIC_NAMES, ONEHOT_NAMES
+from daymark.ml.model import ForecastModel, score_by_horizon
+from daymark.ml.params import DEFAULT_PARAMS, SEARCH_SPACE, trials
+from daymark.ml.train import TrainedHorizon, hyperparameter_search, train_all
+from daymark.operators.dataset import temporal_split
+from daymark.operators.evaluate import metrics_by_horizon
+from daymark.operators.features import LAGS, ROLLING_WINDOWS, engineer_features, future_features
+from daymark.operators.clean import drop_null_rows
+from daymark.operators.weather import merge_weather
+from daymark.plans import prediction, tracking, training
+from daymark.schema import HORIZON, LABEL, SPLIT, WEATHER
+from daymark.session import cut_lineage, shared_folder
+from daymark.sources.predictions import sink_test_predictions
+from daymark.suite import inputs as i
+from daymark.suite.catalog import query, with_ctes
+from daymark.suite.features import FULL, FULL_STATE, LABELLED, split_sql
+from daymark.suite.weather import MERGED
+
+S = i.SERIES
+SMALL = {**DEFAULT_PARAMS, "n_estimators": 4, "max_depth": 3, "learning_rate": 0.3}
+FEATURES = [
+    *CYCLIC_NAMES,
+    "Weekend",
+    *ONEHOT_NAMES,
+    *[f"patients_{n}d_{kind}" for n in ROLLING_WINDOWS for kind in ("avg", "std")],
+    *[f"patients_lag_{k}" for k in LAGS],
+    "patients_change_1d",
+    "patients_change_7d",
+    *WEATHER,
+]
+RUN_TIME = dt.datetime(2001, 8, 2, 6, 0)
+
+_rows: dict[tuple[str, str], DataFrame] = {}
+_trained: dict[tuple[str, str], dict[int, TrainedHorizon]] = {}
+
+
+def _key(spark: SparkSession, sf: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, sf
+
+
+def training_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled feature rows, computed once per session and table folder."""
+    key = _key(spark, sf)
+    if key not in _rows:
+        _rows[key] = cut_lineage(
+            training.training_table(i.filled(spark, sf), i.weather(spark, sf), S, validate=False)
+        )
+    return _rows[key]
+
+
+def trained(spark: SparkSession, sf: str) -> dict[int, TrainedHorizon]:
+    """One small model per horizon, fitted once per session and table folder."""
+    key = _key(spark, sf)
+    if key not in _trained:
+        _trained[key] = train_all(
+            training_rows(spark, sf), series_cols=S, features=FEATURES, bounds="residual", table=[SMALL], parallel=4
+        )
+    return _trained[key]
+
+
+def _models(spark: SparkSession, sf: str) -> dict[int, ForecastModel]:
+    return {h: t.model for h, t in trained(spark, sf).items()}
+
+
+def _split(spark: SparkSession, sf: str, horizon: int) -> DataFrame:
+    rows = training_rows(spark, sf).where(F.col(HORIZON) == horizon)
+    return temporal_split(rows, series_cols=S)
+
+
+def _part(split: DataFrame, name: str) -> DataFrame:
+    return split.where(F.col(SPLIT) == name)
+
+
+SCORED = ["series", "Date", LABEL, "point_prediction"]
+
+
+@query("fit_point")
+def fit_point(spark, sf):
+    split = _split(spark, sf, 1)
+    model = ForecastModel(FEATURES, 1).fit_point(_part(split, "train"), SMALL)
+    return model.predict(_part(split, "test")).select(*SCORED)
+
+
+@query("fit_quantiles")
+def fit_quantiles(spark, sf):
+    split = _split(spark, sf, 7)
+    model = ForecastModel(FEATURES, 7).fit_point(_part(split, "train"), SMALL)
+    model.fit_quantiles(_part(split, "train"), SMALL, rounds=3)
+    scored = model.predict(_part(split, "test"), return_intervals=True)
+    return scored.select(*SCORED, "lower_bound", "upper_bound")
+
+
+@query("predict_interval")
+def predict_interval(spark, sf):
+    model = _models(spark, sf)[3]
+    scored = model.predict(_part(_split(spark, sf, 3), "test"), return_intervals=True)
+    return scored.select(*SCORED, "lower_bound", "upper_bound")
+
+
+@query("default_params")
+def default_params(spark, sf):
+    """The defaults next to the values a fit on the tables found."""
+    best = trained(spark, sf)[1].metadata["best_params"]
+    rows = [(name, str(value), str(best.get(name))) for name, value in DEFAULT_PARAMS.items()]
+    return spark.createDataFrame(rows, "name string, default_value string, fitted_value string")
+
+
+@query("hyperparameter_search")
+def search(spark, sf):
+    small_space = {**SEARCH_SPACE, "n_estimators": ("int", 2, 4, 1), "max_depth": ("int", 2, 4, 1)}
+    split = _split(spark, sf, 1)
+    found = hyperparameter_search(
+        _part(split, "train"), _part(split, "val"), FEATURES, 1, trials(3, space=small_space)
+    )
+    rows = [(r["trial"], {k: float(v) for k, v in r["params"].items()}, r["val_mae"]) for r in found]
+    return spark.createDataFrame(rows, "trial int, params map<string,double>, val_mae double")
+
+
+def _metadata(spark, sf, names, kinds):
+    rows = [tuple(t.metadata[n] for n in names) for _, t in sorted(trained(spark, sf).items())]
+    return spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
+
+
+@query("train_horizon")
+def train_horizon_query(spark, sf):
+    names = ["horizon", "best_val_mae", "test_mae", "test_rmse", "test_coverage", "test_interval_width"]
+    return _metadata(spark, sf, names, ["int"] + ["double"] * 5)
+
+
+ROWS = with_ctes(i.DAILY, i.FILLED, i.WEATHER_SQL, MERGED, FULL) + LABELLED
+PARTS = ROWS + ", parts AS (" + split_sql("labelled", "series, horizon", 'series, horizon, "Date", target') + ")"
+_SIZES = ", ".join(
+    f"CAST(count(*) FILTER (split = '{p}') AS BIGINT) AS n_{p}" for p in ("train", "val", "calib", "test")
+)
+
+
+@query(
+    "train_all",
+    f"{PARTS} SELECT horizon, {_SIZES}, CAST({len(FEATURES)} AS INTEGER) AS n_features FROM parts GROUP BY horizon",
+)
+def train_all_query(spark, sf):
+    names = ["horizon", "n_train", "n_val", "n_calib", "n_test", "n_features"]
+    return _metadata(spark, sf, names, ["int"] + ["bigint"] * 4 + ["int"])
+
+
+@query("feature_importance_topk")
+def feature_importance(spark, sf):
+    return _models(spark, sf)[1].feature_importance(spark, 20)
+
+
+def _future(spark, sf):
+    weather = i.weather(spark, sf)
+    merged = merge_weather(i.filled(spark, sf), weather, series_cols=S, validate=False)
+    features = drop_null_rows(engineer_features(merged, series_cols=S))
+    forecast = weather.where(F.dayofmonth("Date") % 2 == 0)
+    return future_features(features, forecast=forecast, series_cols=S)
+
+
+@query("row_to_model")
+def row_to_model(spark, sf):
+    return score_by_horizon(_future(spark, sf), _models(spark, sf)).select(
+        "series", "Date", HORIZON, "point_prediction", "lower_bound", "upper_bound"
+    )
+
+
+def _predictions(spark, sf):
+    return prediction.generate_predictions(_future(spark, sf), _models(spark, sf), RUN_TIME, "7", S)
+
+
+@query("generate_predictions")
+def generate_predictions(spark, sf):
+    return _predictions(spark, sf)
+
+
+@query(
+    "generate_predictions_contract",
+    FULL_STATE
+    + """ SELECT series, TIMESTAMP '2001-08-02 06:00:00' AS prediction_timestamp, "Date" AS prediction_date, horizon,
+            '7' AS model_version, true AS in_order FROM future""",
+)
+def generate_predictions_contract(spark, sf):
+    point = F.col("point_prediction")
+    in_order = (F.col("lower_bound") <= point) & (point <= F.col("upper_bound"))
+    return _predictions(spark, sf).select(
+        "series", "prediction_timestamp", "prediction_date", HORIZON, "model_version", in_order.alias("in_order")
+    )
+
+
+def _backtest(spark, sf):
+    return tracking.backtest(training_rows(spark, sf), _models(spark, sf), S)
+
+
+@query("backtest_metrics")
+def backtest_metrics(spark, sf):
+    return _backtest(spark, sf)["metrics"]
+
+
+@query(
+    "backtest",
+    PARTS
+    + """ SELECT series, "Date" + horizon AS date, target AS actual, horizon, true AS in_order
+        FROM parts WHERE split = 'test'""",
+)
+def backtest(spark, sf):
+    rows = _backtest(spark, sf)["rows"]
+    in_order = (F.col("lower_bound") <= F.col("predicted")) & (F.col("predicted") <= F.col("upper_bound"))
+    return rows.select("series", "date", "actual", HORIZON, in_order.alias("in_order"))
+
+
+@query(
+    "sink_test_predictions",
+    PARTS
+    + """ SELECT horizon, CAST(count(*) AS BIGINT) AS n_samples, min("Date" + horizon) AS first_date,
+            max("Date" + horizon) AS last_date FROM parts WHERE split = 'test' GROUP BY horizon""",
+)
+def sink_test(spark, sf):
+    path = f"{shared_folder(spark)}/test_predictions_{abs(hash(_key(spark, sf)))}"
+    sink_test_predictions(_backtest(spark, sf)["rows"], path)
+    return spark.read.parquet(path).groupBy(HORIZON).agg(
+        F.count("*").alias("n_samples"), F.min("date").alias("first_date"), F.max("date").alias("last_date")
+    )
+
+
+@query(
+    "load_models",
+    FULL_STATE
+    + """ SELECT series, "Date" AS prediction_date, horizon, true AS same_point FROM future""",
+)
+def load_models(spark, sf):
+    """Saved, registered, promoted, looked up and loaded models score like the ones in memory."""
+    root = f"{shared_folder(spark)}/models_{abs(hash(_key(spark, sf)))}"
+    fitted = trained(spark, sf)
+    paths = {h: t.model.save(spark, f"{root}/horizon_{h}") for h, t in fitted.items()}
+    results = training.result_rows(spark, fitted, paths, "daily_forecast")
+    registry, _ = training.register_and_promote(training.empty_registry(spark), results, threshold=1e9)
+    loaded = prediction.load_models(spark, registry)
+    future = _future(spark, sf)
+    names = ["series", "Date", HORIZON]
+    first = score_by_horizon(future, _models(spark, sf)).select(*names, "point_prediction")
+    again = score_by_horizon(future, loaded).select(*names, F.col("point_prediction").alias("_again"))
+    return first.join(again, names).select(
+        "series",
+        F.col("Date").alias("prediction_date"),
+        HORIZON,
+        (F.col("point_prediction") == F.col("_again")).alias("same_point"),
+    )
+
+
+@query("metrics_of_models")
+def metrics_of_models(spark, sf):
+    """Errors of the point models on their validation parts, all horizons in one job."""
+    split = temporal_split(training_rows(spark, sf), series_cols=S)
+    scored = score_by_horizon(_part(split, "val"), _models(spark, sf))
+    renamed = scored.withColumnsRenamed({LABEL: "actual", "point_prediction": "predicted"})
+    return metrics_by_horizon(renamed)

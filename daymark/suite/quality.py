@@ -124,7 +124,6 @@ def conformal_calibration_all(spark, sf):
              quantile_cont(l_extendedprice, 0.5) AS middle, quantile_cont(l_extendedprice, 0.975) AS high
            FROM lineitem GROUP BY 1""",
         ["low", "middle", "high"],
-        4,
     ),
 )
 def quantiles(spark, sf):
@@ -132,7 +131,7 @@ def quantiles(spark, sf):
     found = exact_quantiles(
         items, "l_extendedprice", [0.025, 0.5, 0.975], ["l_returnflag"], ["low", "middle", "high"]
     )
-    return rounded(found, 4)
+    return rounded(found)
 
 
 @query(
