@@ -9,7 +9,7 @@ values inside are ranked.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,14 +19,16 @@ from daymark.schema import join_keys
 
 def exact_quantiles(
     df: DataFrame,
-    value: str | Column,
-    probs: Sequence[float],
+    wanted: Mapping[str, tuple[str, float]],
     by: Sequence[str] = (),
-    names: Sequence[str] | None = None,
+    carry: Mapping[str, Column] | None = None,
     accuracy: int = 20_000,
     few_groups: bool = False,
 ) -> DataFrame:
-    """One row per group: the group keys, `n` values, and one column per probability.
+    """One row per group: the keys, `carry` aggregates, and the wanted quantiles.
+
+    `wanted` gives a column and a probability for each result name. `carry` are further
+    aggregates of the rows, computed in the first pass.
 
     The sketch is off by at most `n / accuracy` ranks and each bracket is four times as wide
     on both sides, so it always holds the wanted ranks, and at most about 10/accuracy of the
@@ -35,51 +37,70 @@ def exact_quantiles(
     brackets are then broadcast. Otherwise Spark chooses the join by measured size.
     """
     by = list(by)
-    names = list(names) if names else [f"p{round(p * 100):02d}" for p in probs]
-    value = F.col(value) if isinstance(value, str) else value
+    carry = dict(carry or {})
     keys = by or ["_all"]
     source = df if by else df.withColumn("_all", F.lit(0))
-    rows = source.select(*keys, value.cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    columns = list(dict.fromkeys(column for column, _ in wanted.values()))
+    probs = {c: [p for column, p in wanted.values() if column == c] for c in columns}
 
+    # First pass: brackets and further aggregates, one small row per group.
     margin = 4 / accuracy
-    edges = [q for p in probs for q in (max(0.0, p - margin), min(1.0, p + margin))]
-    sketch = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", F.array(*[F.lit(q) for q in edges]), F.lit(accuracy)).alias("_edges"),
-        F.count("*").alias("n"),
+    sketches = []
+    for c in columns:
+        edges = [F.lit(q) for p in probs[c] for q in (max(0.0, p - margin), min(1.0, p + margin))]
+        sketch = F.percentile_approx(F.col(c).cast("double"), F.array(*edges), F.lit(accuracy))
+        sketches.append(sketch.alias(f"_edges_{c}"))
+    groups = source.groupBy(*keys).agg(
+        *sketches, *[column.alias(name) for name, column in carry.items()]
     )
-    small = few_groups or not by
-    marked = join_keys(rows, F.broadcast(sketch) if small else sketch, keys)
-
-    v, cuts = F.col("_v"), F.col("_edges")
-    inside = F.lit(False)
-    for i in range(len(probs)):
-        inside = inside | v.between(cuts[2 * i], cuts[2 * i + 1])
-    passed = [F.when(v > cuts[2 * i + 1], cuts[2 * i + 1]) for i in range(len(probs))]
-    last_passed = F.greatest(*passed) if len(passed) > 1 else passed[0]
+
+    # Second pass: rows outside the brackets collapse into one row per stretch, map-side.
+    values = [F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in columns]
+    rows = source.select(*keys, F.inline(F.array(*values)))
+    marked = join_keys(rows, F.broadcast(groups) if few_groups or not by else groups, keys)
+    v = F.col("_v")
+    inside, passed = F.lit(False), F.lit(None).cast("double")
+    for c in columns:
+        mine = F.col("_c") == c
+        cuts = F.col(f"_edges_{c}")
+        for i in range(len(probs[c])):
+            low, high = cuts[2 * i], cuts[2 * i + 1]
+            inside = inside | F.coalesce(mine & v.between(low, high), F.lit(False))
+            passed = F.greatest(passed, F.when(mine & (v > high), high))
     counted = (
         marked.withColumn("_inside", inside)
-        .groupBy(*keys, "n", "_inside", F.when(inside, v).otherwise(last_passed).alias("_place"))
-        .agg(F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"))
+        .groupBy(*keys, "_c", "_inside", F.when(F.col("_inside"), v).otherwise(passed).alias("_place"))
+        .agg(
+            F.count("_v").alias("_n"),
+            F.min("_v").alias("_min"),
+            F.max("_v").alias("_max"),
+            *[F.first(name).alias(name) for name in carry],
+        )
     )
 
     # Rows of a group here: the values inside its brackets and one row per stretch between.
-    along = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("_place"), F.desc("_inside"))
-    ranked = counted.withColumn(
-        "_end", F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    whole = Window.partitionBy(*keys, "_c")
+    along = whole.orderBy(F.asc_nulls_first("_place"), F.desc("_inside"))
+    ranked = counted.withColumns(
+        {
+            "_end": F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0)),
+            "_total": F.sum("_n").over(whole),
+        }
     ).withColumn("_start", F.col("_end") - F.col("_n"))
-    picks = []
-    for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (F.col("n") - 1)
+    found = []
+    for name, (c, p) in wanted.items():
+        position = F.lit(float(p)) * (F.col("_total") - 1)
+        mine = F.col("_c") == c
+        found.append(F.max(F.when(mine, position)).alias(f"_at_{name}"))
         for part, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
-            here = (F.col("_start") <= rank) & (rank < F.col("_end"))
-            picks.append(F.max(F.when(here, _at(rank))).alias(f"_{part}{i}"))
-    picked = ranked.groupBy(*keys, "n").agg(*picks)
+            here = mine & (F.col("_start") <= rank) & (rank < F.col("_end"))
+            found.append(F.max(F.when(here, _at(rank))).alias(f"_{part}_{name}"))
+    picked = ranked.groupBy(*keys).agg(*found, *[F.first(name).alias(name) for name in carry])
     quantiles = []
-    for i, (p, name) in enumerate(zip(probs, names)):
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+    for name in wanted:
+        low, high, position = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_at_{name}")
         quantiles.append((low + (position - F.floor(position)) * (high - low)).alias(name))
-    return picked.select(*by, "n", *quantiles)
+    return picked.select(*by, *carry, *quantiles)
 
 
 def _at(rank: Column) -> Column:

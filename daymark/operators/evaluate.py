@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions import errors
 from daymark.functions.quantiles import exact_quantiles
-from daymark.schema import HORIZON, PREDICTION, in_schema, join_keys
+from daymark.schema import HORIZON, PREDICTION, in_schema
 
 ALPHA = 0.05
 
@@ -68,15 +68,16 @@ def conformal_calibration(
     A factor above 1 means the intervals are too narrow on the calibration rows. The factor is
     reported, and applied only by `widen`.
     """
-    by = list(by)
-    residual = errors.absolute_error("actual", "predicted")
-    scores = exact_quantiles(df, residual, [1 - alpha], by, names=["residual_quantile"], few_groups=by == [HORIZON])
-    widths = df.groupBy(*by).agg(errors.interval_width("lower_bound", "upper_bound").alias("mean_width"))
+    residuals = df.withColumn("_residual", errors.absolute_error("actual", "predicted"))
+    found = exact_quantiles(
+        residuals,
+        {"residual_quantile": ("_residual", 1 - alpha)},
+        by,
+        carry={"mean_width": errors.interval_width("lower_bound", "upper_bound")},
+        few_groups=list(by) == [HORIZON],
+    )
     factor = F.try_divide(F.col("residual_quantile"), F.col("mean_width") / 2)
-    if not by:  # two one-row tables meet on a constant key
-        scores, widths = (side.withColumn("_k", F.lit(0)) for side in (scores, widths))
-    joined = join_keys(scores, widths, by or ["_k"])
-    return joined.select(*by, "residual_quantile", "mean_width", factor.alias("correction_factor"))
+    return found.select(*by, "residual_quantile", "mean_width", factor.alias("correction_factor"))
 
 
 def widen(df: DataFrame, factor: float | str) -> DataFrame:
@@ -116,35 +117,22 @@ def run_metadata(df: DataFrame, by: Sequence[str] = ("prediction_timestamp",)) -
 
 def prediction_summary(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Size, date range, mean, median, extremes and spread of points; mean and median width."""
-    by = list(by)
-    spread = _spread(df)
-    keys = by or ["_k"]
-    if not by:
-        spread = spread.withColumn("_k", F.lit(0))
-    plain = spread.groupBy(*keys).agg(
-        F.count("*").alias("n_predictions"),
-        F.min("prediction_date").alias("prediction_date_start"),
-        F.max("prediction_date").alias("prediction_date_end"),
-        F.avg("point_prediction").alias("mean_prediction"),
-        F.min("point_prediction").alias("min_prediction"),
-        F.max("point_prediction").alias("max_prediction"),
-        F.stddev_samp("point_prediction").alias("std_prediction"),
-        F.avg("_width").alias("mean_interval_width"),
-    )
-    # Medians over groups of any size: exact, without holding a group in one task. Both
-    # columns go through the two passes together.
-    long = spread.select(*keys, "point_prediction", "_width").unpivot(
-        keys, ["point_prediction", "_width"], "_column", "_value"
-    )
-    medians = exact_quantiles(
-        long, "_value", [0.5], [*keys, "_column"], names=["_median"], few_groups=not by
-    )
-    both = medians.groupBy(*keys).agg(
-        F.max(F.when(F.col("_column") == "point_prediction", F.col("_median"))).alias("median_prediction"),
-        F.max(F.when(F.col("_column") == "_width", F.col("_median"))).alias("median_interval_width"),
+    return exact_quantiles(
+        _spread(df),
+        {"median_prediction": ("point_prediction", 0.5), "median_interval_width": ("_width", 0.5)},
+        by,
+        carry={
+            "n_predictions": F.count("*"),
+            "prediction_date_start": F.min("prediction_date"),
+            "prediction_date_end": F.max("prediction_date"),
+            "mean_prediction": F.avg("point_prediction"),
+            "min_prediction": F.min("point_prediction"),
+            "max_prediction": F.max("point_prediction"),
+            "std_prediction": F.stddev_samp("point_prediction"),
+            "mean_interval_width": F.avg("_width"),
+        },
+        few_groups=list(by) == [HORIZON],
     )
-    plain = join_keys(plain, both, keys, "left")
-    return plain if by else plain.drop("_k")
 
 
 def prediction_extremes(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions.errors import absolute_error
 from daymark.functions.quantiles import exact_quantiles, histogram_quantile
-from daymark.schema import HORIZON, HORIZONS, RUN_METRICS, series_window
+from daymark.schema import HORIZON, HORIZONS, RUN_METRICS, series_window, whole
 
 # Tracking window and alert threshold.
 ROLLING_ROWS = 30
@@ -59,15 +59,20 @@ def point_mae_by_horizon(compared: DataFrame, series_cols: Sequence[str] = ()) -
 
 
 def rolling_mae(
-    compared: DataFrame, window_rows: int = ROLLING_ROWS, series_cols: Sequence[str] = ()
+    compared: DataFrame,
+    window_rows: int = ROLLING_ROWS,
+    series_cols: Sequence[str] = (),
+    with_overall: bool = False,
 ) -> DataFrame:
     """Mean and count of the last absolute errors, per horizon in order of prediction date.
 
     Several runs may have predicted one date; they follow each other by run time. A window
-    partition holds one series and horizon: calendar days times runs per day.
+    partition holds one series and horizon: calendar days times runs per day. `with_overall`
+    adds the mean over all rows of the series and horizon (`mae`) from the same sort.
     """
     w = series_window([*series_cols, HORIZON], ["prediction_date", "prediction_timestamp"])
     recent = w.rowsBetween(-(window_rows - 1), 0)
+    overall = [F.avg("absolute_error").over(whole(w)).alias("mae")] if with_overall else []
     return compared.select(
         *series_cols,
         F.col("prediction_date").alias("date"),
@@ -75,6 +80,7 @@ def rolling_mae(
         HORIZON,
         F.avg("absolute_error").over(recent).alias("rolling_mae"),
         F.count("absolute_error").over(recent).alias("n_predictions"),
+        *overall,
     )
 
 
@@ -154,9 +160,9 @@ def duration_quantiles(
     """Exact quantiles of raw durations."""
     return exact_quantiles(
         by_labels(metrics, labels),
-        "value",
-        probs,
+        {f"p{round(p * 100):02d}": ("value", p) for p in probs},
         ["metric", *labels],
+        carry={"n": F.count("value")},
         few_groups=set(labels) <= BOUNDED_LABELS,
     )
 

@@ -53,13 +53,10 @@ def track_performance(
     compared = monitor.predictions_vs_actuals(predictions, actuals, series_cols)
     rolling = monitor.rolling_mae(compared, window_rows, series_cols)
     overall = monitor.point_mae_by_horizon(compared, series_cols)
-    newest = monitor.latest_per_group(rolling, keys)
-    log = overall.join(newest, keys, "left").select(
-        *keys,
-        "mae",
-        F.coalesce("rolling_mae", "mae").alias("rolling_mae"),
-        F.coalesce("n_predictions", F.lit(0)).alias("n_predictions"),
-        F.col("prediction_timestamp").alias("timestamp"),
+    # One sort gives both errors of a group; its newest row then carries them.
+    with_overall = monitor.rolling_mae(compared, window_rows, series_cols, with_overall=True)
+    log = monitor.latest_per_group(with_overall, keys).select(
+        *keys, "mae", "rolling_mae", "n_predictions", F.col("prediction_timestamp").alias("timestamp")
     )
     report = {"rolling": rolling, "overall": overall, "log": log}
     if baselines is not None:

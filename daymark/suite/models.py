@@ -51,6 +51,10 @@ def _key(spark: SparkSession, sf: str) -> tuple[str, str]:
     return spark.sparkContext.applicationId, sf
 
 
+def _run_name(spark: SparkSession, sf: str) -> str:
+    return f"{spark.sparkContext.applicationId}_{sf.rstrip('/').rsplit('/', 1)[-1]}"
+
+
 def training_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled feature rows, computed once per session and table folder."""
     key = _key(spark, sf)
@@ -227,7 +231,7 @@ def backtest(spark, sf):
             max("Date" + horizon) AS last_date FROM parts WHERE split = 'test' GROUP BY horizon""",
 )
 def sink_test(spark, sf):
-    path = f"{shared_folder(spark)}/test_predictions_{abs(hash(_key(spark, sf)))}"
+    path = f"{shared_folder(spark)}/{_run_name(spark, sf)}/test_predictions"
     sink_test_predictions(_backtest(spark, sf)["rows"], path)
     return spark.read.parquet(path).groupBy(HORIZON).agg(
         F.count("*").alias("n_samples"), F.min("date").alias("first_date"), F.max("date").alias("last_date")
@@ -241,7 +245,7 @@ def sink_test(spark, sf):
 )
 def load_models(spark, sf):
     """Saved, registered, promoted, looked up and loaded models score like the ones in memory."""
-    root = f"{shared_folder(spark)}/models_{abs(hash(_key(spark, sf)))}"
+    root = f"{shared_folder(spark)}/{_run_name(spark, sf)}/models"
     fitted = trained(spark, sf)
     paths = {h: t.model.save(spark, f"{root}/horizon_{h}") for h, t in fitted.items()}
     results = training.result_rows(spark, fitted, paths, "daily_forecast")

@@ -127,9 +127,11 @@ def conformal_calibration_all(spark, sf):
     ),
 )
 def quantiles(spark, sf):
-    items = i.table(spark, sf, "lineitem")
     found = exact_quantiles(
-        items, "l_extendedprice", [0.025, 0.5, 0.975], ["l_returnflag"], ["low", "middle", "high"]
+        i.table(spark, sf, "lineitem"),
+        {"low": ("l_extendedprice", 0.025), "middle": ("l_extendedprice", 0.5), "high": ("l_extendedprice", 0.975)},
+        ["l_returnflag"],
+        carry={"n": F.count("l_extendedprice")},
     )
     return rounded(found)
 

@@ -4,18 +4,21 @@ import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from daymark.functions.quantiles import exact_quantiles, histogram_quantile
 
 PROBS = [0.0, 0.025, 0.25, 0.5, 0.95, 1.0]
 NAMES = [f"q{i}" for i in range(len(PROBS))]
+WANTED = {name: ("v", p) for name, p in zip(NAMES, PROBS)}
+MEDIAN = {"p50": ("v", 0.5)}
 
 
 def check(spark, groups, **options):
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
     random.Random(0).shuffle(rows)
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
-    out = {r.g: r for r in exact_quantiles(df, "v", PROBS, ["g"], NAMES, **options).collect()}
+    out = {r.g: r for r in exact_quantiles(df, WANTED, ["g"], carry={"n": F.count("v")}, **options).collect()}
     for g, vs in groups.items():
         assert out[g].n == len(vs)
         assert [out[g][n] for n in NAMES] == pytest.approx(np.quantile(vs, PROBS).tolist(), abs=1e-9)
@@ -50,13 +53,13 @@ def test_any_small_group(spark, vs):
 
 def test_nulls_are_left_out_and_whole_table_is_one_group(spark):
     df = spark.createDataFrame([(1.0,), (None,), (3.0,)], "v double")
-    row = exact_quantiles(df, "v", [0.5]).first()
+    row = exact_quantiles(df, MEDIAN, carry={"n": F.count("v")}).first()
     assert (row.n, row.p50) == (2, 2.0)
 
 
 def test_null_group_keys_stay(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("x", 5.0)], "g string, v double")
-    out = {r.g: r.p50 for r in exact_quantiles(df, "v", [0.5], ["g"]).collect()}
+    out = {r.g: r.p50 for r in exact_quantiles(df, MEDIAN, ["g"]).collect()}
     assert out == {None: 2.0, "x": 5.0}
 
 
@@ -65,3 +68,11 @@ def test_histogram_quantile(spark):
     row = histogram_quantile(df, "v", [1, 2, 5], [0.5, 0.9]).first()
     # rank 2.5 lies in (1, 2] after one value of four: 1 + 1.5 / 3; rank 4.5 is beyond the last edge.
     assert (row.p50, row.p90) == (pytest.approx(1.5), 5.0)
+
+
+def test_two_columns_in_one_go(spark):
+    df = spark.createDataFrame([("a", 1.0, 10.0), ("a", 3.0, None), ("b", None, 7.0)], "g string, v double, w double")
+    out = {r.g: (r.mv, r.mw, r.n) for r in exact_quantiles(
+        df, {"mv": ("v", 0.5), "mw": ("w", 0.5)}, ["g"], carry={"n": F.count("*")}
+    ).collect()}
+    assert out == {"a": (2.0, 10.0, 2), "b": (None, 7.0, 1)}
