@@ -16,6 +16,7 @@ from daymark.operators.evaluate import flow_totals, training_summary
 from daymark.operators.features import engineer_for_horizons
 from daymark.operators.weather import merge_weather
 from daymark.schema import HORIZONS, REGISTRY
+from daymark.session import cut_lineage
 
 RESULTS = T.StructType(
     [
@@ -42,14 +43,18 @@ def training_table(
     fallback: str = "last_known",
     lossless: bool = False,
     validate: bool = True,
+    materialize: bool = False,
     **switches: bool,
 ) -> DataFrame:
-    """Complete, labelled feature rows for all horizons, from one pass over the daily series.
+    """Complete, labelled feature rows for all horizons.
 
     The weather of a target day comes from the merged and filled series, so a day past the end
-    of the series has none, and its rows are dropped.
+    of the series has none, and its rows are dropped. The merged series is used twice, so
+    `materialize` checkpoints it, and the raw visits behind it are read and shuffled once.
     """
     merged = merge_weather(daily, weather, fallback, series_cols, location_cols, validate)
+    if materialize:
+        merged = cut_lineage(merged)
     keys = [*dict.fromkeys([*series_cols, *location_cols])]
     lookup = merged.select(*keys, "Date", *[c for c in merged.columns if c not in daily.columns])
     features = engineer_for_horizons(
@@ -123,7 +128,7 @@ def train_flow(
 ) -> dict[str, Any]:
     """Features, models for every horizon, registration, promotion, retention and the report."""
     spark = daily.sparkSession
-    rows = training_table(daily, weather, series_cols, location_cols).persist()
+    rows = training_table(daily, weather, series_cols, location_cols, materialize=True).persist()
     try:
         trained = train_all(rows, horizons, n_trials, series_cols, **options)
     finally:

@@ -60,7 +60,7 @@ def training_rows(spark: SparkSession, sf: str) -> DataFrame:
     key = _key(spark, sf)
     if key not in _rows:
         _rows[key] = cut_lineage(
-            training.training_table(i.filled(spark, sf), i.weather(spark, sf), S, validate=False)
+            training.training_table(i.filled(spark, sf), i.weather(spark, sf), S, validate=False, materialize=True)
         )
     return _rows[key]
 
