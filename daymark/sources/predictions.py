@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.operators.evaluate import format_predictions
@@ -74,11 +74,10 @@ def sink_predictions_table(
         if if_exists == "fail" and not present.isEmpty():
             raise ValueError(f"table {path} already has rows")
         rows = rows.join(present.select(*run_keys).distinct(), list(run_keys), "left_anti")
-    before = 0 if present is None else present.count()
-    rows.select(*[c for c in rows.columns if c != HORIZON], HORIZON).write.mode("append").partitionBy(
-        HORIZON
-    ).parquet(path)
-    return spark.read.parquet(path).count() - before
+    written = Observation()
+    counted = rows.observe(written, F.count(F.lit(1)).alias("n"))  # counts while it writes
+    counted.write.mode("append").partitionBy(HORIZON).parquet(path)
+    return written.get["n"]
 
 
 def with_extra_keys(predictions: DataFrame, keys: Sequence[str]) -> DataFrame:
