@@ -239,9 +239,14 @@ def metric_defaults(metrics: DataFrame) -> DataFrame:
 
 
 def metric_records(
-    spark: SparkSession, ts: object, values: Mapping[str, float], labels: Mapping[str, object]
+    spark: SparkSession,
+    ts: object,
+    events: Sequence[tuple[Mapping[str, float], Mapping[str, object]]],
 ) -> DataFrame:
-    """run_metrics rows of one event: one row per metric, all with the same labels."""
-    text = {k: str(v) for k, v in labels.items()}
-    rows = [(ts, name, text, float(value)) for name, value in values.items()]
+    """run_metrics rows of one moment: each event is a set of values under the same labels."""
+    rows = [
+        (ts, name, {k: str(v) for k, v in labels.items()}, float(value))
+        for values, labels in events
+        for name, value in values.items()
+    ]
     return spark.createDataFrame(rows, RUN_METRICS)

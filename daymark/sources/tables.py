@@ -66,8 +66,9 @@ class MetricsLog:
     def read(self) -> DataFrame:
         return self.spark.read.schema(RUN_METRICS).parquet(self.path)
 
-    def record(self, values: Mapping[str, float], **labels: object) -> None:
-        append_rows(metric_records(self.spark, self.clock(), values, labels), self.path)
+    def record(self, *events: tuple[Mapping[str, float], Mapping[str, object]]) -> None:
+        """Append (values, labels) pairs of one moment in one write."""
+        append_rows(metric_records(self.spark, self.clock(), events), self.path)
 
     def _epoch(self) -> float:
         return self.clock().replace(tzinfo=dt.timezone.utc).timestamp()
@@ -81,42 +82,40 @@ class MetricsLog:
             "model_coverage_by_horizon": coverage,
             "model_interval_width_by_horizon": interval_width,
         }
-        self.record(quality, horizon=horizon, dataset=dataset)
-        self.record({"training_count_total": 1}, horizon=horizon, status=_status(success))
+        run = {
+            "training_duration_seconds": duration,
+            "optuna_trials_count": n_trials,
+            "last_training_timestamp": self._epoch(),
+        }
         self.record(
-            {
-                "training_duration_seconds": duration,
-                "optuna_trials_count": n_trials,
-                "last_training_timestamp": self._epoch(),
-            },
-            horizon=horizon,
+            (quality, {"horizon": horizon, "dataset": dataset}),
+            ({"training_count_total": 1}, {"horizon": horizon, "status": _status(success)}),
+            (run, {"horizon": horizon}),
         )
 
     def prediction(self, count, duration, success=True, horizon_counts=None) -> None:
-        self.record({"prediction_count_total": 1}, status=_status(success))
-        self.record(
-            {"prediction_duration_seconds": duration, "last_prediction_timestamp": self._epoch()}
-        )
-        for horizon, n in (horizon_counts or {}).items():
-            self.record({"predictions_generated_total": n}, horizon=horizon)
+        run = {"prediction_duration_seconds": duration, "last_prediction_timestamp": self._epoch()}
+        made = [({"predictions_generated_total": n}, {"horizon": h}) for h, n in (horizon_counts or {}).items()]
+        self.record(({"prediction_count_total": 1}, {"status": _status(success)}), (run, {}), *made)
 
     def data_processing(self, step, rows, duration) -> None:
-        self.record(
-            {"data_processing_duration_seconds": duration, "data_rows_processed": rows}, step=step
-        )
+        values = {"data_processing_duration_seconds": duration, "data_rows_processed": rows}
+        self.record((values, {"step": step}))
 
     def weather(self, response_time, success=True) -> None:
-        self.record({"weather_api_requests_total": 1}, status=_status(success))
-        self.record({"weather_api_response_time_seconds": response_time})
+        self.record(
+            ({"weather_api_requests_total": 1}, {"status": _status(success)}),
+            ({"weather_api_response_time_seconds": response_time}, {}),
+        )
 
     def registration(self, horizon, stage="Staging") -> None:
-        self.record({"mlflow_model_registrations_total": 1}, horizon=horizon, stage=stage)
+        self.record(({"mlflow_model_registrations_total": 1}, {"horizon": horizon, "stage": stage}))
 
     def promotion(self, horizon) -> None:
-        self.record({"mlflow_model_promotions_total": 1}, horizon=horizon)
+        self.record(({"mlflow_model_promotions_total": 1}, {"horizon": horizon}))
 
     def flow_status(self, flow_name, success) -> None:
-        self.record({"flow_run_status": 1.0 if success else 0.0}, flow_name=flow_name)
+        self.record(({"flow_run_status": 1.0 if success else 0.0}, {"flow_name": flow_name}))
 
 
 def _status(success: bool) -> str:
