@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import packing, url_filter
+from daymark.llm import decontaminate, packing, token_count, url_filter
 from daymark.llm.catalog import ORACLES, QUERIES, query, table  # noqa: F401
 
 URL_RULES = [
@@ -51,3 +51,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document of `documents` in sequences of at most 4096 ids."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens under the piece model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_count.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op9_decontamination")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words that lie in runs of benchmark items."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
