@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import decontaminate, packing, token_count, url_filter
+from daymark.llm import decontaminate, packing, quality_rules, token_count, url_filter
 from daymark.llm.catalog import ORACLES, QUERIES, query, table  # noqa: F401
 
 URL_RULES = [
@@ -53,6 +53,13 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document under the base rules and the rules learned from `labels`."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.judge_quality(docs, table(spark, sf_dir, "labels"))
+
+
 @query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens under the piece model."""
