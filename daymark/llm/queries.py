@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import decontaminate, packing, quality_rules, token_count, url_filter
+from daymark.llm import decontaminate, language_id, packing, quality_rules, token_count, url_filter
 from daymark.llm.catalog import ORACLES, QUERIES, query, table  # noqa: F401
 
 URL_RULES = [
@@ -67,6 +67,15 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query("op8_language_id")
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = language_id.learn(docs)
+    judged = language_id.identify(docs.select("doc_id", "text", language_id.held_out().alias("held_out")), models)
+    return judged.select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 @query("op9_decontamination")
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words that lie in runs of benchmark items."""
