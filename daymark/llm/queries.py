@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import decontaminate, language_id, packing, quality_rules, token_count, url_filter
+from daymark.llm import decontaminate, language_id, ngram_join, packing, quality_rules, token_count, url_filter
 from daymark.llm.catalog import ORACLES, QUERIES, query, table  # noqa: F401
 
 URL_RULES = [
@@ -60,6 +60,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_quality(docs, table(spark, sf_dir, "labels"))
 
 
+@query("op6_ngram_join")
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near copies."""
+    return ngram_join.near_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens under the piece model."""
