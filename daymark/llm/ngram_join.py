@@ -150,9 +150,8 @@ def _filter_bits(ids: DataFrame) -> np.ndarray:
     words = ids.groupBy((F.shiftright(slot, 6)).alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(63).cast("int"))).alias("bits")
     )
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    for row in words.toLocalIterator():
-        out[row["word"]] = row["bits"]
+    found, out = words.toPandas(), np.zeros(FILTER_BITS // 64, np.int64)
+    out[found["word"]] = found["bits"]
     return out.view(np.uint8)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import decontaminate, language_id, ngram_join, packing, quality_rules, token_count, url_filter
+from daymark.llm import decontaminate, language_id, ngram_join, packing, quality_rules, suffix_dedup, token_count, url_filter
 from daymark.llm.catalog import ORACLES, QUERIES, query, table  # noqa: F401
 
 URL_RULES = [
@@ -53,6 +53,19 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes inside 200-byte strings that occur elsewhere."""
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+        (F.coalesce(F.octet_length("text"), F.lit(0)) - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.floor(F.size("runs") / 2).cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document under the base rules and the rules learned from `labels`."""

@@ -9,7 +9,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Odd constants that mix 64-bit hashes (fixed values of a public integer mixer).
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -100,3 +103,31 @@ def rolled(h: np.ndarray, k: int) -> np.ndarray:
         out *= BASE
         out += h[i : i + n]
     return mixed(out)
+
+
+def appended(df: DataFrame, columns: list[str], make, fields: str, limit: int = 8 << 20) -> DataFrame:
+    """df with further columns, computed by make for about `limit` characters of rows at a time.
+
+    make gets a list of values for each of `columns`, of which the first is a text (null as the empty
+    text), and returns one list or array for each of `fields` ("name type, ..."). Columns of these
+    names are replaced. All others pass through as they are, in Arrow form.
+    """
+    names = [f.split()[0] for f in fields.split(", ")]
+    kept = df.drop(*names)
+    schema = T.StructType([*kept.schema, *T._parse_datatype_string(fields)])
+    kinds = to_arrow_schema(schema)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in columns]
+            texts = values[0] = [t if t is not None else "" for t in values[0]]
+            start = size = 0
+            for i, text in enumerate(texts):
+                size += len(text)
+                if size >= limit or i == len(texts) - 1:
+                    found = make(*(v[start : i + 1] for v in values))
+                    new = [pa.array(x, kinds.field(n).type) for n, x in zip(names, found, strict=True)]
+                    yield pa.RecordBatch.from_arrays([*batch.slice(start, i + 1 - start).columns, *new], names=[*batch.schema.names, *names])
+                    start, size = i + 1, 0
+
+    return kept.mapInArrow(add, schema)
