@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import decontaminate, language_id, ngram_join, packing, quality_rules, suffix_dedup, token_count, url_filter
+from daymark.llm import decontaminate, html_extract, language_id, ngram_join, packing, quality_rules, suffix_dedup, token_count, url_filter
 from daymark.llm.catalog import ORACLES, QUERIES, query, table  # noqa: F401
 
 URL_RULES = [
@@ -100,3 +100,9 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words that lie in runs of benchmark items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+@query("op10_html_extraction")
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return html_extract.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")

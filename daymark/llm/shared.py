@@ -11,6 +11,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -105,6 +106,44 @@ def rolled(h: np.ndarray, k: int) -> np.ndarray:
     return mixed(out)
 
 
+#: Bits of the filters that keep rows without a partner from being shuffled (4 MB).
+FILTER_BITS = 1 << 25
+
+
+class KeyFilter:
+    """Passes every listed key, and others with a small chance."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def passes(self, keys: np.ndarray) -> np.ndarray:
+        held = np.ones(len(keys), bool)
+        for shift in (np.uint64(0), np.uint64(32)):
+            slot = (keys >> shift) & np.uint64(FILTER_BITS - 1)
+            held &= (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+        return held
+
+
+def key_filter(keys: DataFrame, column: str):
+    """Broadcast filter of a column; at most FILTER_BITS / 64 words come to the driver."""
+    slots = F.explode(F.array(*(F.shiftrightunsigned(column, s).bitwiseAND(FILTER_BITS - 1) for s in (0, 32))))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot").bitwiseAND(63).cast("int"))
+    words = keys.select(slots.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    found, bits = words.toPandas(), np.zeros(FILTER_BITS // 64, np.int64)
+    bits[found["word"]] = found["bits"]
+    return keys.sparkSession.sparkContext.broadcast(KeyFilter(bits.view(np.uint64)))
+
+
+def passing(known):
+    """A function of a column of keys: does the broadcast filter pass them?"""
+
+    @F.pandas_udf("boolean")
+    def passes(keys: pd.Series) -> pd.Series:
+        return pd.Series(known.value.passes(keys.to_numpy(np.int64).view(np.uint64)))
+
+    return passes
+
+
 def appended(df: DataFrame, columns: list[str], make, fields: str, limit: int = 8 << 20) -> DataFrame:
     """df with further columns, computed by make for about `limit` characters of rows at a time.
 

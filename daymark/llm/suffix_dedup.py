@@ -26,15 +26,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.shared import MIX_A, appended, chunks, mixed, stored
+from daymark.llm.shared import MIX_A, appended, chunks, key_filter, mixed, passing, stored
 
 LENGTH = 200
 ANCHOR = 40
 BATCHES = 4
 #: Windows hashed at a time: longer texts are cut into parts that overlap by a window.
 PART = 1 << 20
-#: Bits of the filters that keep anchors without a partner from being shuffled (4 MB).
-FILTER_BITS = 1 << 25
 #: Classes whose windows are compared in one group; anchors with more of them are compared by a shuffle of windows.
 GROUP_CLASSES = 4096
 HOT_CLASSES = 16384
@@ -91,30 +89,6 @@ def parts(text: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> Iterator[t
         yield first, Part(data[first : first + PART + length - 1], length, anchor)
 
 
-class _Filter:
-    """Passes every listed key, and others with a small chance."""
-
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
-
-    def passes(self, keys: np.ndarray) -> np.ndarray:
-        held = np.ones(len(keys), bool)
-        for shift in (np.uint64(0), np.uint64(32)):
-            slot = (keys >> shift) & np.uint64(FILTER_BITS - 1)
-            held &= (self.bits[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-        return held
-
-
-def _filter(keys: DataFrame, column: str):
-    """Broadcast filter of a column; at most FILTER_BITS / 64 words come to the driver."""
-    slots = F.explode(F.array(*(F.shiftrightunsigned(column, s).bitwiseAND(FILTER_BITS - 1) for s in (0, 32))))
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot").bitwiseAND(63).cast("int"))
-    words = keys.select(slots.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    found, bits = words.toPandas(), np.zeros(FILTER_BITS // 64, np.int64)
-    bits[found["word"]] = found["bits"]
-    return keys.sparkSession.sparkContext.broadcast(_Filter(bits.view(np.uint64)))
-
-
 class SuffixFamily:
     """Levels of sparse suffix arrays, in tables in the shared folder.
 
@@ -249,10 +223,10 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR
     for batch in range(batches):
         found = family.add(texts.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(batches)) == batch))
         repeated = found if repeated is None else repeated.union(found)
-    classes = stored(_classes(texts, _filter(stored(repeated, "repeated"), "anchor"), length, anchor), "run-classes")
+    classes = stored(_classes(texts, key_filter(stored(repeated, "repeated"), "anchor"), length, anchor), "run-classes")
     several = classes.groupBy("anchor").agg(F.count("*").alias("m")).where("m > 1")
     open_ = stored(classes.join(several, "anchor"), "open-classes")
-    samples = _samples(texts, _filter(open_, "class_id"), length, anchor)
+    samples = _samples(texts, key_filter(open_, "class_id"), length, anchor)
     samples = stored(samples.join(open_, "class_id").select("class_id", "anchor", "data", "n", "m"), "samples")
     groups = samples.count() // GROUP_CLASSES + 1
     dealt = samples.where(F.col("m") <= hot).withColumn("deal", F.pmod(F.xxhash64("anchor"), F.lit(groups)))
@@ -305,7 +279,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     or text_size are replaced; others stay. An empty table gives no rows.
     """
     windows = repeated_windows(docs, length, anchor, batches, hot)
-    known = _filter(windows, "class_id")
+    known = key_filter(windows, "class_id")
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in chunks(frames):
@@ -324,13 +298,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR,
     placed = long_.mapInPandas(place, "text_key bigint, text_size int, first bigint, last bigint, class_id bigint")
     lists = placed.join(windows, "class_id").groupBy("text_key", "text_size").agg(F.collect_set(F.struct("first", "last", "bits")).alias("found"))
     covered = stored(_covering(lists, length), "covered")
-    listed = _filter(covered, "text_key")
-
-    @F.pandas_udf("boolean")
-    def maybe(keys: pd.Series) -> pd.Series:
-        return pd.Series(listed.value.passes(keys.to_numpy(np.int64).view(np.uint64)))
-
-    marked = keyed.withColumn("maybe", maybe("text_key"))
+    listed = key_filter(covered, "text_key")
+    marked = keyed.withColumn("maybe", passing(listed)("text_key"))
     untouched = marked.where("NOT maybe").drop("maybe").withColumns(
         {"runs": F.array().cast("array<bigint>"), "kept": F.coalesce("text", F.lit("")).cast("binary")}
     )
