@@ -17,11 +17,10 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.shared import chunks, hashes, rolled, stored
+from daymark.llm.shared import appended, hashes, rolled, stored
 
 RUN = 10
 GRAM = 5
@@ -118,51 +117,47 @@ def benchmark_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> It
         yield [(r["item"], r["text"]) for r in rows]
 
 
-_STATE = "doc_id bigint, text string, mask binary, items array<string>"
-_RESULT = "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
+RESULT = "n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean"
+#: What a block hands to the next one.
+_STATE = "hit_mask binary, hit_items array<string>"
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) of each row of docs (doc_id, text).
+    """docs with n_words, n_hit, n_items, items_sha256 and contaminated, from its column text.
 
     n_hit counts the words inside any run of an item, n_items the items with such runs, and
     items_sha256 is the digest of their ids, sorted as strings and joined by commas (of the empty
-    string if there are none). Null and empty texts have no words. An empty benchmark leaves
-    every document clean; an empty docs table gives no rows. Repeated rows are judged each; a
-    repeated item counts once. Other columns are ignored, whatever their names.
+    string if there are none). contaminated: n_hit is above 0. Null and empty texts have no words. An
+    empty benchmark leaves every document clean; an empty docs table gives no rows. Repeated rows
+    are judged each; a repeated item counts once. Columns with the new names are replaced, others stay.
     """
-    spark = docs.sparkSession
-    state = docs.select(F.col("doc_id").cast("bigint"), "text").withColumns(
-        {"mask": F.lit(None).cast("binary"), "items": F.lit(None).cast("array<string>")}
-    )
+    context = docs.sparkSession.sparkContext
+    state = docs.drop("hit_mask", "hit_items")
     blocks = benchmark_blocks(benchmark, block_bytes)
-    block = next(blocks)
+    block, seen = next(blocks), ["text"]
     while block is not None:
         following = next(blocks, None)
-        state = state.mapInPandas(_joined(spark.sparkContext.broadcast(Benchmark(block)), following is None), _STATE if following is not None else _RESULT)
+        state = appended(state, seen, _joined(context.broadcast(Benchmark(block)), following is None), RESULT if following is None else _STATE)
         if following is not None:
-            state = stored(state, "decontaminate")
+            state, seen = stored(state, "decontaminate"), ["text", "hit_mask", "hit_items"]
         block = following
-    return state
+    return state.drop("hit_mask", "hit_items")
 
 
 def _joined(shared, last: bool):
-    def join(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        for frame in chunks(frames):
-            rows = []
-            for key, text, mask, items in frame.itertuples(index=False):
-                h = hashes(words(text))
-                hit, found = known.hits(h)
-                if mask is not None:
-                    hit |= np.unpackbits(np.frombuffer(mask, np.uint8), count=len(h)).astype(bool)
-                    found |= set(items)
-                if last:
-                    listed = ",".join(sorted(found))
-                    n = int(hit.sum())
-                    rows.append((key, len(h), n, len(found), hashlib.sha256(listed.encode()).hexdigest(), n > 0))
-                else:
-                    rows.append((key, text, np.packbits(hit).tobytes(), sorted(found)))
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in (_RESULT if last else _STATE).split(", ")])
+    def join(texts: list[str], masks: list | None = None, items: list | None = None) -> list:
+        rows, known = [], shared.value
+        for i, text in enumerate(texts):
+            h = hashes(words(text))
+            hit, found = known.hits(h)
+            if masks is not None:
+                hit |= np.unpackbits(np.frombuffer(masks[i], np.uint8), count=len(h)).astype(bool)
+                found |= set(items[i])
+            if last:
+                listed, n = ",".join(sorted(found)), int(hit.sum())
+                rows.append((len(h), n, len(found), hashlib.sha256(listed.encode()).hexdigest(), n > 0))
+            else:
+                rows.append((np.packbits(hit).tobytes(), sorted(found)))
+        return list(zip(*rows, strict=True))
 
     return join

@@ -26,14 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daymark.llm.components import components
-from daymark.llm.shared import chunks, hashes, rolled, stored
+from daymark.llm.shared import chunks, hashes, key_filter, passing, rolled, stored
 
 GRAM = 5
 PERCENT = 80
 #: Counters of the sketch (4 MB) and the slices in which they travel.
 COUNTERS, SLICES = 1 << 20, 64
-#: Bits of the filter that keeps sets without a partner from being shuffled (1 MB).
-FILTER_BITS = 1 << 23
 PIVOTS = 4
 #: Stars go on while the columns hold more pairs than this for each row and shrink.
 PAIRS_PER_ROW = 8
@@ -129,14 +127,12 @@ def _leading(levels):
 
 def _sets(wanted):
     def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits = wanted.value
         for frame in chunks(frames):
             rows = []
             for text in frame["text"]:
                 grams = shingles(text)
                 key = class_of(grams)
-                slot = key % FILTER_BITS
-                if len(grams) and bits[slot >> 3] >> (slot & 7) & 1:
+                if len(grams) and wanted.value.passes(np.array([key], np.int64).view(np.uint64))[0]:
                     rows.append((key, len(grams), grams.view(np.int64)))
             if rows:
                 yield pd.DataFrame(rows, columns=["class_id", "n", "grams"])
@@ -144,17 +140,6 @@ def _sets(wanted):
     return keep
 
 
-def _filter_bits(ids: DataFrame) -> np.ndarray:
-    """A bit for each class id modulo FILTER_BITS; at most FILTER_BITS / 64 rows come to the driver."""
-    slot = F.pmod("class_id", F.lit(FILTER_BITS))
-    words = ids.groupBy((F.shiftright(slot, 6)).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), slot.bitwiseAND(63).cast("int"))).alias("bits")
-    )
-    found, out = words.toPandas(), np.zeros(FILTER_BITS // 64, np.int64)
-    out[found["word"]] = found["bits"]
-    return out.view(np.uint8)
-
-
 def _close(a: Column, b: Column) -> Column:
     """Can sets of these sizes be similar enough?"""
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
@@ -207,14 +192,14 @@ def _open_columns(members: DataFrame) -> DataFrame:
 def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, class_id, n) of each document; (node, root) of each class that is linked with another."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    kinds = "doc_id bigint, class_id bigint, n bigint, slice bigint, counts binary"
+    texts = docs.select(F.col("doc_id").cast("string"), "text")
+    kinds = "doc_id string, class_id bigint, n bigint, slice bigint, counts binary"
     measured = stored(texts.mapInPandas(_measure, kinds), "measured")
     levels = spark.sparkContext.broadcast(_levels(measured))
     leading = texts.select("text").mapInPandas(_leading(levels), f"shingle bigint, {_CLASS}, odd bigint, place bigint")
     shared = leading.groupBy("shingle").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low <> high")
     members = stored(leading.join(shared.select("shingle"), "shingle").distinct(), "columns")
-    wanted = spark.sparkContext.broadcast(_filter_bits(members.select("class_id")))
+    wanted = key_filter(members.select("class_id").distinct(), "class_id")
     sets = texts.select("text").mapInPandas(_sets(wanted), f"{_CLASS}, grams array<bigint>")
     sets = stored(sets.dropDuplicates(["class_id"]), "sets")
     links, roots, before = None, None, None
@@ -242,7 +227,7 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = rows.select(*members.columns, "root")
     if roots is None:
         roots = spark.createDataFrame([], "node bigint, root bigint")
-    return measured.where("slice IS NULL").select("doc_id", "class_id", "n"), roots
+    return measured.where("slice IS NULL").select(F.col("doc_id").cast("bigint"), "class_id", "n"), roots
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -263,3 +248,20 @@ def near_components(docs: DataFrame) -> DataFrame:
     named = stored(rooted.join(least, "root").select("class_id", "component_id"), "classes")
     full = rows.where("n > 0").join(named, "class_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return full.union(rows.where("n = 0").select("doc_id", "n", "doc_id"))
+
+
+def keep_representatives(docs: DataFrame) -> DataFrame:
+    """docs with one document of each component: the one with the smallest doc_id.
+
+    Of repeated rows one stays. Documents without words, without links or without an id stay. Columns stay
+    as they are.
+    """
+    found = stored(near_components(docs), "components")
+    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("m"))
+    touched = stored(ids.where("component_id <> doc_id OR m > 1").select("doc_id", "component_id"), "touched")
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0))
+    maybe = docs.withColumn("maybe", F.col("doc_id").isNotNull() & passing(key_filter(touched, "doc_id"))(key))
+    plain = maybe.where("NOT maybe").drop("maybe")
+    met = maybe.where("maybe").drop("maybe").join(touched, "doc_id", "left").where("component_id IS NULL OR component_id = doc_id")
+    one = met.withColumn("text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "text_key"])
+    return plain.unionByName(one.select(*docs.columns))

@@ -24,7 +24,8 @@ END_ID = 2
 #: Documents in a group: enough for close packing, small enough for one task.
 GROUP_DOCUMENTS = 4096
 
-PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
+#: Ids travel as text: pandas would turn whole numbers beside nulls into floating ones.
+PIECES = "doc_id string, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -126,7 +127,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 4096, doc: str
                     rows.append((key, start, len(piece) // 4, zlib.crc32(piece), total))
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
-    return docs.select(F.col(doc).cast("bigint").alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, PIECES)
+    return docs.select(F.col(doc).cast("string").alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, PIECES)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, seed: int = 7, group_documents: int = GROUP_DOCUMENTS) -> DataFrame:
@@ -148,4 +149,5 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, seed:
         bins, offsets = first_fit_decreasing(frame["length"].to_numpy(), capacity)
         return frame.assign(sequence_id=frame["group_id"] * (1 << 32) + bins, offset=offsets).drop(columns="group_id")
 
-    return dealt.groupBy("group_id").applyInPandas(pack, PIECES + ", sequence_id bigint, offset bigint")
+    packed = dealt.groupBy("group_id").applyInPandas(pack, PIECES + ", sequence_id bigint, offset bigint")
+    return packed.withColumn("doc_id", F.col("doc_id").cast("bigint"))

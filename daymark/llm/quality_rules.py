@@ -10,7 +10,6 @@ conditional expressions, which judges all documents.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.shared import chunks, rolled, stored
+from daymark.llm.shared import appended, rolled, stored
 
 WINDOW = 5
 SYMBOLS = "#*$%&|<>"
@@ -69,16 +68,9 @@ def text_counts(text: str) -> tuple[int, ...]:
 
 
 def document_counts(docs: DataFrame) -> DataFrame:
-    """doc_id and the counts of each row of docs (doc_id, text); a null text has none of anything."""
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in chunks(frames):
-            counts = pd.DataFrame([text_counts(t) for t in frame["text"]], columns=COUNTS + _MORE)
-            counts.insert(0, "doc_id", frame["doc_id"].to_numpy())
-            yield counts
-
-    kinds = ", ".join(f"{c} bigint" for c in COUNTS + _MORE)
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInPandas(count, f"doc_id bigint, {kinds}")
+    """docs with the counts of its column text; a null text has none of anything."""
+    count = lambda texts: list(zip(*map(text_counts, texts), strict=True))
+    return appended(docs, ["text"], count, ", ".join(f"{c} bigint" for c in COUNTS + _MORE))
 
 
 def features() -> dict[str, Column]:
@@ -207,7 +199,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_
     A null or empty text has no words and fails. `rule` is the number of the learned rule that
     rejects the document, 0 if none does. Without labels no rule is learned. No documents give no rows.
     """
-    counts = stored(document_counts(docs), "quality-counts")
+    counts = stored(document_counts(docs.select(F.col("doc_id").cast("bigint"), "text")).drop("text"), "quality-counts")
     rules = fit(counts, labels, sample_rows)
     judged = counts.withColumns({"base_failed": base_failed(), "rule": verdict(rules)})
     return judged.select("doc_id", *COUNTS, "base_failed", (~F.col("base_failed") & (F.col("rule") == 0)).alias("kept"), "rule")

@@ -83,7 +83,8 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens under the piece model."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_count.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    counted = token_count.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
 @query("op8_language_id")
@@ -99,7 +100,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words that lie in runs of benchmark items."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.drop("text")
 
 
 @query("op10_html_extraction")

@@ -17,15 +17,12 @@ inside is read letter by letter, whatever its length.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.shared import Generations, chunks
+from daymark.llm.shared import Generations, appended
 
 #: The letter that stands for a space in pieces (fixed value of the format).
 SPACE = "▁"
@@ -142,19 +139,13 @@ def transducer(path: str) -> Transducer:
 
 
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens, over_limit) of each row of docs (doc_id, text).
+    """docs with n_bytes, n_tokens and over_limit (n_tokens > limit), from its column text.
 
     Null and empty texts have 0 bytes and 0 tokens. Repeated rows are counted each; an empty table
-    gives no rows; other columns are ignored, whatever their names. Texts are read whole. The file
-    of the model must be at the same path on every executor.
+    gives no rows; columns with the new names are replaced, others stay. Texts are read whole. The
+    file of the model must be at the same path on every executor.
     """
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        machine = transducer(model)
-        for frame in chunks(frames):
-            n = np.fromiter(map(machine.count, frame["text"]), np.int64, len(frame))
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "n_bytes": frame["n_bytes"], "n_tokens": n, "over_limit": n > limit})
-
-    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("n_bytes", F.octet_length("text").cast("bigint"))
-    return rows.mapInPandas(count, "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    counted = appended(docs, ["text"], lambda texts: [list(map(transducer(model).count, texts))], "n_tokens bigint")
+    return counted.withColumns(
+        {"n_bytes": F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint"), "over_limit": F.col("n_tokens") > limit}
+    )
