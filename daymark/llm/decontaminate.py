@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.shared import appended, hashes, rolled, stored
+from daymark.llm.shared import appended, batch_hashes, byte_set, rolled, stored
 
 RUN = 10
 GRAM = 5
@@ -33,8 +33,12 @@ _LETTERS = bytes(
 )
 
 
-def words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "replace").translate(_LETTERS).split()
+_SEPARATORS = byte_set(b" ")
+
+
+def word_hashes(texts: list[str]) -> list[np.ndarray]:
+    """Hashes of each text's words, in order."""
+    return batch_hashes([t.encode("utf-8", "replace").translate(_LETTERS) for t in texts], _SEPARATORS)
 
 
 def winnowed(grams: np.ndarray, window: int) -> np.ndarray:
@@ -56,8 +60,7 @@ class Benchmark:
     def __init__(self, items: list[tuple[str, str]]):
         self.ids: list[str] = []
         prints, runs, owners = [], {}, {}
-        for item, text in items:
-            h = hashes(words(text))
+        for (item, _), h in zip(items, word_hashes([t for _, t in items]), strict=True):
             if not len(h):
                 continue
             number, n = len(self.ids), min(RUN, len(h))
@@ -147,8 +150,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int =
 def _joined(shared, last: bool):
     def join(texts: list[str], masks: list | None = None, items: list | None = None) -> list:
         rows, known = [], shared.value
-        for i, text in enumerate(texts):
-            h = hashes(words(text))
+        for i, h in enumerate(word_hashes(texts)):
             hit, found = known.hits(h)
             if masks is not None:
                 hit |= np.unpackbits(np.frombuffer(masks[i], np.uint8), count=len(h)).astype(bool)

@@ -6,12 +6,13 @@ n - ceil(t n) + 1 first ones of both sets, in any common order, so only these co
 multiplied. The order puts rare shingles first, by a sketch of fixed size that counts all shingles:
 passages that very many documents hold come last and make no pairs.
 
-A column of the product with m documents would give m * m / 2 pairs. Instead, rounds of stars run:
-in each column a few pivots are paired with the others, the pairs' overlaps in the product are
-counted, those that their sizes and places rule out are discarded, the rest is settled on the whole
-sets, and what is linked becomes one component. Inside a component nothing is left to find, so columns of
-near copies shrink to nothing. Columns that still hold several components are multiplied in full,
-across components only. No link between components is lost.
+A column of the product with m documents would give m * m / 2 pairs. Instead, rounds of stars run: each
+column pairs one pivot with its other documents, pairs whose sizes rule them out are discarded, the
+others' overlaps are counted on the whole sets, and what is linked becomes one component. Inside a
+component nothing is left to find, so columns of near copies shrink to nothing. The pivot is the
+document with the fewest rare shingles, for copies the text nearest to what they share. Columns that
+still hold several components are multiplied in full at last, across components only. No link between
+components is lost.
 """
 
 from __future__ import annotations
@@ -23,51 +24,54 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from daymark.llm.components import components
-from daymark.llm.shared import chunks, hashes, key_filter, passing, rolled, stored
+from daymark.llm.shared import batch_hashes, chunks, key_filter, passing, rolled, stored, word_bytes
 
 GRAM = 5
 PERCENT = 80
-#: Counters of the sketch (4 MB) and the slices in which they travel.
+#: Counters of the sketch (8 MB) and the slices in which they travel.
 COUNTERS, SLICES = 1 << 20, 64
-PIVOTS = 4
 #: Stars go on while the columns hold more pairs than this for each row and shrink.
-PAIRS_PER_ROW = 8
+PAIRS_PER_ROW = 4
+#: Texts in characters that are hashed together.
+_TOGETHER = 1 << 20
+#: Leading bits of a column's code hold the level, those of a class id the share of rare shingles.
+_CODE_BITS, _CLASS_BITS = 58, 58
 
-_CLASS = "class_id bigint, n bigint"
 
+def shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    """Ascending distinct hashes of each text's 5-word shingles; of fewer words, of the whole sequence; none without words."""
+    out = []
+    for h in batch_hashes([t.encode("utf-8", "replace").lower() for t in texts], word_bytes()):
+        size = min(GRAM, len(h))
+        out.append(np.unique(rolled(h, size) + np.uint64(size)) if size else h)
+    return out
 
-def shingles(text: str) -> np.ndarray:
-    """Ascending distinct hashes of 5-word shingles; of fewer words, of the whole sequence; none without words."""
-    words = text.encode("utf-8", "replace").lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    return np.unique(rolled(hashes(words), min(GRAM, len(words))) + np.uint64(min(GRAM, len(words))))
 
+def class_of(grams: np.ndarray, level: np.ndarray) -> int:
+    """The same number for equal sets; smaller for sets with fewer rare shingles."""
+    rare = int(31 * (level[_counter(grams)] == 0).mean()) if len(grams) else 0
+    return rare << _CLASS_BITS | int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little") >> (64 - _CLASS_BITS)
 
-def class_of(grams: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+def _counter(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64(COUNTERS - 1)).view(np.int64)
 
 
 def _least_common(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def _measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Class and size of each document, then the task's counters in slices."""
+def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The task's counters, in slices."""
     counters = np.zeros(COUNTERS, np.int64)
-    for frame in chunks(frames):
-        rows = []
-        for key, text in zip(frame["doc_id"], frame["text"], strict=True):
-            grams = shingles(text)
-            np.add.at(counters, (grams & np.uint64(COUNTERS - 1)).view(np.int64), 1)
-            rows.append((key, class_of(grams), len(grams), None, None))
-        yield pd.DataFrame(rows, columns=["doc_id", "class_id", "n", "slice", "counts"])
-    cut = [(None, None, None, i, part.astype("<i8").tobytes()) for i, part in enumerate(np.split(counters, SLICES)) if part.any()]
+    for frame in chunks(frames, limit=_TOGETHER):
+        sets = shingle_sets(frame["text"].tolist())
+        counters += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS)
+    cut = [(i, part.astype("<i8").tobytes()) for i, part in enumerate(np.split(counters, SLICES)) if part.any()]
     if cut:
-        yield pd.DataFrame(cut, columns=["doc_id", "class_id", "n", "slice", "counts"])
+        yield pd.DataFrame(cut, columns=["slice", "counts"])
 
 
 def _summed(frame: pd.DataFrame) -> pd.DataFrame:
@@ -77,157 +81,170 @@ def _summed(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"slice": frame["slice"][:1], "counts": [total.tobytes()]})
 
 
-def _levels(measured: DataFrame) -> np.ndarray:
-    """How many times (in powers of two) each counter is above the mean; 4 MB come to the driver, whatever the input."""
-    half = measured.where("slice IS NOT NULL").select((F.col("slice") * 64 + F.pmod(F.spark_partition_id(), F.lit(64))).alias("part"), "slice", "counts")
-    partly = half.groupBy("part").applyInPandas(_summed_parts, "slice bigint, counts binary")
-    total = np.zeros(COUNTERS, np.int64)
-    size = COUNTERS // SLICES
-    for row in partly.groupBy("slice").applyInPandas(_summed, "slice bigint, counts binary").toLocalIterator():
-        total[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(bytes(row["counts"]), "<i8")
-    return np.log2(np.maximum(total / (1 + total.mean()), 1)).astype(np.uint8)
-
+def frequency_levels(texts: DataFrame) -> np.ndarray:
+    """How far each counter lies above the mean, in powers of two of four deviations of it.
 
-def _summed_parts(frame: pd.DataFrame) -> pd.DataFrame:
-    return _summed(frame.drop(columns="part"))
+    8 MB come to the driver, whatever the input: counters are summed in two steps, so no task takes
+    a slice from all tasks at once.
+    """
+    kinds = "slice bigint, counts binary"
+    counted = texts.mapInPandas(_count, kinds).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(16)))
+    partly = counted.groupBy("slice", "part").applyInPandas(lambda frame: _summed(frame), kinds)
+    total, size = np.zeros(COUNTERS, np.int64), COUNTERS // SLICES
+    for row in partly.groupBy("slice").applyInPandas(_summed, kinds).toLocalIterator():
+        total[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(bytes(row["counts"]), "<i8")
+    above = np.maximum(total - total.mean(), 0) / (4 * np.sqrt(1 + total.mean()))
+    return np.minimum(np.log2(1 + above), 31).astype(np.uint8)
 
 
 def _leading(levels):
-    """The first columns of each document's row: (shingle, class_id, n, odd, place)."""
+    """The first columns of each set's row, by their codes: (code, class_id, n). Copies in one task come once."""
 
     def lead(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        level = levels.value
-        for frame in chunks(frames):
+        level, seen = levels.value, set()
+        for frame in chunks(frames, limit=_TOGETHER):
             parts = []
-            for text in frame["text"]:
-                grams = shingles(text)
+            for grams in shingle_sets(frame["text"].tolist()):
                 n = len(grams)
-                if not n:
+                key = class_of(grams, level)
+                if not n or key in seen:
                     continue
-                own = level[(grams & np.uint64(COUNTERS - 1)).view(np.int64)]
+                seen.add(key)
+                codes = (level[_counter(grams)].astype(np.uint64) << np.uint64(_CODE_BITS)) | (grams >> np.uint64(64 - _CODE_BITS))
                 keep = n - _least_common(n) + 1
-                first = np.lexsort((grams, own))[:keep]
-                odd = int(1000 * (own == 0).mean())
-                parts.append((grams[first].view(np.int64), class_of(grams), n, odd))
-            sizes = [len(p[0]) for p in parts]
-            column = lambda i: np.repeat(np.array([p[i] for p in parts], np.int64), sizes)
+                parts.append((np.sort(codes)[:keep].view(np.int64), key, n))
+            if len(seen) > 500_000:
+                seen.clear()
             if parts:
-                yield pd.DataFrame(
-                    {
-                        "shingle": np.concatenate([p[0] for p in parts]),
-                        "class_id": column(1),
-                        "n": column(2),
-                        "odd": column(3),
-                        "place": np.concatenate([np.arange(s) for s in sizes]),
-                    }
-                )
+                sizes = [len(p[0]) for p in parts]
+                column = lambda i: np.repeat(np.array([p[i] for p in parts], np.int64), sizes)  # noqa: B023, E731
+                yield pd.DataFrame({"code": np.concatenate([p[0] for p in parts]), "class_id": column(1), "n": column(2)})
 
     return lead
 
 
-def _sets(wanted):
+def _sets(levels, wanted):
+    """(class_id, n, grams) of the classes that pass the filter; copies in one task come once."""
+
     def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in chunks(frames):
-            rows = []
-            for text in frame["text"]:
-                grams = shingles(text)
-                key = class_of(grams)
-                if len(grams) and wanted.value.passes(np.array([key], np.int64).view(np.uint64))[0]:
-                    rows.append((key, len(grams), grams.view(np.int64)))
+        level, seen = levels.value, set()
+        for frame in chunks(frames, limit=_TOGETHER):
+            sets = shingle_sets(frame["text"].tolist())
+            keys = np.array([class_of(g, level) for g in sets], np.int64)
+            passed = wanted.value.passes(keys.view(np.uint64))
+            rows = {int(k): g for k, g, p in zip(keys, sets, passed, strict=True) if p and len(g) and int(k) not in seen}
+            seen.update(rows)
+            if len(seen) > 500_000:
+                seen.clear()
             if rows:
-                yield pd.DataFrame(rows, columns=["class_id", "n", "grams"])
+                yield pd.DataFrame({"class_id": list(rows), "n": list(map(len, rows.values())), "grams": [g.view(np.int64) for g in rows.values()]})
 
     return keep
 
 
-def _close(a: Column, b: Column) -> Column:
-    """Can sets of these sizes be similar enough?"""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
+def _classes(levels):
+    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in chunks(frames, limit=_TOGETHER):
+            sets = shingle_sets(frame["text"].tolist())
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "class_id": [class_of(g, levels.value) for g in sets], "n": list(map(len, sets))})
 
+    return of
 
-def _needed(a: Column, b: Column) -> Column:
-    """Overlap that sets of these sizes need: 100 c >= PERCENT (a + b - c)."""
-    return F.ceil((a + b) * PERCENT / (100 + PERCENT) - 1e-9)
 
-
-def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of the product of two sets of rows (shingle, class_id, n, place, root), across roots."""
-    a, b = left.alias("a"), right.alias("b")
-    possible = F.least("a.place", "b.place") + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
-    pairs = a.join(b, "shingle").where(
-        (F.col("a.class_id") != F.col("b.class_id"))
-        & (F.col("a.root") != F.col("b.root"))
-        & _close(F.col("a.n"), F.col("b.n"))
-    )
-    # Each common column bounds the overlap by what both sets hold before it and from it on.
-    overlap = pairs.groupBy(
-        F.least("a.class_id", "b.class_id").alias("a"), F.greatest("a.class_id", "b.class_id").alias("b")
-    ).agg(F.min(possible).alias("most"), F.first(_needed(F.col("a.n"), F.col("b.n"))).alias("needed"))
-    return overlap.where("most >= needed").select("a", "b")
+def _close(a: str, b: str) -> Column:
+    """Can sets of these sizes be similar enough?"""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
 def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose whole sets are similar enough."""
+    """Pairs (a, b) whose whole sets are similar enough."""
     x, y = sets.toDF("a", "n_a", "grams_a"), sets.toDF("b", "n_b", "grams_b")
     both = pairs.join(x, "a").join(y, "b")
     common = F.size(F.array_intersect("grams_a", "grams_b"))
     return both.where(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
 
 
-def _rooted(members: DataFrame, links: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """Rows with the root of their class, and the roots."""
-    if links is None:
-        return members.withColumn("root", F.col("class_id")), None
-    roots = stored(components(links), "roots")
-    rooted = members.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
-    return rooted.withColumn("root", F.coalesce("root", "class_id")), roots
+class _Sets:
+    """Whole sets of the classes that pairs name, read from the texts when first named."""
+
+    def __init__(self, texts: DataFrame, levels):
+        self.texts, self.levels, self.found = texts, levels, None
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
+        if self.found is not None:
+            ids = ids.join(self.found.select("class_id"), "class_id", "left_anti")
+        ids = stored(ids, "wanted")
+        if ids.isEmpty():
+            return self.found
+        kinds = "class_id bigint, n bigint, grams array<bigint>"
+        new = self.texts.mapInPandas(_sets(self.levels, key_filter(ids, "class_id")), kinds)
+        new = stored(new.join(ids, "class_id").dropDuplicates(["class_id"]), "sets")
+        self.found = new if self.found is None else self.found.union(new)
+        return self.found
+
+
+def _stars(rows: DataFrame) -> DataFrame:
+    """Columns that hold several components: their rows with the pivot, its size and root."""
+    several = rows.groupBy("code").agg(
+        F.min("class_id").alias("pivot"),
+        F.min_by("n", "class_id").alias("pivot_n"),
+        F.min_by("root", "class_id").alias("pivot_root"),
+        F.min("root").alias("low"),
+        F.max("root").alias("high"),
+    )
+    return rows.join(several.where("low <> high").drop("low", "high"), "code")
 
 
-def _open_columns(members: DataFrame) -> DataFrame:
-    """Rows of columns that hold several components."""
-    several = members.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return members.join(several.select("shingle"), "shingle", "left_semi")
+def _product(rows: DataFrame) -> DataFrame:
+    """All pairs of the columns, across components."""
+    a, b = rows.toDF("code", "a", "n_a", "root_a"), rows.toDF("code", "b", "n_b", "root_b")
+    pairs = a.join(b, "code").where("a < b AND root_a <> root_b").where(_close("n_a", "n_b"))
+    return pairs.select("a", "b").distinct()
 
 
 def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, class_id, n) of each document; (node, root) of each class that is linked with another."""
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("string"), "text")
-    kinds = "doc_id string, class_id bigint, n bigint, slice bigint, counts binary"
-    measured = stored(texts.mapInPandas(_measure, kinds), "measured")
-    levels = spark.sparkContext.broadcast(_levels(measured))
-    leading = texts.select("text").mapInPandas(_leading(levels), f"shingle bigint, {_CLASS}, odd bigint, place bigint")
-    shared = leading.groupBy("shingle").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low <> high")
-    members = stored(leading.join(shared.select("shingle"), "shingle").distinct(), "columns")
-    wanted = key_filter(members.select("class_id").distinct(), "class_id")
-    sets = texts.select("text").mapInPandas(_sets(wanted), f"{_CLASS}, grams array<bigint>")
-    sets = stored(sets.dropDuplicates(["class_id"]), "sets")
-    links, roots, before = None, None, None
-    rows, _ = _rooted(members, None)
+    texts = docs.select("text")
+    levels = spark.sparkContext.broadcast(frequency_levels(texts))
+    leading = texts.mapInPandas(_leading(levels), "code bigint, class_id bigint, n bigint").withColumn("root", F.col("class_id"))
+    rows, links, roots, before = leading, None, None, None
+    sets = _Sets(texts, levels)
     while True:
-        rows = stored(_open_columns(rows), "open")
-        size = rows.groupBy("shingle").agg(F.count("*").cast("double").alias("m")).agg(F.sum("m"), F.sum(F.col("m") * F.col("m"))).first()
+        stars = stored(_stars(rows), "stars")
+        pairs = stars.where("root <> pivot_root").where(_close("n", "pivot_n"))
+        pairs = stored(pairs.select(F.col("pivot").alias("a"), F.col("class_id").alias("b")).distinct(), "pairs")
+        # Pivots have met all rows of their columns.
+        rows = stars.where("class_id <> pivot").select("code", "class_id", "n", "root")
+        links, roots, rows = _settled(pairs, sets, links, roots, rows)
+        sizes = rows.groupBy("code").agg(F.count("*").cast("double").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"))
+        size = sizes.where("low <> high").agg(F.sum("m"), F.sum(F.col("m") * F.col("m"))).first()
         if not size[0]:
             break
-        last = size[1] <= PAIRS_PER_ROW * size[0] or (before is not None and size[1] > 0.8 * before)
-        before = size[1]
-        if last:
-            pairs = _candidates(rows, rows)
-        else:
-            order = Window.partitionBy("shingle").orderBy("odd", "class_id")
-            pivots = rows.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= PIVOTS).drop("nth")
-            pairs = _candidates(pivots, rows)
-        found = _linked(stored(pairs, "pairs"), sets)
-        links = stored(found if links is None else links.union(found), "links")
-        rooted, roots = _rooted(rows.drop("root"), links)
-        if last:
+        if size[1] <= PAIRS_PER_ROW * size[0] or (before is not None and size[1] > 0.8 * before):
+            open_ = sizes.where("low <> high").select("code")
+            pairs = stored(_product(rows.join(open_, "code", "left_semi").distinct()), "pairs")
+            links, roots, _ = _settled(pairs, sets, links, roots, rows)
             break
-        # Pivots have met all rows of their columns.
-        rows = rooted.join(pivots.select("shingle", "class_id"), ["shingle", "class_id"], "left_anti")
-        rows = rows.select(*members.columns, "root")
+        before = size[1]
     if roots is None:
         roots = spark.createDataFrame([], "node bigint, root bigint")
-    return measured.where("slice IS NULL").select(F.col("doc_id").cast("bigint"), "class_id", "n"), roots
+    named = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(_classes(levels), "doc_id string, class_id bigint, n bigint")
+    return stored(named.withColumn("doc_id", F.col("doc_id").cast("bigint")), "classes"), roots
+
+
+def _settled(pairs: DataFrame, sets: _Sets, links, roots, rows: DataFrame):
+    """Links, roots and rows after the pairs are judged."""
+    if not pairs.isEmpty():
+        found = stored(_linked(pairs, sets.of(pairs)), "links")
+        links = found if links is None else links.union(found)
+        if not links.isEmpty():
+            roots = stored(components(links), "roots")
+    if roots is not None:
+        moved = rows.drop("root").join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
+        rows = moved.select("code", "class_id", "n", F.coalesce("root", "class_id").alias("root"))
+    return links, roots, stored(rows, "rows")
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -245,7 +262,7 @@ def near_components(docs: DataFrame) -> DataFrame:
         "class_id", "least", F.coalesce("root", "class_id").alias("root")
     )
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = stored(rooted.join(least, "root").select("class_id", "component_id"), "classes")
+    named = stored(rooted.join(least, "root").select("class_id", "component_id"), "named")
     full = rows.where("n > 0").join(named, "class_id", "left").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return full.union(rows.where("n = 0").select("doc_id", "n", "doc_id"))
 

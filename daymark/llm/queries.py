@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import decontaminate, html_extract, language_id, ngram_join, packing, quality_rules, suffix_dedup, token_count, url_filter
+from daymark.llm import decontaminate, html_extract, language_id, ngram_join, packing, quality_rules, suffix_dedup, token_count, token_shards, url_filter
 from daymark.llm.catalog import ORACLES, QUERIES, query, table  # noqa: F401
 
 URL_RULES = [
@@ -53,6 +53,14 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op3_token_shards")
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence of `documents` in training order, as read back from the shards."""
+    docs = table(spark, sf_dir, "documents").select("text")
+    path, manifest = token_shards.write_shards(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return token_shards.read_sequences(manifest, path)
+
+
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes inside 200-byte strings that occur elsewhere."""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -82,16 +81,78 @@ class Generations(dict):
         return value
 
 
-def word_hash(word: bytes) -> int:
-    """The same on every executor, unlike Python's own hash of bytes."""
-    return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+#: Weights of a word's bytes by place; longer words use them again.
+_WEIGHTS = mixed(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
+_SLICE = 4 << 20
+_BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
-_WORDS = Generations(word_hash)
+def _slice_hashes(data: np.ndarray, spaces: np.ndarray) -> np.ndarray:
+    inside = ~spaces[data]
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    letters = np.flatnonzero(inside)
+    lengths = ends - starts
+    firsts = np.cumsum(lengths) - lengths
+    place = np.arange(len(letters)) - np.repeat(firsts, lengths)
+    weighted = _BYTES[data[letters]] * _WEIGHTS[place & 4095]
+    return mixed(np.add.reduceat(weighted, firsts) + lengths.astype(np.uint64))
+
 
+def hashed_words(text: bytes, spaces: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word of a text, the same on every executor; spaces marks the bytes that separate.
 
-def hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+    Long texts are read in slices that end between words.
+    """
+    data, out, start = np.frombuffer(text, np.uint8), [], 0
+    while start < len(data):
+        end = min(start + _SLICE, len(data))
+        while end < len(data) and not spaces[data[end]]:
+            end += 1
+        out.append(_slice_hashes(data[start:end], spaces))
+        start = end
+    return np.concatenate(out) if out else np.empty(0, np.uint64)
+
+
+def batch_hashes(texts: list[bytes], spaces: np.ndarray, joint: bytes = b" ") -> list[np.ndarray]:
+    """hashed_words of each text; short texts are hashed together. joint is one separating byte."""
+    found: list[np.ndarray] = []
+    group: list[bytes] = []
+    held = 0
+
+    def flush() -> None:
+        if not group:
+            return
+        data = np.frombuffer(joint.join(group) + joint, np.uint8)
+        every = _slice_hashes(data, spaces)
+        cuts = np.cumsum([len(t) + 1 for t in group])[:-1]
+        starts = ~spaces[data] & np.concatenate([[True], spaces[data[:-1]]])
+        found.extend(np.split(every, np.cumsum(starts)[cuts - 1]))
+
+    for text in texts:
+        if held and held + len(text) > _SLICE // 8:
+            flush()
+            group, held = [], 0
+        if len(text) > _SLICE // 8:
+            found.append(hashed_words(text, spaces))
+            continue
+        group.append(text)
+        held += len(text)
+    flush()
+    return found
+
+
+def word_bytes() -> np.ndarray:
+    """Separators of words in most operators: ASCII white space."""
+    return byte_set(b" \t\n\x0b\x0c\r")
+
+
+def byte_set(separators: bytes) -> np.ndarray:
+    marked = np.zeros(256, bool)
+    marked[list(separators)] = True
+    return marked
 
 
 def rolled(h: np.ndarray, k: int) -> np.ndarray:
@@ -152,8 +213,8 @@ def appended(df: DataFrame, columns: list[str], make, fields: str, limit: int =
     names are replaced. All others pass through as they are, in Arrow form.
     """
     names = [f.split()[0] for f in fields.split(", ")]
-    kept = df.drop(*names)
-    schema = T.StructType([*kept.schema, *T._parse_datatype_string(fields)])
+    stay = [c for c in df.columns if c not in names]
+    schema = T.StructType([*df.select(*stay).schema, *T.StructType.fromDDL(fields)])
     kinds = to_arrow_schema(schema)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +227,8 @@ def appended(df: DataFrame, columns: list[str], make, fields: str, limit: int =
                 if size >= limit or i == len(texts) - 1:
                     found = make(*(v[start : i + 1] for v in values))
                     new = [pa.array(x, kinds.field(n).type) for n, x in zip(names, found, strict=True)]
-                    yield pa.RecordBatch.from_arrays([*batch.slice(start, i + 1 - start).columns, *new], names=[*batch.schema.names, *names])
+                    part = batch.select(stay).slice(start, i + 1 - start)
+                    yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*stay, *names])
                     start, size = i + 1, 0
 
-    return kept.mapInArrow(add, schema)
+    return df.mapInArrow(add, schema)
