@@ -175,10 +175,15 @@ def training_summary(results: DataFrame) -> DataFrame:
     ).orderBy(HORIZON)
 
 
-def flow_totals(results: DataFrame) -> DataFrame:
-    """Models trained and promoted, and their mean error."""
-    return results.agg(
-        F.count("*").alias("models_trained"),
+def flow_totals(results: DataFrame, archived: DataFrame | None = None) -> DataFrame:
+    """Models trained and promoted, their mean error, and the number of archived versions."""
+    trained = results.select("promoted", "mae", F.lit(False).alias("_archived"))
+    if archived is not None:
+        nothing = [F.lit(None).cast(kind).alias(name) for name, kind in trained.dtypes[:2]]
+        trained = trained.unionByName(archived.select(*nothing, F.lit(True).alias("_archived")))
+    return trained.agg(
+        F.count_if(~F.col("_archived")).alias("models_trained"),
         F.count_if("promoted").alias("models_promoted"),
+        F.count_if("_archived").alias("models_archived"),
         F.avg("mae").alias("mean_mae"),
     )

@@ -119,11 +119,20 @@ def degradation_alerts(
     )
 
 
-def tracking_status(alerts: DataFrame) -> DataFrame:
-    """One row: `degraded` when there is any alert, else `healthy`."""
-    n = F.count("*")
-    return alerts.agg(
-        n.alias("n_alerts"), F.when(n > 0, "degraded").otherwise("healthy").alias("status")
+def tracking_status(alerts: DataFrame, compared: DataFrame | None = None) -> DataFrame:
+    """One row: `degraded` when there is any alert, else `healthy`.
+
+    With the compared predictions also their number.
+    """
+    rows = alerts.select(F.lit(1).alias("_alert"), F.lit(0).alias("_evaluated"))
+    if compared is not None:
+        rows = rows.unionByName(compared.select(F.lit(0).alias("_alert"), F.lit(1).alias("_evaluated")))
+    n = F.coalesce(F.sum("_alert"), F.lit(0))
+    evaluated = F.coalesce(F.sum("_evaluated"), F.lit(0)).alias("n_predictions_evaluated")
+    return rows.agg(
+        n.cast("bigint").alias("n_alerts"),
+        F.when(n > 0, "degraded").otherwise("healthy").alias("status"),
+        *([evaluated] if compared is not None else []),
     )
 
 
@@ -150,8 +159,13 @@ def by_labels(metrics: DataFrame, names: Sequence[str]) -> DataFrame:
 def current_metric(metrics: DataFrame, labels: Sequence[str] = (HORIZON,), scale: float = 1.0) -> DataFrame:
     """Newest value per metric and labels; of values with one time stamp the largest."""
     rows = by_labels(metrics, labels)
-    newest = F.max_by("value", F.struct("ts", "value")) * F.lit(float(scale))
-    return rows.groupBy("metric", *labels).agg(newest.alias("value"), F.max("ts").alias("ts"))
+    newest = F.max_by("value", "ts") * F.lit(float(scale))
+    return _by_time(rows, labels).groupBy("metric", *labels).agg(newest.alias("value"), F.max("ts").alias("ts"))
+
+
+def _by_time(rows: DataFrame, labels: Sequence[str]) -> DataFrame:
+    """The largest value of each moment: fixed-width buffers, so both steps hash and combine map-side."""
+    return rows.groupBy("metric", *labels, "ts").agg(F.max("value").alias("value"))
 
 
 def duration_quantiles(
@@ -180,17 +194,17 @@ def bucketed_quantiles(
 def counter_rate(
     metrics: DataFrame,
     window: str = "1 hour",
-    seconds: float = 3600.0,
     per: float = 1.0,
     labels: Sequence[str] = (),
     slide: str | None = None,
 ) -> DataFrame:
-    """Increase per `per` seconds in each time window of `seconds` length."""
+    """Increase per `per` seconds in each time window, which may slide."""
     rows = by_labels(metrics, labels)
     span = F.window("ts", window, slide) if slide else F.window("ts", window)
-    rate = F.sum("value") / F.lit(float(seconds)) * F.lit(float(per))
-    return rows.groupBy("metric", *labels, span.alias("_w")).agg(rate.alias("rate")).select(
-        "metric", *labels, F.col("_w.start").alias("window_start"), "rate"
+    seconds = F.timestamp_diff("SECOND", F.col("_w.start"), F.col("_w.end"))
+    rate = F.col("_sum") / seconds * F.lit(float(per))
+    return rows.groupBy("metric", *labels, span.alias("_w")).agg(F.sum("value").alias("_sum")).select(
+        "metric", *labels, F.col("_w.start").alias("window_start"), rate.alias("rate")
     )
 
 
@@ -211,8 +225,8 @@ def counter_totals(metrics: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
 def last_run(metrics: DataFrame, labels: Sequence[str] = ()) -> DataFrame:
     """Time and value of the newest row per metric and labels."""
     rows = by_labels(metrics, labels)
-    return rows.groupBy("metric", *labels).agg(
-        F.max("ts").alias("last_ts"), F.max_by("value", F.struct("ts", "value")).alias("last_value")
+    return _by_time(rows, labels).groupBy("metric", *labels).agg(
+        F.max("ts").alias("last_ts"), F.max_by("value", "ts").alias("last_value")
     )
 
 
@@ -229,7 +243,8 @@ def metric_defaults(metrics: DataFrame) -> DataFrame:
     """Newest value of every gauge in the grid, 0 where nothing was recorded yet."""
     keys = ["horizon", "dataset", "flow_name"]
     grid = metric_grid(metrics.sparkSession)
-    known = current_metric(metrics, keys).select("metric", *keys, F.col("value").alias("_value"))
+    names = [*PERFORMANCE_GAUGES, *HORIZON_GAUGES, "flow_run_status", "last_prediction_timestamp"]
+    known = current_metric(metrics.where(F.col("metric").isin(*names)), keys).select("metric", *keys, F.col("value").alias("_value"))
     condition = grid["metric"] == known["metric"]
     for k in keys:
         condition = condition & grid[k].eqNullSafe(known[k])

@@ -78,9 +78,12 @@ def promotion_decision(
 def promote(registry: DataFrame, chosen: DataFrame, archive_existing: bool = True) -> DataFrame:
     """Registry with the chosen (model_name, version) in production.
 
-    Earlier production versions of those models are archived unless asked otherwise.
+    Earlier production versions of those models are archived unless asked otherwise. Picks of
+    versions that do not exist are left out; of several picks of one model the highest version counts.
     """
-    picks = chosen.select("model_name", F.col("version").alias("_chosen"))
+    keys = ["model_name", "version"]
+    present = chosen.select(*keys).join(registry.select(*keys), keys, "left_semi")
+    picks = present.groupBy("model_name").agg(F.max("version").alias("_chosen"))
     joined = registry.join(picks, "model_name", "left")
     stage = F.when(F.col("version") == F.col("_chosen"), PRODUCTION)
     if archive_existing:
@@ -118,6 +121,16 @@ def keep_latest_versions(
     return joined.withColumn("stage", stage).select(*registry.columns)
 
 
+def newly_archived(
+    registry: DataFrame, keep_n: int = KEEP_VERSIONS, stages: Sequence[str] = (NO_STAGE, STAGING)
+) -> DataFrame:
+    """Versions that `keep_latest_versions` archives."""
+    kept = keep_latest_versions(registry, keep_n, stages)
+    before = registry.select("model_name", "version", F.col("stage").alias("_before"))
+    changed = kept.join(before, ["model_name", "version"]).where(F.col("stage") != F.col("_before"))
+    return changed.select(*registry.columns)
+
+
 def delete_versions(registry: DataFrame, doomed: DataFrame) -> DataFrame:
     keys = ["model_name", "version"]
     return registry.join(doomed.select(*keys), keys, "left_anti")

@@ -39,7 +39,9 @@ def merge_weather(
     require_columns(weather, [DATE, *location_cols], "weather")
     if validate:
         require_overlap(daily, weather)
-    merged = daily.join(weather.select(*location_cols, DATE, *WEATHER), [*location_cols, DATE], "left")
+    # Weather of a day that was delivered twice must not double the day.
+    once = first_per_key(weather.select(*location_cols, DATE, *WEATHER), [*location_cols, DATE])
+    merged = daily.join(once, [*location_cols, DATE], "left")
     merged = merged.select(*daily.columns, *WEATHER)
     if fallback == "last_known":
         return fill_last_known(merged, WEATHER, series_cols)
@@ -75,7 +77,8 @@ def weather_at_target(
     ahead = F.col(horizon) if isinstance(horizon, str) else F.lit(int(horizon))
     present = [c for c in WEATHER if c in df.columns or c in weather.columns]
     base = df.drop(*present).withColumn("_target_day", F.date_add(DATE, ahead.cast("int")))
-    lookup = weather.select(
+    once = first_per_key(weather.select(*location_cols, DATE, *present), [*location_cols, DATE])
+    lookup = once.select(
         *[F.col(c).alias(f"_at_{c}") for c in location_cols],
         F.col(DATE).alias("_weather_day"),
         *present,

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 
 from daymark.ml.model import ForecastModel, score_by_horizon
 from daymark.operators.clean import drop_null_rows
-from daymark.operators.evaluate import prediction_summary
+from daymark.operators.evaluate import prediction_summary, run_metadata
 from daymark.operators.features import engineer_features, future_features
 from daymark.operators.registry import model_paths, model_version_lookup
 from daymark.operators.validate import require_fresh, validate_predictions
 from daymark.operators.weather import merge_weather
 from daymark.plans.training import model_name
 from daymark.schema import DATE, HORIZONS, PREDICTION
+from daymark.session import cut_lineage
+from daymark.sources.predictions import sink_predictions_csv, sink_predictions_table
 
 
 def load_models(
@@ -78,13 +80,23 @@ def predict_flow(
     min_rows: int = 60,
     check_freshness: bool = True,
     base_date: dt.date | None = None,
+    table_path: str | None = None,
+    csv_folder: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Gate, weather, features, scores and checks; returns the predictions and their summary."""
+    """Gate, weather, features, scores, checks and writes; gives the predictions, their summary and the run's row.
+
+    The daily series is computed once, before the gates, and so are the predictions, before the checks.
+    """
+    daily = cut_lineage(daily)
     if check_freshness:
         require_fresh(daily, as_of or run_time.date(), max_staleness_days, min_rows, series_cols)
     merged = merge_weather(daily, weather, series_cols=series_cols, location_cols=location_cols)
     features = drop_null_rows(engineer_features(merged, series_cols=series_cols))
     future = future_features(features, base_date, forecast, series_cols, location_cols)
-    predictions = generate_predictions(future, models, run_time, model_version, series_cols).persist()
+    predictions = cut_lineage(generate_predictions(future, models, run_time, model_version, series_cols))
     validate_predictions(predictions)
-    return {"predictions": predictions, "summary": prediction_summary(predictions)}
+    if table_path:
+        sink_predictions_table(predictions, table_path, series_cols=series_cols)
+    if csv_folder:
+        sink_predictions_csv(predictions, csv_folder, run_time=run_time)
+    return {"predictions": predictions, "summary": prediction_summary(predictions), "run": run_metadata(predictions)}

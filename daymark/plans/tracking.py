@@ -12,6 +12,8 @@ from daymark.operators import monitor
 from daymark.operators.dataset import temporal_split
 from daymark.operators.evaluate import metrics_by_horizon
 from daymark.schema import DATE, HORIZON, LABEL, SPLIT
+from daymark.session import cut_lineage
+from daymark.sources.tables import append_tracking
 
 
 def newest_part(rows: DataFrame, series_cols: Sequence[str] = ()) -> DataFrame:
@@ -47,10 +49,15 @@ def track_performance(
     window_rows: int = monitor.ROLLING_ROWS,
     threshold_pct: float = monitor.DEGRADATION_PCT,
     series_cols: Sequence[str] = (),
+    log_path: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Rolling and overall error per horizon, the row to log for each, alerts and status."""
+    """Rolling and overall error per horizon, the row to log for each, alerts and status.
+
+    With `log_path` the rows are appended to the log there.
+    """
     keys = [*series_cols, HORIZON]
-    compared = monitor.predictions_vs_actuals(predictions, actuals, series_cols)
+    # Four results come from it: it is computed once.
+    compared = cut_lineage(monitor.predictions_vs_actuals(predictions, actuals, series_cols))
     rolling = monitor.rolling_mae(compared, window_rows, series_cols)
     overall = monitor.point_mae_by_horizon(compared, series_cols)
     # One sort gives both errors of a group; its newest row then carries them.
@@ -61,5 +68,7 @@ def track_performance(
     report = {"rolling": rolling, "overall": overall, "log": log}
     if baselines is not None:
         report["alerts"] = monitor.degradation_alerts(rolling, baselines, threshold_pct, series_cols)
-        report["status"] = monitor.tracking_status(report["alerts"])
+        report["status"] = monitor.tracking_status(report["alerts"], compared)
+    if log_path:
+        append_tracking(log, log_path, series_cols)
     return report

@@ -17,6 +17,7 @@ from daymark.operators.features import engineer_for_horizons
 from daymark.operators.weather import merge_weather
 from daymark.schema import HORIZONS, REGISTRY
 from daymark.session import cut_lineage
+from daymark.sources import tables
 
 RESULTS = T.StructType(
     [
@@ -85,14 +86,10 @@ def empty_registry(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], REGISTRY)
 
 
-def register_and_promote(
-    registry: DataFrame,
-    results: DataFrame,
-    threshold: float = reg.MAE_THRESHOLD,
-    keep_n: int = reg.KEEP_VERSIONS,
-    require_both: bool = False,
+def _promoted(
+    registry: DataFrame, results: DataFrame, threshold: float, require_both: bool
 ) -> tuple[DataFrame, DataFrame]:
-    """New registry state, and the results with version and decision.
+    """Registry before retention, and the results with version and decision.
 
     The error is written to the tags of each new version, so the next run has a baseline.
     """
@@ -108,7 +105,18 @@ def register_and_promote(
     decided = reg.promotion_decision(reg.candidate_vs_baseline(results, registry), threshold, require_both)
     decided = decided.join(new_rows.select("model_name", "version"), "model_name")
     grown = registry.unionByName(new_rows.select(*registry.columns))
-    promoted = reg.promote(grown, decided.where("promoted"))
+    return reg.promote(grown, decided.where("promoted")), decided
+
+
+def register_and_promote(
+    registry: DataFrame,
+    results: DataFrame,
+    threshold: float = reg.MAE_THRESHOLD,
+    keep_n: int = reg.KEEP_VERSIONS,
+    require_both: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """New registry state, and the results with version and decision."""
+    promoted, decided = _promoted(registry, results, threshold, require_both)
     return reg.keep_latest_versions(promoted, keep_n), decided
 
 
@@ -124,10 +132,16 @@ def train_flow(
     n_trials: int = 300,
     threshold: float = reg.MAE_THRESHOLD,
     prefix: str = "daily_forecast",
+    log_path: str | None = None,
     **options: Any,
 ) -> dict[str, Any]:
-    """Features, models for every horizon, registration, promotion, retention and the report."""
+    """Features, models for every horizon, registration, promotion, retention and the report.
+
+    With `log_path` the chosen parameters and the metrics of each model are appended to run tables there.
+    The daily series is computed once, before the checks and the features.
+    """
     spark = daily.sparkSession
+    daily = cut_lineage(daily)
     rows = training_table(daily, weather, series_cols, location_cols, materialize=True).persist()
     try:
         trained = train_all(rows, horizons, n_trials, series_cols, **options)
@@ -137,11 +151,17 @@ def train_flow(
         h: t.model.save(spark, f"{model_root.rstrip('/')}/{run_id}/horizon_{h}") for h, t in trained.items()
     }
     results = result_rows(spark, trained, paths, prefix)
-    new_registry, decided = register_and_promote(registry, results, threshold)
+    promoted, decided = _promoted(registry, results, threshold, False)
+    if log_path:
+        for h, t in sorted(trained.items()):
+            run = f"{run_id}/{model_name(h, prefix)}"
+            numbers = {k: v for k, v in t.metadata.items() if isinstance(v, (int, float)) and not isinstance(v, bool)}
+            tables.append_rows(tables.params_rows(spark, run, t.metadata["best_params"]), f"{log_path}/params")
+            tables.append_rows(tables.metrics_rows(spark, run, numbers), f"{log_path}/metrics")
     return {
         "trained": trained,
-        "registry": new_registry,
+        "registry": reg.keep_latest_versions(promoted),
         "results": decided,
         "summary": training_summary(decided),
-        "totals": flow_totals(decided),
+        "totals": flow_totals(decided, reg.newly_archived(promoted)),
     }

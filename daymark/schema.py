@@ -54,6 +54,15 @@ MODEL_PERFORMANCE = T.StructType(
         T.StructField("created_at", T.TimestampNTZType()),
     ]
 )
+TRACKING_LOG = T.StructType(
+    [
+        T.StructField("timestamp", T.TimestampNTZType()),
+        T.StructField(HORIZON, T.IntegerType()),
+        T.StructField("mae", T.DoubleType()),
+        T.StructField("rolling_mae", T.DoubleType()),
+        T.StructField("n_predictions", T.LongType()),
+    ]
+)
 REGISTRY = T.StructType(
     [
         T.StructField("model_name", T.StringType(), False),

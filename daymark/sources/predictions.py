@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.operators.evaluate import format_predictions
-from daymark.schema import ACTUALS, HORIZON, PREDICTION
+from daymark.schema import ACTUALS, HORIZON, PREDICTION, nan_to_null
 from daymark.sources.visits import is_bracketed_name
 
 IF_EXISTS = ("append", "replace", "fail")
 
 
 def scan_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PREDICTION).option("header", True).csv(path)
+    return nan_to_null(spark.read.schema(PREDICTION).option("header", True).csv(path))
 
 
 def scan_actuals(spark: SparkSession, path: str) -> DataFrame:
@@ -46,9 +46,10 @@ def _check_if_exists(if_exists: str) -> None:
         raise ValueError(f"if_exists must be one of {IF_EXISTS}")
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+def _read_or_none(rows: DataFrame, path: str) -> DataFrame | None:
+    # The rows' own types: inferred ones would turn text keys like 007 into numbers.
     try:
-        return spark.read.parquet(path)
+        return rows.sparkSession.read.schema(rows.schema).parquet(path)
     except AnalysisException:
         return None
 
@@ -57,23 +58,24 @@ def sink_predictions_table(
     predictions: DataFrame,
     path: str,
     if_exists: str = "append",
-    run_keys: Sequence[str] = ("prediction_timestamp", HORIZON),
+    series_cols: Sequence[str] = (),
 ) -> int:
     """Append to a parquet table partitioned by horizon; returns the number of new rows.
 
-    Rows whose run keys are already in the table are not written again, so a repeated write of
-    the same run changes nothing. `fail` refuses a table with rows; `replace` acts as append.
+    Rows of a run time, predicted day, horizon and series that are already in the table are not written
+    again, so a repeated write of the same run changes nothing, and other series or days of one
+    run time are added. `fail` refuses a table with rows; `replace` acts as append.
     """
     _check_if_exists(if_exists)
-    spark = predictions.sparkSession
+    run_keys = ["prediction_timestamp", "prediction_date", HORIZON, *series_cols]
     rows = with_extra_keys(predictions, run_keys)
     if rows.isEmpty():
         return 0
-    present = _read_or_none(spark, path)
+    present = _read_or_none(rows, path)
     if present is not None:
         if if_exists == "fail" and not present.isEmpty():
             raise ValueError(f"table {path} already has rows")
-        rows = rows.join(present.select(*run_keys).distinct(), list(run_keys), "left_anti")
+        rows = rows.join(present.select(*run_keys).distinct(), run_keys, "left_anti")
     written = Observation()
     counted = rows.observe(written, F.count(F.lit(1)).alias("n"))  # counts while it writes
     counted.write.mode("append").partitionBy(HORIZON).parquet(path)
@@ -95,8 +97,9 @@ def sink_predictions_db(
     table: str,
     if_exists: str = "append",
     properties: Mapping[str, str] | None = None,
+    series_cols: Sequence[str] = (),
 ) -> int:
-    """Append the seven prediction columns to a database table; returns the number of rows.
+    """Append the series and prediction columns to a database table; returns the number of rows.
 
     Executors write in parallel. A retried task could repeat its rows, so point `table` at a
     staging table and merge by (prediction_timestamp, horizon) on the database side.
@@ -106,16 +109,17 @@ def sink_predictions_db(
     _check_if_exists(if_exists)
     if not is_bracketed_name(table):
         raise ValueError(f"invalid table name {table!r}")
-    rows = format_predictions(predictions)
-    n = rows.count()
-    if n == 0:
+    rows = with_extra_keys(predictions, series_cols)
+    if rows.isEmpty():
         return 0
     options = dict(properties or {})
     spark = predictions.sparkSession
     if if_exists == "fail" and not spark.read.jdbc(url, table, properties=options).isEmpty():
         raise ValueError(f"table {table} already has rows")
-    rows.write.jdbc(url, table, mode="append", properties=options)
-    return n
+    written = Observation()
+    counted = rows.observe(written, F.count(F.lit(1)).alias("n"))  # counts while it writes
+    counted.write.jdbc(url, table, mode="append", properties=options)
+    return written.get["n"]
 
 
 def sink_test_predictions(scored: DataFrame, path: str) -> None:

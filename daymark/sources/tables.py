@@ -8,10 +8,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymark.functions.shape import flatten_mapping
 from daymark.operators.monitor import metric_records
-from daymark.schema import MODEL_PERFORMANCE, RUN_METRICS, in_schema
+from daymark.schema import MODEL_PERFORMANCE, RUN_METRICS, TRACKING_LOG, in_schema
 
 
 def sink_intermediate(df: DataFrame, path: str, series_cols: Sequence[str] = ()) -> DataFrame:
@@ -25,7 +26,8 @@ def sink_intermediate(df: DataFrame, path: str, series_cols: Sequence[str] = ())
         df.hint("rebalance", *series_cols).write.mode("overwrite").partitionBy(*series_cols).parquet(path)
     else:
         df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The written types: inferred ones would turn text keys like 007 into numbers.
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def append_performance(metrics: DataFrame, path: str) -> None:
@@ -33,6 +35,12 @@ def append_performance(metrics: DataFrame, path: str) -> None:
     in_schema(metrics, MODEL_PERFORMANCE).write.mode("append").partitionBy("horizon").parquet(path)
 
 
+def append_tracking(log: DataFrame, path: str, series_cols: Sequence[str] = ()) -> None:
+    """Add the rows of one tracking run to its log."""
+    extra = log.select(*series_cols).schema.fields
+    in_schema(log, T.StructType([*extra, *TRACKING_LOG])).write.mode("append").parquet(path)
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
@@ -58,9 +66,12 @@ def metrics_rows(
 
 
 class MetricsLog:
-    """Records run events as rows appended to the run_metrics table at `path`."""
+    """Records run events as rows appended to the run_metrics table at `path`.
 
-    def __init__(self, spark: SparkSession, path: str, clock=dt.datetime.now):
+    Times are UTC, also those of a clock that names no zone.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, clock=lambda: dt.datetime.now(dt.timezone.utc)):
         self.spark, self.path, self.clock = spark, path, clock
 
     def read(self) -> DataFrame:
@@ -68,10 +79,14 @@ class MetricsLog:
 
     def record(self, *events: tuple[Mapping[str, float], Mapping[str, object]]) -> None:
         """Append (values, labels) pairs of one moment in one write."""
-        append_rows(metric_records(self.spark, self.clock(), events), self.path)
+        append_rows(metric_records(self.spark, self._now().replace(tzinfo=None), events), self.path)
+
+    def _now(self) -> dt.datetime:
+        moment = self.clock()
+        return moment.astimezone(dt.timezone.utc) if moment.tzinfo else moment.replace(tzinfo=dt.timezone.utc)
 
     def _epoch(self) -> float:
-        return self.clock().replace(tzinfo=dt.timezone.utc).timestamp()
+        return self._now().timestamp()
 
     def training(
         self, horizon, mae, rmse, coverage, interval_width, duration, n_trials, dataset="test", success=True
@@ -102,9 +117,9 @@ class MetricsLog:
         values = {"data_processing_duration_seconds": duration, "data_rows_processed": rows}
         self.record((values, {"step": step}))
 
-    def weather(self, response_time, success=True) -> None:
+    def weather(self, response_time, success=True, timeout=False) -> None:
         self.record(
-            ({"weather_api_requests_total": 1}, {"status": _status(success)}),
+            ({"weather_api_requests_total": 1}, {"status": "timeout" if timeout else _status(success)}),
             ({"weather_api_response_time_seconds": response_time}, {}),
         )
 

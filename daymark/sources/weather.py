@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from daymark.functions.shape import zip_explode
 from daymark.operators.fill import fill_last_known
-from daymark.schema import DATE, WEATHER
+from daymark.schema import DATE, WEATHER, nan_to_null
 
 # Array names in the payload and the columns they become.
 ARCHIVE_FIELDS = {
@@ -49,7 +49,7 @@ def _rows(df: DataFrame, fields: Mapping[str, str], keep: Sequence[str]) -> Data
     arrays = {DATE: F.col("daily.time")}
     arrays.update({column: F.col(f"daily.{name}") for name, column in fields.items()})
     rows = zip_explode(df, arrays, keep)
-    return rows.withColumn(DATE, F.to_date(DATE))
+    return nan_to_null(rows.withColumn(DATE, F.to_date(DATE)))
 
 
 def scan_weather_archive(payload: DataFrame, location_cols: Sequence[str] = ()) -> DataFrame:

@@ -92,7 +92,8 @@ def track(spark, sf):
 @query(
     "tracking_status",
     f"""{ALERT_CTES} SELECT CAST(count(*) AS BIGINT) AS n_alerts,
-      CASE WHEN count(*) > 0 THEN 'degraded' ELSE 'healthy' END AS status FROM alerts""",
+      CASE WHEN count(*) > 0 THEN 'degraded' ELSE 'healthy' END AS status,
+      (SELECT CAST(count(*) AS BIGINT) FROM compared) AS n_predictions_evaluated FROM alerts""",
 )
 def tracking_status(spark, sf):
     return _report(spark, sf)["status"]
@@ -175,6 +176,22 @@ def counter_rate(spark, sf):
     return rounded(monitor.counter_rate(rows, per=60.0, labels=["status"]))
 
 
+@query(
+    "counter_rate_sliding",
+    rounded_sql(
+        f"""{RUNS} SELECT metric, status, window_start, sum(value) / 86400 * 60 AS rate FROM
+            (SELECT metric, status, value, unnest([to_timestamp(floor(epoch(ts) / 21600) * 21600 - k * 21600)::TIMESTAMP
+              FOR k IN range(4)]) AS window_start FROM run_metrics WHERE metric = 'training_count_total')
+          GROUP BY 1, 2, 3""",
+        ["rate"],
+    ),
+)
+def counter_rate_sliding(spark, sf):
+    """Rates a minute over days that begin every six hours."""
+    rows = monitor.pick(i.run_metrics(spark, sf), "training_count_total")
+    return rounded(monitor.counter_rate(rows, "1 day", per=60.0, labels=["status"], slide="6 hours"))
+
+
 @query(
     "success_rate",
     rounded_sql(

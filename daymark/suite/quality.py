@@ -10,6 +10,7 @@ from daymark.functions import errors
 from daymark.functions.quantiles import exact_quantiles
 from daymark.functions.shape import flatten_params, metric_rows
 from daymark.operators import evaluate as ev
+from daymark.operators.registry import newly_archived
 from daymark.operators import validate
 from daymark.schema import MODEL_PERFORMANCE, PREDICTION
 from daymark.suite import inputs as i
@@ -427,11 +428,13 @@ def training_summary(spark, sf):
 @query(
     "flow_totals",
     rounded_sql(
-        with_ctes(i.SCORES, RESULTS_SQL)
-        + """ SELECT CAST(count(*) AS BIGINT) AS models_trained, CAST(count(*) FILTER (promoted) AS BIGINT) AS models_promoted,
+        with_ctes(i.SCORES, RESULTS_SQL, i.REGISTRY)
+        + """, ranked AS (SELECT stage, row_number() OVER (PARTITION BY model_name ORDER BY version DESC) AS rn FROM registry)
+             SELECT CAST(count(*) AS BIGINT) AS models_trained, CAST(count(*) FILTER (promoted) AS BIGINT) AS models_promoted,
+               (SELECT CAST(count(*) AS BIGINT) FROM ranked WHERE rn > 52 AND stage IN ('None', 'Staging')) AS models_archived,
                avg(mae) AS mean_mae FROM results""",
         ["mean_mae"],
     ),
 )
 def flow_totals(spark, sf):
-    return rounded(ev.flow_totals(_results(spark, sf)))
+    return rounded(ev.flow_totals(_results(spark, sf), newly_archived(i.registry(spark, sf))))

@@ -90,6 +90,22 @@ def promote(spark, sf):
     return reg.promote(registry, chosen).select(*SLIM)
 
 
+@query(
+    "promote_any_picks",
+    BASE
+    + """, chosen AS (SELECT model_name, max(version) AS version FROM registry WHERE stage <> 'Staging' GROUP BY model_name)
+       SELECT r.model_name, r.version, CASE WHEN r.version = c.version THEN 'Production'
+              WHEN r.stage = 'Production' AND c.version IS NOT NULL THEN 'Archived' ELSE r.stage END AS stage
+       FROM registry r LEFT JOIN chosen c USING (model_name)""",
+)
+def promote_any_picks(spark, sf):
+    """Many picks of each model, each of them next to one of a version that does not exist."""
+    registry = i.registry(spark, sf)
+    picks = registry.where("stage <> 'Staging'").select("model_name", "version")
+    absent = picks.select("model_name", (F.col("version") + F.lit(1 << 40)).alias("version"))
+    return reg.promote(registry, picks.union(absent)).select(*SLIM)
+
+
 @query(
     "keep_latest_versions",
     BASE
