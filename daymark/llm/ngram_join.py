@@ -18,6 +18,7 @@ components is lost.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,29 +31,33 @@ from daymark.llm.shared import batch_hashes, chunks, key_filter, passing, rolled
 
 GRAM = 5
 PERCENT = 80
-#: Counters of the sketch (8 MB) and the slices in which they travel.
-COUNTERS, SLICES = 1 << 20, 64
+#: Counters of the sketch (16 MB) and the slices in which they travel.
+COUNTERS, SLICES = 1 << 21, 16
 #: Stars go on while the columns hold more pairs than this for each row and shrink.
-PAIRS_PER_ROW = 4
+PAIRS_PER_ROW = 8
 #: Texts in characters that are hashed together.
 _TOGETHER = 1 << 20
-#: Leading bits of a column's code hold the level, those of a class id the share of rare shingles.
-_CODE_BITS, _CLASS_BITS = 58, 58
+#: A column's code has its level above these bits of the shingle's hash, a row's label the share of rare
+#: shingles above these bits of the set's hash (its class id).
+_BITS = 58
 
 
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     """Ascending distinct hashes of each text's 5-word shingles; of fewer words, of the whole sequence; none without words."""
-    out = []
-    for h in batch_hashes([t.encode("utf-8", "replace").lower() for t in texts], word_bytes()):
-        size = min(GRAM, len(h))
-        out.append(np.unique(rolled(h, size) + np.uint64(size)) if size else h)
+    words = batch_hashes([t.encode("utf-8", "replace").lower() for t in texts], word_bytes())
+    every = rolled(np.concatenate(words), GRAM) if words else words
+    out, start = [], 0
+    for h in words:
+        grams = every[start : start + len(h) - GRAM + 1] if len(h) >= GRAM else rolled(h, len(h)) if len(h) else h
+        start += len(h)
+        grams = np.sort(grams)
+        out.append(grams[np.concatenate([[True], grams[1:] != grams[:-1]])] if len(grams) else grams)
     return out
 
 
-def class_of(grams: np.ndarray, level: np.ndarray) -> int:
-    """The same number for equal sets; smaller for sets with fewer rare shingles."""
-    rare = int(31 * (level[_counter(grams)] == 0).mean()) if len(grams) else 0
-    return rare << _CLASS_BITS | int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little") >> (64 - _CLASS_BITS)
+def class_of(grams: np.ndarray) -> int:
+    """The same number for equal sets."""
+    return int.from_bytes(hashlib.blake2b(grams.tobytes(), digest_size=8).digest(), "little") >> (64 - _BITS)
 
 
 def _counter(grams: np.ndarray) -> np.ndarray:
@@ -63,188 +68,186 @@ def _least_common(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The task's counters, in slices."""
+_MEASURED = ["doc_id", "class_id", "n", "slice", "counts"]
+
+
+def _measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Class and size of each document, then the task's counters in slices."""
     counters = np.zeros(COUNTERS, np.int64)
     for frame in chunks(frames, limit=_TOGETHER):
         sets = shingle_sets(frame["text"].tolist())
-        counters += np.bincount(_counter(np.concatenate(sets)), minlength=COUNTERS)
-    cut = [(i, part.astype("<i8").tobytes()) for i, part in enumerate(np.split(counters, SLICES)) if part.any()]
+        every = np.concatenate(sets)
+        if len(every) > COUNTERS // 32:
+            counters += np.bincount(_counter(every), minlength=COUNTERS)
+        else:
+            np.add.at(counters, _counter(every), 1)
+        rows = [(key, class_of(g), len(g), None, None) for key, g in zip(frame["doc_id"], sets, strict=True)]
+        yield pd.DataFrame(rows, columns=_MEASURED)
+    cut = [(None, None, None, i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(np.split(counters, SLICES)) if part.any()]
     if cut:
-        yield pd.DataFrame(cut, columns=["slice", "counts"])
+        yield pd.DataFrame(cut, columns=_MEASURED)
 
 
 def _summed(frame: pd.DataFrame) -> pd.DataFrame:
     total = np.zeros(COUNTERS // SLICES, np.int64)
     for part in frame["counts"]:
-        total += np.frombuffer(part, "<i8")
-    return pd.DataFrame({"slice": frame["slice"][:1], "counts": [total.tobytes()]})
+        total += np.frombuffer(zlib.decompress(part), np.int64)
+    return pd.DataFrame({"slice": frame["slice"][:1], "counts": [zlib.compress(total.tobytes(), 1)]})
 
 
-def frequency_levels(texts: DataFrame) -> np.ndarray:
+def frequency_levels(measured: DataFrame) -> np.ndarray:
     """How far each counter lies above the mean, in powers of two of four deviations of it.
 
-    8 MB come to the driver, whatever the input: counters are summed in two steps, so no task takes
-    a slice from all tasks at once.
+    At most 16 MB come to the driver, whatever the input: counters are summed in two steps, so no task
+    takes a slice from all tasks at once.
     """
     kinds = "slice bigint, counts binary"
-    counted = texts.mapInPandas(_count, kinds).withColumn("part", F.pmod(F.spark_partition_id(), F.lit(16)))
+    counted = measured.where("slice IS NOT NULL").select("slice", "counts", F.pmod(F.xxhash64("counts"), F.lit(8)).alias("part"))
     partly = counted.groupBy("slice", "part").applyInPandas(lambda frame: _summed(frame), kinds)
     total, size = np.zeros(COUNTERS, np.int64), COUNTERS // SLICES
     for row in partly.groupBy("slice").applyInPandas(_summed, kinds).toLocalIterator():
-        total[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(bytes(row["counts"]), "<i8")
+        total[row["slice"] * size : (row["slice"] + 1) * size] = np.frombuffer(zlib.decompress(bytes(row["counts"])), np.int64)
     above = np.maximum(total - total.mean(), 0) / (4 * np.sqrt(1 + total.mean()))
     return np.minimum(np.log2(1 + above), 31).astype(np.uint8)
 
 
 def _leading(levels):
-    """The first columns of each set's row, by their codes: (code, class_id, n). Copies in one task come once."""
+    """The first columns of each set's row: (code, label). Copies in one task come once.
+
+    Labels order rows by the share of their rare shingles.
+    """
 
     def lead(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         level, seen = levels.value, set()
         for frame in chunks(frames, limit=_TOGETHER):
-            parts = []
+            codes, labels, sizes = [], [], []
             for grams in shingle_sets(frame["text"].tolist()):
-                n = len(grams)
-                key = class_of(grams, level)
+                n, key = len(grams), class_of(grams)
                 if not n or key in seen:
                     continue
                 seen.add(key)
-                codes = (level[_counter(grams)].astype(np.uint64) << np.uint64(_CODE_BITS)) | (grams >> np.uint64(64 - _CODE_BITS))
-                keep = n - _least_common(n) + 1
-                parts.append((np.sort(codes)[:keep].view(np.int64), key, n))
+                own = level[_counter(grams)]
+                row = (own.astype(np.uint64) << np.uint64(_BITS)) | (grams >> np.uint64(64 - _BITS))
+                row.sort()
+                codes.append(row[: n - _least_common(n) + 1])
+                labels.append(int(31 * np.count_nonzero(own == 0) / n) << _BITS | key)
+                sizes.append(len(codes[-1]))
             if len(seen) > 500_000:
                 seen.clear()
-            if parts:
-                sizes = [len(p[0]) for p in parts]
-                column = lambda i: np.repeat(np.array([p[i] for p in parts], np.int64), sizes)  # noqa: B023, E731
-                yield pd.DataFrame({"code": np.concatenate([p[0] for p in parts]), "class_id": column(1), "n": column(2)})
+            if codes:
+                yield pd.DataFrame({"code": np.concatenate(codes).view(np.int64), "label": np.repeat(np.array(labels, np.int64), sizes)})
 
     return lead
 
 
-def _sets(levels, wanted):
-    """(class_id, n, grams) of the classes that pass the filter; copies in one task come once."""
+def _sets(wanted):
+    """(class_id, grams) of the classes that pass the filter; copies in one task come once."""
 
     def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        level, seen = levels.value, set()
+        seen: set[int] = set()
         for frame in chunks(frames, limit=_TOGETHER):
             sets = shingle_sets(frame["text"].tolist())
-            keys = np.array([class_of(g, level) for g in sets], np.int64)
+            keys = np.array([class_of(g) for g in sets], np.int64)
             passed = wanted.value.passes(keys.view(np.uint64))
-            rows = {int(k): g for k, g, p in zip(keys, sets, passed, strict=True) if p and len(g) and int(k) not in seen}
+            rows = {int(k): g.view(np.int64) for k, g, p in zip(keys, sets, passed, strict=True) if p and int(k) not in seen}
             seen.update(rows)
             if len(seen) > 500_000:
                 seen.clear()
             if rows:
-                yield pd.DataFrame({"class_id": list(rows), "n": list(map(len, rows.values())), "grams": [g.view(np.int64) for g in rows.values()]})
+                yield pd.DataFrame({"class_id": list(rows), "grams": list(rows.values())})
 
     return keep
 
 
-def _classes(levels):
-    def of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in chunks(frames, limit=_TOGETHER):
-            sets = shingle_sets(frame["text"].tolist())
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "class_id": [class_of(g, levels.value) for g in sets], "n": list(map(len, sets))})
-
-    return of
-
-
-def _close(a: str, b: str) -> Column:
-    """Can sets of these sizes be similar enough?"""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
-
-
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose whole sets are similar enough."""
-    x, y = sets.toDF("a", "n_a", "grams_a"), sets.toDF("b", "n_b", "grams_b")
-    both = pairs.join(x, "a").join(y, "b")
-    common = F.size(F.array_intersect("grams_a", "grams_b"))
-    return both.where(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b")
+def _class_id(label: str) -> Column:
+    return F.col(label).bitwiseAND((1 << _BITS) - 1)
 
 
-class _Sets:
-    """Whole sets of the classes that pairs name, read from the texts when first named."""
+def _possible(pairs: DataFrame, members: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of labels that their sizes and the overlap of their leading columns leave possible.
 
-    def __init__(self, texts: DataFrame, levels):
-        self.texts, self.levels, self.found = texts, levels, None
-
-    def of(self, pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
-        if self.found is not None:
-            ids = ids.join(self.found.select("class_id"), "class_id", "left_anti")
-        ids = stored(ids, "wanted")
-        if ids.isEmpty():
-            return self.found
-        kinds = "class_id bigint, n bigint, grams array<bigint>"
-        new = self.texts.mapInPandas(_sets(self.levels, key_filter(ids, "class_id")), kinds)
-        new = stored(new.join(ids, "class_id").dropDuplicates(["class_id"]), "sets")
-        self.found = new if self.found is None else self.found.union(new)
-        return self.found
-
-
-def _stars(rows: DataFrame) -> DataFrame:
-    """Columns that hold several components: their rows with the pivot, its size and root."""
-    several = rows.groupBy("code").agg(
-        F.min("class_id").alias("pivot"),
-        F.min_by("n", "class_id").alias("pivot_n"),
-        F.min_by("root", "class_id").alias("pivot_root"),
-        F.min("root").alias("low"),
-        F.max("root").alias("high"),
-    )
-    return rows.join(several.where("low <> high").drop("low", "high"), "code")
+    What follows the leading columns of both can add at most the longer rest to the overlap.
+    """
+    known = sizes.select(F.col("class_id"), F.col("n"))
+    a, b = known.toDF("id_a", "n_a"), known.toDF("id_b", "n_b")
+    sized = pairs.withColumns({"id_a": _class_id("a"), "id_b": _class_id("b")}).join(a, "id_a").join(b, "id_b")
+    close = stored(sized.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT).select("a", "b", "n_a", "n_b"), "close")
+    ids = close.select(F.explode(F.array("a", "b")).alias("label")).distinct()
+    rows = stored(members.join(ids, "label", "left_semi").groupBy("label").agg(F.collect_set("code").alias("codes")), "codes")
+    both = close.join(rows.toDF("a", "codes_a"), "a").join(rows.toDF("b", "codes_b"), "b")
+    common = F.size(F.array_intersect("codes_a", "codes_b"))
+    rest = F.floor((F.greatest("n_a", "n_b") * PERCENT + 99) / 100) - 1
+    return both.where((common + rest) * (100 + PERCENT) >= (F.col("n_a") + F.col("n_b")) * PERCENT).select("a", "b")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of labels whose whole sets, read from the texts, are similar enough."""
+    sides = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("side")).withColumn("class_id", _class_id("side"))
+    ids = stored(sides.select("class_id").distinct(), "wanted")
+    if ids.isEmpty():
+        return pairs.limit(0)
+    sets = texts.mapInPandas(_sets(key_filter(ids, "class_id")), "class_id bigint, grams array<bigint>")
+    one = sets.join(ids, "class_id").groupBy("class_id").agg(F.first("grams").alias("grams"))
+    met = sides.join(one, "class_id").groupBy("a", "b").agg(F.collect_list("grams").alias("both"))
+    x, y = F.col("both")[0], F.col("both")[1]
+    common = F.size(F.array_intersect(x, y))
+    return met.where(100 * common >= PERCENT * (F.size(x) + F.size(y) - common)).select("a", "b")
 
 
 def _product(rows: DataFrame) -> DataFrame:
     """All pairs of the columns, across components."""
-    a, b = rows.toDF("code", "a", "n_a", "root_a"), rows.toDF("code", "b", "n_b", "root_b")
-    pairs = a.join(b, "code").where("a < b AND root_a <> root_b").where(_close("n_a", "n_b"))
-    return pairs.select("a", "b").distinct()
+    a, b = rows.toDF("code", "a", "root_a"), rows.toDF("code", "b", "root_b")
+    return a.join(b, "code").where("a < b AND root_a <> root_b").select("a", "b").distinct()
+
+
+def _settled(pairs: DataFrame, links, roots, rows: DataFrame, members: DataFrame, sizes: DataFrame, texts: DataFrame):
+    """Links, roots and rows after the pairs are judged."""
+    possible = stored(_possible(pairs, members, sizes), "possible")
+    found = stored(_linked(possible, texts), "links")
+    links = found if links is None else links.union(found)
+    roots = stored(components(links), "roots")
+    moved = rows.drop("root").join(roots.withColumnRenamed("node", "label"), "label", "left")
+    return links, roots, stored(moved.select("code", "label", F.coalesce("root", "label").alias("root")), "rows")
 
 
 def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, class_id, n) of each document; (node, root) of each class that is linked with another."""
     spark = docs.sparkSession
     texts = docs.select("text")
-    levels = spark.sparkContext.broadcast(frequency_levels(texts))
-    leading = texts.mapInPandas(_leading(levels), "code bigint, class_id bigint, n bigint").withColumn("root", F.col("class_id"))
-    rows, links, roots, before = leading, None, None, None
-    sets = _Sets(texts, levels)
+    kinds = "doc_id string, class_id bigint, n bigint, slice bigint, counts binary"
+    measured = stored(docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(_measure, kinds), "measured")
+    named = measured.where("slice IS NULL").select(F.col("doc_id").cast("bigint"), "class_id", "n")
+    sizes = named.where("n > 0").groupBy("class_id").agg(F.max("n").alias("n"))
+    levels = spark.sparkContext.broadcast(frequency_levels(measured))
+    leading = texts.mapInPandas(_leading(levels), "code bigint, label bigint")
+    several = leading.groupBy("code").agg(F.min("label").alias("pivot"), F.max("label").alias("high")).where("pivot <> high")
+    first = stored(leading.join(several.select("code", "pivot"), "code").distinct(), "columns")
+    members = first.select("code", "label")
+    stars = first.withColumns({"root": F.col("label"), "pivot_root": F.col("pivot")})
+    links, roots, before = None, None, None
     while True:
-        stars = stored(_stars(rows), "stars")
-        pairs = stars.where("root <> pivot_root").where(_close("n", "pivot_n"))
-        pairs = stored(pairs.select(F.col("pivot").alias("a"), F.col("class_id").alias("b")).distinct(), "pairs")
+        pairs = stars.where("root <> pivot_root").select(F.col("pivot").alias("a"), F.col("label").alias("b")).distinct()
         # Pivots have met all rows of their columns.
-        rows = stars.where("class_id <> pivot").select("code", "class_id", "n", "root")
-        links, roots, rows = _settled(pairs, sets, links, roots, rows)
-        sizes = rows.groupBy("code").agg(F.count("*").cast("double").alias("m"), F.min("root").alias("low"), F.max("root").alias("high"))
-        size = sizes.where("low <> high").agg(F.sum("m"), F.sum(F.col("m") * F.col("m"))).first()
+        rows = stars.where("label <> pivot").select("code", "label", "root")
+        links, roots, rows = _settled(pairs, links, roots, rows, members, sizes, texts)
+        columns = rows.groupBy("code").agg(
+            F.count("*").cast("double").alias("m"),
+            F.min("label").alias("pivot"),
+            F.min_by("root", "label").alias("pivot_root"),
+            F.min("root").alias("low"),
+            F.max("root").alias("high"),
+        )
+        columns = stored(columns.where("low <> high").drop("low", "high"), "open")
+        size = columns.agg(F.sum("m"), F.sum(F.col("m") * F.col("m"))).first()
         if not size[0]:
             break
+        rows = stored(rows.join(columns, "code"), "open-rows")
         if size[1] <= PAIRS_PER_ROW * size[0] or (before is not None and size[1] > 0.8 * before):
-            open_ = sizes.where("low <> high").select("code")
-            pairs = stored(_product(rows.join(open_, "code", "left_semi").distinct()), "pairs")
-            links, roots, _ = _settled(pairs, sets, links, roots, rows)
+            pairs = _product(rows.select("code", "label", "root"))
+            links, roots, _ = _settled(pairs, links, roots, rows.select("code", "label", "root"), members, sizes, texts)
             break
-        before = size[1]
-    if roots is None:
-        roots = spark.createDataFrame([], "node bigint, root bigint")
-    named = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(_classes(levels), "doc_id string, class_id bigint, n bigint")
-    return stored(named.withColumn("doc_id", F.col("doc_id").cast("bigint")), "classes"), roots
-
-
-def _settled(pairs: DataFrame, sets: _Sets, links, roots, rows: DataFrame):
-    """Links, roots and rows after the pairs are judged."""
-    if not pairs.isEmpty():
-        found = stored(_linked(pairs, sets.of(pairs)), "links")
-        links = found if links is None else links.union(found)
-        if not links.isEmpty():
-            roots = stored(components(links), "roots")
-    if roots is not None:
-        moved = rows.drop("root").join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
-        rows = moved.select("code", "class_id", "n", F.coalesce("root", "class_id").alias("root"))
-    return links, roots, stored(rows, "rows")
+        before, stars = size[1], rows.drop("m")
+    return named, roots.select(_class_id("node").alias("node"), _class_id("root").alias("root"))
 
 
 def near_components(docs: DataFrame) -> DataFrame:

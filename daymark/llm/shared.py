@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -81,24 +82,29 @@ class Generations(dict):
         return value
 
 
-#: Weights of a word's bytes by place; longer words use them again.
-_WEIGHTS = mixed(np.arange(1, 4097, dtype=np.uint64)) | np.uint64(1)
-_SLICE = 4 << 20
+#: Bytes hashed together.
+_SLICE = 1 << 19
 _BYTES = mixed(np.arange(1, 257, dtype=np.uint64))
 
 
+@lru_cache(maxsize=1)
+def _powers(length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd factor and of its inverse."""
+    out = []
+    for base in (int(BASE), pow(int(BASE), -1, 1 << 64)):
+        powers = np.full(length, base, np.uint64)
+        powers[0] = 1
+        out.append(np.cumprod(powers, dtype=np.uint64))
+    return out[0], out[1]
+
+
 def _slice_hashes(data: np.ndarray, spaces: np.ndarray) -> np.ndarray:
-    inside = ~spaces[data]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    edges = np.flatnonzero(np.diff(~spaces[data], prepend=False, append=False))
     starts, ends = edges[::2], edges[1::2]
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    letters = np.flatnonzero(inside)
-    lengths = ends - starts
-    firsts = np.cumsum(lengths) - lengths
-    place = np.arange(len(letters)) - np.repeat(firsts, lengths)
-    weighted = _BYTES[data[letters]] * _WEIGHTS[place & 4095]
-    return mixed(np.add.reduceat(weighted, firsts) + lengths.astype(np.uint64))
+    up, down = _powers(max(2 * _SLICE, 1 << len(data).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * up[: len(data)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
 def hashed_words(text: bytes, spaces: np.ndarray) -> np.ndarray:
@@ -132,10 +138,10 @@ def batch_hashes(texts: list[bytes], spaces: np.ndarray, joint: bytes = b" ") ->
         found.extend(np.split(every, np.cumsum(starts)[cuts - 1]))
 
     for text in texts:
-        if held and held + len(text) > _SLICE // 8:
+        if held and held + len(text) > _SLICE:
             flush()
             group, held = [], 0
-        if len(text) > _SLICE // 8:
+        if len(text) > _SLICE:
             found.append(hashed_words(text, spaces))
             continue
         group.append(text)
@@ -190,7 +196,7 @@ def key_filter(keys: DataFrame, column: str):
     slots = F.explode(F.array(*(F.shiftrightunsigned(column, s).bitwiseAND(FILTER_BITS - 1) for s in (0, 32))))
     bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("slot").bitwiseAND(63).cast("int"))
     words = keys.select(slots.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    found, bits = words.toPandas(), np.zeros(FILTER_BITS // 64, np.int64)
+    found, bits = words.toArrow().to_pandas(), np.zeros(FILTER_BITS // 64, np.int64)
     bits[found["word"]] = found["bits"]
     return keys.sparkSession.sparkContext.broadcast(KeyFilter(bits.view(np.uint64)))
 
