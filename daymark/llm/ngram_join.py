@@ -34,7 +34,7 @@ PERCENT = 80
 #: Counters of the sketch (16 MB) and the slices in which they travel.
 COUNTERS, SLICES = 1 << 21, 16
 #: Stars go on while the columns hold more pairs than this for each row and shrink.
-PAIRS_PER_ROW = 8
+PAIRS_PER_ROW = 2
 #: Texts in characters that are hashed together.
 _TOGETHER = 1 << 20
 #: A column's code has its level above these bits of the shingle's hash, a row's label the share of rare
@@ -112,7 +112,7 @@ def frequency_levels(measured: DataFrame) -> np.ndarray:
 
 
 def _leading(levels):
-    """The first columns of each set's row: (code, label). Copies in one task come once.
+    """The first columns of each set's row: (code, label, place, n). Copies in one task come once.
 
     Labels order rows by the share of their rare shingles.
     """
@@ -120,7 +120,7 @@ def _leading(levels):
     def lead(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         level, seen = levels.value, set()
         for frame in chunks(frames, limit=_TOGETHER):
-            codes, labels, sizes = [], [], []
+            codes, labels, sizes, counts = [], [], [], []
             for grams in shingle_sets(frame["text"].tolist()):
                 n, key = len(grams), class_of(grams)
                 if not n or key in seen:
@@ -132,10 +132,18 @@ def _leading(levels):
                 codes.append(row[: n - _least_common(n) + 1])
                 labels.append(int(31 * np.count_nonzero(own == 0) / n) << _BITS | key)
                 sizes.append(len(codes[-1]))
+                counts.append(n)
             if len(seen) > 500_000:
                 seen.clear()
             if codes:
-                yield pd.DataFrame({"code": np.concatenate(codes).view(np.int64), "label": np.repeat(np.array(labels, np.int64), sizes)})
+                yield pd.DataFrame(
+                    {
+                        "code": np.concatenate(codes).view(np.int64),
+                        "label": np.repeat(np.array(labels, np.int64), sizes),
+                        "place": np.concatenate([np.arange(s) for s in sizes]),
+                        "n": np.repeat(counts, sizes),
+                    }
+                )
 
     return lead
 
@@ -163,15 +171,23 @@ def _class_id(label: str) -> Column:
     return F.col(label).bitwiseAND((1 << _BITS) - 1)
 
 
-def _possible(pairs: DataFrame, members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of labels that their sizes and the overlap of their leading columns leave possible.
+def _first_common(n_a: str, place_a: str, n_b: str, place_b: str) -> Column:
+    """Can this column be the first common one of two similar sets?
+
+    Before its first common column a set holds at most its size less the overlap that the two need. A
+    similar pair meets at its first common column, so others need not be paired there.
+    """
+    needed = (F.col(n_a) + F.col(n_b)) * PERCENT
+    fits = lambda n, place: (F.col(n) - F.col(place)) * (100 + PERCENT) >= needed
+    return fits(n_a, place_a) & fits(n_b, place_b)
+
+
+def _possible(pairs: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of labels that the overlap of their leading columns leaves possible.
 
     What follows the leading columns of both can add at most the longer rest to the overlap.
     """
-    known = sizes.select(F.col("class_id"), F.col("n"))
-    a, b = known.toDF("id_a", "n_a"), known.toDF("id_b", "n_b")
-    sized = pairs.withColumns({"id_a": _class_id("a"), "id_b": _class_id("b")}).join(a, "id_a").join(b, "id_b")
-    close = stored(sized.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * PERCENT).select("a", "b", "n_a", "n_b"), "close")
+    close = stored(pairs, "close")
     ids = close.select(F.explode(F.array("a", "b")).alias("label")).distinct()
     rows = stored(members.join(ids, "label", "left_semi").groupBy("label").agg(F.collect_set("code").alias("codes")), "codes")
     both = close.join(rows.toDF("a", "codes_a"), "a").join(rows.toDF("b", "codes_b"), "b")
@@ -196,18 +212,20 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _product(rows: DataFrame) -> DataFrame:
     """All pairs of the columns, across components."""
-    a, b = rows.toDF("code", "a", "root_a"), rows.toDF("code", "b", "root_b")
-    return a.join(b, "code").where("a < b AND root_a <> root_b").select("a", "b").distinct()
+    a = rows.toDF("code", "a", "place_a", "n_a", "root_a")
+    b = rows.toDF("code", "b", "place_b", "n_b", "root_b")
+    met = a.join(b, "code").where("a < b AND root_a <> root_b").where(_first_common("n_a", "place_a", "n_b", "place_b"))
+    return met.select("a", "b", "n_a", "n_b").distinct()
 
 
-def _settled(pairs: DataFrame, links, roots, rows: DataFrame, members: DataFrame, sizes: DataFrame, texts: DataFrame):
+def _settled(pairs: DataFrame, links, roots, rows: DataFrame, members: DataFrame, texts: DataFrame):
     """Links, roots and rows after the pairs are judged."""
-    possible = stored(_possible(pairs, members, sizes), "possible")
+    possible = stored(_possible(pairs, members), "possible")
     found = stored(_linked(possible, texts), "links")
     links = found if links is None else links.union(found)
     roots = stored(components(links), "roots")
     moved = rows.drop("root").join(roots.withColumnRenamed("node", "label"), "label", "left")
-    return links, roots, stored(moved.select("code", "label", F.coalesce("root", "label").alias("root")), "rows")
+    return links, roots, stored(moved.select("code", "label", "place", "n", F.coalesce("root", "label").alias("root")), "rows")
 
 
 def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -217,23 +235,26 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     kinds = "doc_id string, class_id bigint, n bigint, slice bigint, counts binary"
     measured = stored(docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(_measure, kinds), "measured")
     named = measured.where("slice IS NULL").select(F.col("doc_id").cast("bigint"), "class_id", "n")
-    sizes = named.where("n > 0").groupBy("class_id").agg(F.max("n").alias("n"))
     levels = spark.sparkContext.broadcast(frequency_levels(measured))
-    leading = texts.mapInPandas(_leading(levels), "code bigint, label bigint")
+    leading = texts.mapInPandas(_leading(levels), "code bigint, label bigint, place int, n int")
     several = leading.groupBy("code").agg(F.min("label").alias("pivot"), F.max("label").alias("high")).where("pivot <> high")
     first = stored(leading.join(several.select("code", "pivot"), "code").distinct(), "columns")
     members = first.select("code", "label")
-    stars = first.withColumns({"root": F.col("label"), "pivot_root": F.col("pivot")})
+    pivots = first.where("label = pivot").select("code", F.col("place").alias("pivot_place"), F.col("n").alias("pivot_n"))
+    stars = first.join(pivots, "code").withColumns({"root": F.col("label"), "pivot_root": F.col("pivot")})
     links, roots, before = None, None, None
     while True:
-        pairs = stars.where("root <> pivot_root").select(F.col("pivot").alias("a"), F.col("label").alias("b")).distinct()
+        met = stars.where("root <> pivot_root").where(_first_common("n", "place", "pivot_n", "pivot_place"))
+        pairs = met.select(F.col("pivot").alias("a"), F.col("label").alias("b"), F.col("pivot_n").alias("n_a"), F.col("n").alias("n_b")).distinct()
         # Pivots have met all rows of their columns.
-        rows = stars.where("label <> pivot").select("code", "label", "root")
-        links, roots, rows = _settled(pairs, links, roots, rows, members, sizes, texts)
+        rows = stars.where("label <> pivot").select("code", "label", "place", "n", "root")
+        links, roots, rows = _settled(pairs, links, roots, rows, members, texts)
         columns = rows.groupBy("code").agg(
             F.count("*").cast("double").alias("m"),
             F.min("label").alias("pivot"),
             F.min_by("root", "label").alias("pivot_root"),
+            F.min_by("place", "label").alias("pivot_place"),
+            F.min_by("n", "label").alias("pivot_n"),
             F.min("root").alias("low"),
             F.max("root").alias("high"),
         )
@@ -242,9 +263,9 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if not size[0]:
             break
         rows = stored(rows.join(columns, "code"), "open-rows")
-        if size[1] <= PAIRS_PER_ROW * size[0] or (before is not None and size[1] > 0.8 * before):
-            pairs = _product(rows.select("code", "label", "root"))
-            links, roots, _ = _settled(pairs, links, roots, rows.select("code", "label", "root"), members, sizes, texts)
+        if size[1] <= PAIRS_PER_ROW * size[0] or (before is not None and size[1] > 0.95 * before):
+            rows = rows.select("code", "label", "place", "n", "root")
+            links, roots, _ = _settled(_product(rows), links, roots, rows, members, texts)
             break
         before, stars = size[1], rows.drop("m")
     return named, roots.select(_class_id("node").alias("node"), _class_id("root").alias("root"))

@@ -45,7 +45,7 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def chunks(frames: Iterator[pd.DataFrame], column: str = "text", limit: int = 8 << 20) -> Iterator[pd.DataFrame]:
+def chunks(frames: Iterator[pd.DataFrame], column: str = "text", limit: int = 2 << 20) -> Iterator[pd.DataFrame]:
     """Cut Arrow batches so that each part holds about `limit` characters of text; null becomes the empty text."""
     for frame in frames:
         frame = frame.assign(**{column: [t if isinstance(t, str) else "" for t in frame[column]]})
@@ -67,7 +67,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 class Generations(dict):
     """A cache of at most 2 x `limit` entries: a full one becomes the old one, hits in the old one move up."""
 
-    def __init__(self, make, limit: int = 300_000):
+    def __init__(self, make, limit: int = 150_000):
         super().__init__()
         self.make, self.limit, self.old = make, limit, {}
 
@@ -211,7 +211,7 @@ def passing(known):
     return passes
 
 
-def appended(df: DataFrame, columns: list[str], make, fields: str, limit: int = 8 << 20) -> DataFrame:
+def appended(df: DataFrame, columns: list[str], make, fields: str, limit: int = 2 << 20) -> DataFrame:
     """df with further columns, computed by make for about `limit` characters of rows at a time.
 
     make gets a list of values for each of `columns`, of which the first is a text (null as the empty

@@ -44,7 +44,7 @@ class Transducer:
         if any(SPACE in piece.strip(SPACE) or piece.endswith(SPACE) and piece.strip(SPACE) for piece in self.rank):
             raise ValueError("pieces hold a space after other letters: texts can't be cut at spaces")
         self.pairs: dict[tuple[str, str], bool] = {}
-        self.chunks = Generations(self._count_word, limit=400_000)
+        self.chunks = Generations(self._count_word, limit=250_000)
         self._start()
 
     def _start(self) -> None:
