@@ -9,6 +9,7 @@ the driver only ever sees one number per leaf, at most 2^depth of them.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -16,21 +17,27 @@ from typing import Any
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel,
-    DecisionTreeRegressor,
     GBTRegressionModel,
     GBTRegressor,
+    RandomForestRegressor,
 )
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.functions.errors import clamp_bounds
-from daymark.ml.params import MAX_BINS, QUANTILES, spark_params
+from daymark.functions.quantiles import exact_quantiles
+from daymark.ml.params import QUANTILES, spark_params
 from daymark.schema import HORIZON, LABEL
-from daymark.session import cut_lineage
+from daymark.session import cut_lineage, shared_folder
+from daymark.sources.tables import sink_intermediate
 
 VECTOR = "_features"
 CHECKPOINT_ROUNDS = 5
+#: Accuracy of the sketches inside a fit (start values and leaves); bounds that are shipped are exact.
 SKETCH_ACCURACY = 10_000
+#: Partitions that a fit reads. Fixed, so that one seed gives one model on any cluster.
+FIT_PARTITIONS = 16
 
 
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -38,6 +45,12 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(df)
 
 
+def settled(df: DataFrame, features: Sequence[str], label: str = LABEL, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Rows dealt and ordered by what they hold: row sampling then does not depend on files or executors."""
+    columns = [*features, label]
+    return df.select(*columns).repartition(partitions, *columns).sortWithinPartitions(*columns)
+
+
 @dataclass
 class QuantileTrees:
     """Additive trees for one quantile: a start value, and per round a tree with its leaf values."""
@@ -72,14 +85,19 @@ def _leaf_value(values: Sequence[float]) -> Column:
 def fit_quantile_trees(
     assembled: DataFrame,
     alpha: float,
-    rounds: int = 30,
-    rate: float = 0.3,
-    depth: int = 3,
-    min_rows: int = 20,
+    params: Mapping[str, Any] | None = None,
+    rounds: int | None = None,
     label: str = LABEL,
-    seed: int = 42,
 ) -> QuantileTrees:
-    """Boost trees for the alpha quantile of the label given the features."""
+    """Boost trees for the alpha quantile of the label given the features.
+
+    Rate, depth, leaf size, row and column sampling and seed are those of `params`, as for the
+    point model; `rounds` replaces their number of trees.
+    """
+    chosen = spark_params(params)
+    rate, rounds = chosen.pop("stepSize"), rounds or chosen["maxIter"]
+    seed = chosen.pop("seed")
+    del chosen["maxIter"]
     scores = cut_lineage(assembled.select(VECTOR, F.col(label).cast("double").alias("_y")))
     quantile = F.percentile_approx("_y", F.lit(alpha), F.lit(SKETCH_ACCURACY))
     start = scores.agg(quantile.alias("q")).first().q
@@ -89,21 +107,18 @@ def fit_quantile_trees(
     scores = scores.withColumn("_f", F.lit(model.start))
     for i in range(rounds):
         pull = F.when(F.col("_y") > F.col("_f"), F.lit(alpha)).otherwise(F.lit(alpha - 1))
-        tree = DecisionTreeRegressor(
-            featuresCol=VECTOR,
-            labelCol="_pull",
-            maxDepth=depth,
-            minInstancesPerNode=min_rows,
-            maxBins=MAX_BINS,
-            seed=seed + i,
+        # A forest of one tree: unlike Spark's single tree it samples rows and columns.
+        forest = RandomForestRegressor(
+            featuresCol=VECTOR, labelCol="_pull", numTrees=1, bootstrap=False, seed=seed + i, **chosen
         ).fit(scores.withColumn("_pull", pull))
+        tree = forest.trees[0]
         placed = _add_leaf(tree, scores)
         residual = F.percentile_approx(
             F.col("_y") - F.col("_f"), F.lit(alpha), F.lit(SKETCH_ACCURACY)
         )
         # One row per leaf reaches the driver; the tree depth bounds their number.
         found = {int(r["_leaf"]): float(r.v) for r in placed.groupBy("_leaf").agg(residual.alias("v")).collect()}
-        values = [found.get(leaf, 0.0) for leaf in range(2**depth)]
+        values = [found.get(leaf, 0.0) for leaf in range((tree.numNodes + 1) // 2)]
         model.trees.append(tree)
         model.leaves.append(values)
         step = F.lit(rate) * _leaf_value(values)
@@ -131,7 +146,7 @@ class ForecastModel:
         estimator = GBTRegressor(
             featuresCol=VECTOR, labelCol=label, lossType="squared", **spark_params(params)
         )
-        self.point = estimator.fit(assemble(train, self.features))
+        self.point = estimator.fit(assemble(settled(train, self.features, label), self.features))
         return self
 
     def fit_quantiles(
@@ -139,39 +154,24 @@ class ForecastModel:
         train: DataFrame,
         params: Mapping[str, Any] | None = None,
         quantiles: tuple[float, float] = QUANTILES,
-        rounds: int = 30,
+        rounds: int | None = None,
         label: str = LABEL,
     ) -> ForecastModel:
-        """Boosted quantile trees for both bounds."""
-        chosen = spark_params(params)
-        assembled = assemble(train, self.features)
-        fits = [
-            fit_quantile_trees(
-                assembled,
-                alpha,
-                rounds=rounds,
-                rate=max(chosen["stepSize"], 0.05),
-                depth=min(chosen["maxDepth"], 5),
-                min_rows=chosen["minInstancesPerNode"],
-                label=label,
-                seed=chosen["seed"],
-            )
-            for alpha in quantiles
-        ]
-        self.lower, self.upper = fits
+        """Boosted quantile trees for both bounds, with the parameters of the point model."""
+        assembled = assemble(settled(train, self.features, label), self.features)
+        self.lower, self.upper = (fit_quantile_trees(assembled, alpha, params, rounds, label) for alpha in quantiles)
         return self
 
     def fit_residual_bounds(
         self, calib: DataFrame, quantiles: tuple[float, float] = QUANTILES, label: str = LABEL
     ) -> ForecastModel:
         """The cheap bounds: point plus residual quantiles of the calibration rows."""
-        residual = F.col(label) - F.col("point_prediction")
-        wanted = F.array(*[F.lit(q) for q in quantiles])
-        sketch = F.percentile_approx(residual, wanted, F.lit(SKETCH_ACCURACY))
-        found = self.predict(calib).agg(sketch.alias("q")).first().q
-        if found is None:
+        residuals = self.predict(calib).select((F.col(label) - F.col("point_prediction")).alias("_residual"))
+        wanted = {"low": ("_residual", quantiles[0]), "high": ("_residual", quantiles[1])}
+        found = exact_quantiles(residuals, wanted).first()
+        if found is None or found.low is None:
             raise ValueError("no calibration rows")
-        self.offsets = (float(found[0]), float(found[1]))
+        self.offsets = (float(found.low), float(found.high))
         return self
 
     def predict(self, df: DataFrame, return_intervals: bool = False) -> DataFrame:
@@ -235,7 +235,9 @@ class ForecastModel:
     def load(cls, spark: SparkSession, path: str) -> ForecastModel:
         try:
             description = json.loads(spark.read.text(f"{path}/description").first().value)
-        except Exception as error:
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" not in str(error.getCondition()):
+                raise
             raise FileNotFoundError(path) from error
         offsets = description["offsets"]
         model = cls(
@@ -259,14 +261,17 @@ class ForecastModel:
 def score_by_horizon(df: DataFrame, models: Mapping[int, ForecastModel]) -> DataFrame:
     """Score each row with the model of its horizon; rows without a model are left out.
 
-    The rows are materialised first: every model reads its own part of them, and without that
-    each part would compute all features again.
+    The rows are first written by horizon: every model then reads its own part only. A table without
+    rows of some horizon (a short frame) gives those of its last horizon to that model.
     """
-    if len(models) > 1:
-        df = cut_lineage(df)
+    path = f"{shared_folder(df.sparkSession)}/by-horizon-{uuid.uuid4().hex}"
+    df = sink_intermediate(df, path, [HORIZON])
+    present = sorted(r[HORIZON] for r in df.select(HORIZON).distinct().collect())  # at most one row per horizon
     parts = []
     for horizon, model in sorted(models.items()):
-        scored = model.predict(df.where(F.col(HORIZON) == horizon), return_intervals=True)
+        source = horizon if horizon in present or not present else present[-1]
+        rows = df.where(F.col(HORIZON) == source).withColumn(HORIZON, F.lit(horizon).cast(df.schema[HORIZON].dataType))
+        scored = model.predict(rows, return_intervals=True)
         for bound in ("lower_bound", "upper_bound"):
             if bound not in scored.columns:
                 scored = scored.withColumn(bound, F.col("point_prediction"))

@@ -62,7 +62,7 @@ def train_horizon(
     target_col: str = TARGET,
     features: Sequence[str] | None = None,
     bounds: str = "quantile",
-    quantile_rounds: int = 30,
+    quantile_rounds: int | None = None,
     threads: int = 4,
     table: Sequence[Mapping[str, Any]] | None = None,
 ) -> TrainedHorizon:

@@ -1,4 +1,7 @@
-"""Queries for modelling. Fits use few, shallow trees; rows, series and horizons are all used.
+"""Queries for modelling. All rows, series and horizons are used; models are small.
+
+The default parameters take more than twenty minutes here for the queries together, so the queries fit
+few, shallow trees, and the search has a small space. That bounds the models, not the data.
 
 Numbers that come out of a fit have no SQL counterpart and are checked as rows only. The parts
 that do not depend on the fit (which rows are scored, sizes, order of the bounds) have one.
@@ -7,6 +10,8 @@ that do not depend on the fit (which rows are scored, sizes, order of the bounds
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +36,7 @@ from daymark.suite.weather import MERGED
 
 S = i.SERIES
 SMALL = {**DEFAULT_PARAMS, "n_estimators": 4, "max_depth": 3, "learning_rate": 0.3}
+QUANTILE_ROUNDS = 2
 FEATURES = [
     *CYCLIC_NAMES,
     "Weekend",
@@ -66,7 +72,7 @@ def training_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trained(spark: SparkSession, sf: str) -> dict[int, TrainedHorizon]:
-    """One small model per horizon, fitted once per session and table folder."""
+    """One model per horizon with small parameters, fitted once per session and table folder."""
     key = _key(spark, sf)
     if key not in _trained:
         _trained[key] = train_all(
@@ -88,38 +94,51 @@ def _part(split: DataFrame, name: str) -> DataFrame:
     return split.where(F.col(SPLIT) == name)
 
 
-SCORED = ["series", "Date", LABEL, "point_prediction"]
+ROWS = with_ctes(i.DAILY, i.FILLED, i.WEATHER_SQL, MERGED, FULL) + LABELLED
+PARTS = ROWS + ", parts AS (" + split_sql("labelled", "series, horizon", 'series, horizon, "Date", target') + ")"
+_TEST_ROWS = PARTS + """ SELECT series, "Date", horizon, target, true AS sound FROM parts WHERE split = 'test'"""
+
 
+def _sound(scored: DataFrame) -> DataFrame:
+    """Keys, label, and whether the numbers are finite and the bounds in order."""
+    point, big = F.col("point_prediction"), F.lit(1e12)
+    sound = F.abs(point) < big
+    if "lower_bound" in scored.columns:
+        sound = sound & (F.col("lower_bound") <= point) & (point <= F.col("upper_bound"))
+        sound = sound & (F.abs("lower_bound") < big) & (F.abs("upper_bound") < big)
+    return scored.select("series", "Date", HORIZON, LABEL, F.coalesce(sound, F.lit(False)).alias("sound"))
 
-@query("fit_point")
+
+@query("fit_point", _TEST_ROWS)
 def fit_point(spark, sf):
-    split = _split(spark, sf, 1)
-    model = ForecastModel(FEATURES, 1).fit_point(_part(split, "train"), SMALL)
-    return model.predict(_part(split, "test")).select(*SCORED)
+    """Scores of the test parts by all seven point models."""
+    split = temporal_split(training_rows(spark, sf), series_cols=S)
+    test = _part(split, "test")
+    scored = score_by_horizon(test, _models(spark, sf)).drop("lower_bound", "upper_bound")
+    return _sound(scored)
 
 
-@query("fit_quantiles")
+@query("fit_quantiles", _TEST_ROWS)
 def fit_quantiles(spark, sf):
-    split = _split(spark, sf, 7)
-    model = ForecastModel(FEATURES, 7).fit_point(_part(split, "train"), SMALL)
-    model.fit_quantiles(_part(split, "train"), SMALL, rounds=3)
-    scored = model.predict(_part(split, "test"), return_intervals=True)
-    return scored.select(*SCORED, "lower_bound", "upper_bound")
+    """Boosted bounds of all seven horizons."""
+    split = temporal_split(training_rows(spark, sf), series_cols=S)
 
+    def one(item):
+        horizon, fitted = item
+        rows = _part(split, "train").where(F.col(HORIZON) == horizon)
+        model = ForecastModel(fitted.features, horizon, fitted.point)
+        return horizon, model.fit_quantiles(rows, SMALL, rounds=QUANTILE_ROUNDS)
 
-@query("predict_interval")
-def predict_interval(spark, sf):
-    model = _models(spark, sf)[3]
-    scored = model.predict(_part(_split(spark, sf, 3), "test"), return_intervals=True)
-    return scored.select(*SCORED, "lower_bound", "upper_bound")
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        models = dict(pool.map(one, _models(spark, sf).items()))
+    return _sound(score_by_horizon(_part(split, "test"), models))
 
 
-@query("default_params")
-def default_params(spark, sf):
-    """The defaults next to the values a fit on the tables found."""
-    best = trained(spark, sf)[1].metadata["best_params"]
-    rows = [(name, str(value), str(best.get(name))) for name, value in DEFAULT_PARAMS.items()]
-    return spark.createDataFrame(rows, "name string, default_value string, fitted_value string")
+@query("predict_interval", _TEST_ROWS)
+def predict_interval(spark, sf):
+    """Bounds from residuals, all horizons."""
+    split = temporal_split(training_rows(spark, sf), series_cols=S)
+    return _sound(score_by_horizon(_part(split, "test"), _models(spark, sf)))
 
 
 @query("hyperparameter_search")
@@ -144,8 +163,6 @@ def train_horizon_query(spark, sf):
     return _metadata(spark, sf, names, ["int"] + ["double"] * 5)
 
 
-ROWS = with_ctes(i.DAILY, i.FILLED, i.WEATHER_SQL, MERGED, FULL) + LABELLED
-PARTS = ROWS + ", parts AS (" + split_sql("labelled", "series, horizon", 'series, horizon, "Date", target') + ")"
 _SIZES = ", ".join(
     f"CAST(count(*) FILTER (split = '{p}') AS BIGINT) AS n_{p}" for p in ("train", "val", "calib", "test")
 )
@@ -162,7 +179,11 @@ def train_all_query(spark, sf):
 
 @query("feature_importance_topk")
 def feature_importance(spark, sf):
-    return _models(spark, sf)[1].feature_importance(spark, 20)
+    """The first features of each horizon's model."""
+    parts = [
+        m.feature_importance(spark, 20).withColumn(HORIZON, F.lit(h)) for h, m in sorted(_models(spark, sf).items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _future(spark, sf):
@@ -265,8 +286,7 @@ def load_models(spark, sf):
 
 @query("metrics_of_models")
 def metrics_of_models(spark, sf):
-    """Errors of the point models on their validation parts, all horizons in one job."""
-    split = temporal_split(training_rows(spark, sf), series_cols=S)
-    scored = score_by_horizon(_part(split, "val"), _models(spark, sf))
+    """Errors of the point models on all labelled rows, all horizons in one job."""
+    scored = score_by_horizon(training_rows(spark, sf), _models(spark, sf))
     renamed = scored.withColumnsRenamed({LABEL: "actual", "point_prediction": "predicted"})
     return metrics_by_horizon(renamed)

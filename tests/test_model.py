@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from daymark.ml import params
 from daymark.ml.model import ForecastModel, score_by_horizon
@@ -149,3 +150,22 @@ def test_train_horizon_metadata(spark, daily, year_of_counts):
     assert meta["n_features"] == 28
     assert meta["n_train"] + meta["n_val"] + meta["n_calib"] + meta["n_test"] == 160 - 28 - 2
     assert meta["best_val_mae"] > 0 and meta["test_interval_width"] >= 0
+
+
+def test_default_params_reach_the_estimators():
+    found = params.spark_params()
+    assert found["maxIter"] == 100 and found["maxDepth"] == 6 and found["stepSize"] == 0.1
+    assert params.spark_params({"max_depth": 12, "learning_rate": 0.001})["maxDepth"] == 12
+
+
+def test_fits_do_not_depend_on_partitions(frames):
+    train, test = frames
+    one = ForecastModel(FEATURES, 1).fit_point(train, SMALL).predict(test)
+    two = ForecastModel(FEATURES, 1).fit_point(train.repartition(7), SMALL).predict(test)
+    assert one.collect() == two.collect()
+
+
+def test_short_frames_score_the_last_row(fitted, frames):
+    row = frames[1].limit(1).withColumn("horizon", F.lit(3))
+    out = score_by_horizon(row, {3: fitted, 7: fitted}).collect()
+    assert [r.horizon for r in out] == [3, 7] and out[0].point_prediction == out[1].point_prediction
