@@ -34,7 +34,7 @@ PERCENT = 80
 #: Counters of the sketch (16 MB) and the slices in which they travel.
 COUNTERS, SLICES = 1 << 21, 16
 #: Stars go on while the columns hold more pairs than this for each row and shrink.
-PAIRS_PER_ROW = 2
+PAIRS_PER_ROW = 8
 #: Texts in characters that are hashed together.
 _TOGETHER = 1 << 20
 #: A column's code has its level above these bits of the shingle's hash, a row's label the share of rare
@@ -263,7 +263,7 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if not size[0]:
             break
         rows = stored(rows.join(columns, "code"), "open-rows")
-        if size[1] <= PAIRS_PER_ROW * size[0] or (before is not None and size[1] > 0.95 * before):
+        if size[1] <= PAIRS_PER_ROW * size[0] or (before is not None and size[1] > 0.7 * before):
             rows = rows.select("code", "label", "place", "n", "root")
             links, roots, _ = _settled(_product(rows), links, roots, rows, members, texts)
             break
