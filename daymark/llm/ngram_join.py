@@ -68,7 +68,12 @@ def _least_common(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-_MEASURED = ["doc_id", "class_id", "n", "slice", "counts"]
+_MEASURED = ["doc_id", "row_key", "class_id", "n", "slice", "counts"]
+
+
+def _row_key() -> Column:
+    """The same number for rows of one id and one text."""
+    return F.xxhash64(F.col("doc_id").isNull(), F.col("doc_id").cast("bigint"), F.col("text").isNull(), "text")
 
 
 def _measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,9 +86,9 @@ def _measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counters += np.bincount(_counter(every), minlength=COUNTERS)
         else:
             np.add.at(counters, _counter(every), 1)
-        rows = [(key, class_of(g), len(g), None, None) for key, g in zip(frame["doc_id"], sets, strict=True)]
+        rows = [(key, row, class_of(g), len(g), None, None) for key, row, g in zip(frame["doc_id"], frame["row_key"], sets, strict=True)]
         yield pd.DataFrame(rows, columns=_MEASURED)
-    cut = [(None, None, None, i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(np.split(counters, SLICES)) if part.any()]
+    cut = [(None, None, None, None, i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(np.split(counters, SLICES)) if part.any()]
     if cut:
         yield pd.DataFrame(cut, columns=_MEASURED)
 
@@ -229,12 +234,12 @@ def _settled(pairs: DataFrame, links, roots, rows: DataFrame, members: DataFrame
 
 
 def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, class_id, n) of each document; (node, root) of each class that is linked with another."""
+    """(doc_id, row_key, class_id, n) of each document; (node, root) of each class that is linked with another."""
     spark = docs.sparkSession
     texts = docs.select("text")
-    kinds = "doc_id string, class_id bigint, n bigint, slice bigint, counts binary"
-    measured = stored(docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(_measure, kinds), "measured")
-    named = measured.where("slice IS NULL").select(F.col("doc_id").cast("bigint"), "class_id", "n")
+    kinds = "doc_id string, row_key bigint, class_id bigint, n bigint, slice bigint, counts binary"
+    measured = stored(docs.select(F.col("doc_id").cast("string"), _row_key().alias("row_key"), "text").mapInPandas(_measure, kinds), "measured")
+    named = measured.where("slice IS NULL").select(F.col("doc_id").cast("bigint"), "row_key", "class_id", "n")
     levels = spark.sparkContext.broadcast(frequency_levels(measured))
     leading = texts.mapInPandas(_leading(levels), "code bigint, label bigint, place int, n int")
     several = leading.groupBy("code").agg(F.min("label").alias("pivot"), F.max("label").alias("high")).where("pivot <> high")
@@ -292,17 +297,26 @@ def near_components(docs: DataFrame) -> DataFrame:
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
-    """docs with one document of each component: the one with the smallest doc_id.
+    """docs with one row of each component: the one with the smallest doc_id, without an id only if none has one.
 
-    Of repeated rows one stays. Documents without words, without links or without an id stay. Columns stay
-    as they are.
+    Texts decide, not ids: of different texts with one id, each stays or goes with its own component. Of texts
+    with the same smallest id in a component the one with the smallest hash stays, of repeated rows one.
+    Documents without words or without links stay. Columns stay as they are.
     """
-    found = stored(near_components(docs), "components")
-    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("m"))
-    touched = stored(ids.where("component_id <> doc_id OR m > 1").select("doc_id", "component_id"), "touched")
-    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0))
-    maybe = docs.withColumn("maybe", F.col("doc_id").isNotNull() & passing(key_filter(touched, "doc_id"))(key))
-    plain = maybe.where("NOT maybe").drop("maybe")
-    met = maybe.where("maybe").drop("maybe").join(touched, "doc_id", "left").where("component_id IS NULL OR component_id = doc_id")
-    one = met.withColumn("text_key", F.xxhash64("text")).dropDuplicates(["doc_id", "text_key"])
-    return plain.unionByName(one.select(*docs.columns))
+    rows, roots = join_classes(docs)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")
+    classes = rows.where("n > 0").groupBy("class_id").agg(F.min(order).alias("least"))
+    rooted = classes.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("root", F.coalesce("root", "class_id"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    named = stored(rooted.join(least, "root").select("class_id", F.col("first.row_key").alias("kept_key")), "kept")
+    full = rows.where("n > 0").join(named, "class_id").select("row_key", (F.col("row_key") != F.col("kept_key")).alias("goes"))
+    bare = rows.where("n = 0 AND doc_id IS NOT NULL").select("row_key", F.lit(False))
+    keys = full.union(bare).groupBy("row_key").agg(F.max("goes").alias("goes"), F.count("*").alias("m"))
+    touched = stored(keys.where("goes OR m > 1").select(F.col("row_key").alias("_row_key"), F.col("goes").alias("_goes")), "touched")
+    keyed = docs.withColumn("_row_key", _row_key())
+    maybe = keyed.withColumn("_maybe", passing(key_filter(touched, "_row_key"))("_row_key"))
+    plain = maybe.where("NOT _maybe").select(*docs.columns)
+    met = maybe.where("_maybe").join(touched, "_row_key", "left")
+    unknown = met.where("_goes IS NULL").select(*docs.columns)
+    one = met.where("NOT _goes").dropDuplicates(["_row_key"])
+    return plain.unionByName(unknown).unionByName(one.select(*docs.columns))

@@ -70,3 +70,11 @@ def test_edges(docs):
     kept = keep_representatives(docs(EDGES + [(50, "same text here")]))
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6]
     assert kept.columns == docs(EDGES).columns
+
+
+def test_texts_of_one_id_and_texts_without_an_id(docs):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(60)) for k in "abc")
+    near = a.replace("a59", "other")
+    rows = [(3, a), (7, near), (7, b), (None, c), (None, c), (None, c.replace("c59", "other")), (None, a), (9, b), (None, ""), (None, "")]
+    kept = keep_representatives(docs(rows)).collect()
+    assert sorted((r.doc_id or 0, (r.text or "")[:1]) for r in kept) == [(0, ""), (0, ""), (0, "c"), (3, "a"), (7, "b")]
