@@ -1,7 +1,4 @@
-"""Queries for modelling. All rows, series and horizons are used; models are small.
-
-The default parameters take more than twenty minutes here for the queries together, so the queries fit
-few, shallow trees, and the search has a small space. That bounds the models, not the data.
+"""Queries for modelling, with all rows, series and horizons, the default parameters and the whole search space.
 
 Numbers that come out of a fit have no SQL counterpart and are checked as rows only. The parts
 that do not depend on the fit (which rows are scored, sizes, order of the bounds) have one.
@@ -26,7 +23,7 @@ from daymark.operators.features import LAGS, ROLLING_WINDOWS, engineer_features,
 from daymark.operators.clean import drop_null_rows
 from daymark.operators.weather import merge_weather
 from daymark.plans import prediction, tracking, training
-from daymark.schema import HORIZON, LABEL, SPLIT, WEATHER
+from daymark.schema import HORIZON, HORIZONS, LABEL, SPLIT, WEATHER
 from daymark.session import cut_lineage, shared_folder
 from daymark.sources.predictions import sink_test_predictions
 from daymark.suite import inputs as i
@@ -35,8 +32,7 @@ from daymark.suite.features import FULL, FULL_STATE, LABELLED, split_sql
 from daymark.suite.weather import MERGED
 
 S = i.SERIES
-SMALL = {**DEFAULT_PARAMS, "n_estimators": 4, "max_depth": 3, "learning_rate": 0.3}
-QUANTILE_ROUNDS = 2
+TRIALS = 3
 FEATURES = [
     *CYCLIC_NAMES,
     "Weekend",
@@ -72,11 +68,11 @@ def training_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def trained(spark: SparkSession, sf: str) -> dict[int, TrainedHorizon]:
-    """One model per horizon with small parameters, fitted once per session and table folder."""
+    """One model per horizon with the default parameters, fitted once per session and table folder."""
     key = _key(spark, sf)
     if key not in _trained:
         _trained[key] = train_all(
-            training_rows(spark, sf), series_cols=S, features=FEATURES, bounds="residual", table=[SMALL], parallel=4
+            training_rows(spark, sf), series_cols=S, features=FEATURES, bounds="residual", table=[DEFAULT_PARAMS], parallel=4
         )
     return _trained[key]
 
@@ -85,11 +81,6 @@ def _models(spark: SparkSession, sf: str) -> dict[int, ForecastModel]:
     return {h: t.model for h, t in trained(spark, sf).items()}
 
 
-def _split(spark: SparkSession, sf: str, horizon: int) -> DataFrame:
-    rows = training_rows(spark, sf).where(F.col(HORIZON) == horizon)
-    return temporal_split(rows, series_cols=S)
-
-
 def _part(split: DataFrame, name: str) -> DataFrame:
     return split.where(F.col(SPLIT) == name)
 
@@ -127,7 +118,7 @@ def fit_quantiles(spark, sf):
         horizon, fitted = item
         rows = _part(split, "train").where(F.col(HORIZON) == horizon)
         model = ForecastModel(fitted.features, horizon, fitted.point)
-        return horizon, model.fit_quantiles(rows, SMALL, rounds=QUANTILE_ROUNDS)
+        return horizon, model.fit_quantiles(rows, DEFAULT_PARAMS)
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         models = dict(pool.map(one, _models(spark, sf).items()))
@@ -143,13 +134,14 @@ def predict_interval(spark, sf):
 
 @query("hyperparameter_search")
 def search(spark, sf):
-    small_space = {**SEARCH_SPACE, "n_estimators": ("int", 2, 4, 1), "max_depth": ("int", 2, 4, 1)}
-    split = _split(spark, sf, 1)
-    found = hyperparameter_search(
-        _part(split, "train"), _part(split, "val"), FEATURES, 1, trials(3, space=small_space)
-    )
-    rows = [(r["trial"], {k: float(v) for k, v in r["params"].items()}, r["val_mae"]) for r in found]
-    return spark.createDataFrame(rows, "trial int, params map<string,double>, val_mae double")
+    """Trials of each horizon, drawn from the whole space."""
+    split, table = temporal_split(training_rows(spark, sf), series_cols=S), trials(TRIALS, space=SEARCH_SPACE)
+    rows = []
+    for horizon in HORIZONS:
+        own = split.where(F.col(HORIZON) == horizon)
+        found = hyperparameter_search(_part(own, "train"), _part(own, "val"), FEATURES, horizon, table)
+        rows += [(horizon, r["trial"], {k: float(v) for k, v in r["params"].items()}, r["val_mae"]) for r in found]
+    return spark.createDataFrame(rows, "horizon int, trial int, params map<string,double>, val_mae double")
 
 
 def _metadata(spark, sf, names, kinds):
