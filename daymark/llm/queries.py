@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import decontaminate, html_extract, language_id, ngram_join, packing, quality_rules, suffix_dedup, token_count, token_shards, url_filter
+from daymark.llm import decontaminate, html_extract, language_id, ngram_join, packing, quality_rules, sharding, suffix_dedup, token_count, token_shards, url_filter
 from daymark.llm.catalog import ORACLES, QUERIES, query, table  # noqa: F401
 
 URL_RULES = [
@@ -116,3 +116,40 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's main text."""
     return html_extract.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+# Checksums by table, two hex digits of the text at a time; products of the generator in 128 bits.
+SHARD_SQL = """
+WITH RECURSIVE docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body, coalesce(doc_id, 0)::HUGEINT AS id FROM documents),
+entries AS (
+  SELECT list(list_reduce([b::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY b) AS entry
+  FROM range(256) AS t(b)),
+sums AS (
+  SELECT rid, doc_id, id, (strlen(body) + 1)::BIGINT AS size,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(body)), '..'),
+      lambda x: ('0x' || x)::BIGINT)), lambda c, b: xor(c >> 8, entry[(xor(c, b) & 255) + 1])))::BIGINT AS text_crc32
+  FROM docs, entries),
+walk AS (
+  SELECT rid, (CASE WHEN id < 0 THEN id + 18446744073709551616 ELSE id END)::UHUGEINT AS state, 0::BIGINT AS place, 0::BIGINT AS next
+  FROM docs
+  UNION ALL
+  SELECT rid, drawn, next, floor((next + 1)::DOUBLE * (2147483648.0::DOUBLE / ((drawn >> 33) + 1)::DOUBLE))::BIGINT
+  FROM (SELECT rid, next, ((state * 2862933555777941757 + 1) % 18446744073709551616)::UHUGEINT AS drawn FROM walk WHERE next <= 16)),
+found AS (
+  SELECT rid, CAST(max(place) FILTER (place < 16) AS INTEGER) AS shard, CAST(max(place) AS INTEGER) AS grown_shard FROM walk GROUP BY rid),
+spreads AS (
+  SELECT *, (((CASE WHEN id < 0 THEN id + 18446744073709551616 ELSE id END)::UHUGEINT * 2862933555777941757 + 1)
+    % 18446744073709551616) >> 32 AS spread
+  FROM sums JOIN found USING (rid))
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+  row_number() OVER (PARTITION BY shard ORDER BY spread, text_crc32, size, doc_id NULLS FIRST) - 1 AS slot
+FROM spreads
+"""
+
+
+@query("op13_sharding", SHARD_SQL)
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard among 16, its number there and its shard among 17."""
+    return sharding.assign_shards(table(spark, sf_dir, "documents"))
