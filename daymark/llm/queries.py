@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm import decontaminate, html_extract, language_id, ngram_join, packing, quality_rules, sharding, suffix_dedup, token_count, token_shards, url_filter
+from daymark.llm import collocations, decontaminate, html_extract, language_id, ngram_join, packing, pair_search, quality_rules, sharding, suffix_dedup, token_count, token_shards, url_filter
 from daymark.llm.catalog import ORACLES, QUERIES, query, table  # noqa: F401
 
 URL_RULES = [
@@ -153,3 +153,66 @@ FROM spreads
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard among 16, its number there and its shard among 17."""
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+SEARCH_SQL = f"""
+WITH listed AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS terms FROM documents),
+docs AS (SELECT *, len(terms) AS n FROM listed WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS big_n, sum(n) AS big_l FROM docs),
+tfs AS (SELECT rid, doc_id, n, term, count(*) AS tf FROM (SELECT rid, doc_id, n, unnest(terms) AS term FROM docs) GROUP BY ALL),
+dfs AS (SELECT term, count(*) AS df FROM tfs GROUP BY term),
+asked AS (SELECT row_number() OVER () AS qid, item_id, terms FROM (SELECT DISTINCT item_id, {_TERMS} AS terms FROM benchmark)),
+parts AS (SELECT qid, item_id, unnest(terms) AS term FROM asked),
+scores AS (
+  SELECT qid, item_id, rid, doc_id, sum(
+    floor(1000 * ln((2.0::DOUBLE * big_n + 2) / (2.0::DOUBLE * df + 1)))::BIGINT
+    * ((1000000000 * tf) // (1000 * tf + 12 * (75 + ((25 * n * big_n) // big_l)))))::BIGINT AS score
+  FROM parts JOIN tfs USING (term) JOIN dfs USING (term), totals GROUP BY ALL),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
+@query("op12_pair_search", SEARCH_SQL)
+def op12_pair_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for each item of `benchmark`."""
+    return pair_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+PHRASE_SQL = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS words FROM texts),
+spans AS (SELECT lang, words, unnest(range(1, len(words) + 1)) AS s FROM pieces),
+grams AS (
+  SELECT lang, k, array_to_string(words[s:s + k - 1], ' ') AS phrase
+  FROM spans, range(1, 5) AS t(k) WHERE s + k - 1 <= len(words)),
+counts AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+totals AS (SELECT lang, count(*) AS n FROM spans GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS words FROM counts WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, cut, l.a AS l, r.a AS r, (2000000 * c.a::HUGEINT) // (l.a + r.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN counts l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[1:cut], ' ')
+  JOIN counts r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[cut + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(words[s:s + w - 1], ' ') AS phrase
+    FROM candidates, range(1, 4) AS t(s), range(2, 4) AS u(w) WHERE w < k AND s + w - 1 <= k) GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score::BIGINT AS score
+FROM best LEFT JOIN inside USING (lang, phrase) JOIN totals USING (lang)
+WHERE longer IS NULL OR 100 * longer < 80 * a
+QUALIFY rank <= 2000
+"""
+
+
+@query("op11_collocations", PHRASE_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 strongest phrases of each language of `documents`."""
+    return collocations.mine(table(spark, sf_dir, "documents"))
