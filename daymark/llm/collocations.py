@@ -8,12 +8,13 @@ not counted, so it joins the proposed ones, and a further pass counts what has b
 passes end when no phrase of the border is frequent, and then no frequent phrase is missing.
 
 Proposed phrases reach the tasks as bits of a filter of bounded size. What it passes beside them is
-counted needlessly, and still exactly. Passes carry 64-bit hashes of phrases; a last one gathers the texts of
-those whose hash is frequent and counts them by text, so that no result depends on a hash.
+counted needlessly, and still exactly. Passes carry 64-bit hashes of phrases, and with each the smallest
+key of a row that holds it; at last these rows name their phrases. Results are exact up to 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ LOWERED = 0.4
 #: Bits of the filter of proposed phrases for each of them, and at most in all (32 MB).
 BITS_EACH, MAX_BITS = 16, 1 << 28
 #: Counts that a task holds before it hands them on.
-HELD = 3 << 20
+HELD = 2 << 20
 #: Characters of texts read together.
 CHARS = 1 << 20
 
@@ -63,16 +64,21 @@ class Proposed:
 
 
 class Passage:
-    """Words of some texts of one language, as hashes, with their places."""
+    """Words of some texts of one language, as hashes, with their places and the number of their text."""
 
     def __init__(self, texts: list[str], lang: str):
-        self.text = b".".join(t.encode() for t in texts).translate(_FOLD)
+        encoded = [t.encode() for t in texts]
+        self.text = b".".join(encoded).translate(_FOLD)
+        begins = np.cumsum([0] + [len(t) + 1 for t in encoded[:-1]])
         data = np.frombuffer(self.text, np.uint8)
         edges = np.flatnonzero(np.diff(~_SPACES[data], prepend=False, append=False))
         self.starts, self.ends = edges[::2], edges[1::2]
         pieces = np.searchsorted(np.flatnonzero(data == 0x2E), self.starts)
-        salt = hashed_words(b"=" + lang.encode().translate(_FOLD).replace(b" ", b"_").replace(b".", b"_"), _SPACES)[0]
+        salt = np.uint64(int.from_bytes(hashlib.blake2b(lang.encode(), digest_size=8).digest(), "little"))
         self.words = mixed(hashed_words(self.text, _SPACES) ^ salt)
+        #: Stands for all words of the language together.
+        self.all_words = mixed(np.array([salt ^ BASE], np.uint64))[0] & ~np.uint64(3)
+        self.texts = np.searchsorted(begins, self.starts, "right") - 1
         #: How many words follow in the same piece, as far as it matters.
         self.joined = np.zeros(len(self.words), np.int8)
         for k in range(1, min(LONGEST, len(self.words))):
@@ -94,75 +100,89 @@ class Passage:
             yield k, found, np.flatnonzero(self.joined[: len(found)] >= k - 1)
 
 
-def countable(passage: Passage, proposed: Proposed | None, before: Proposed | None) -> list[np.ndarray]:
-    """Hashes of all occurrences of phrases to count: all without filters, else those whose parts are proposed.
+def countable(passage: Passage, proposed: Proposed | None, before: Proposed | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(hashes, places) of all occurrences of phrases to count: all without filters, else those whose parts are proposed.
 
     With `before`, those that its filter had let count are left out.
     """
-    out, parts, earlier = [], None, None
+    parts, earlier = None, None
     for k, found, places in passage.phrases():
         if proposed is None:
             if k < LONGEST:
-                out.append(found[places])
+                yield found[places], places
             continue
         if k == 1:
             if before is None:
-                out.append(found[places])
+                yield found, places
         else:
             held = parts[places] & parts[places + 1]
             if before is not None:
                 held &= ~(earlier[places] & earlier[places + 1])
-            out.append(found[places[held]])
+            places = places[held]
+            yield found[places], places
         if k < LONGEST:
             parts = proposed.passes(found)
             earlier = before.passes(found) if before is not None else None
-    return out
 
 
-def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Passage]]:
-    """Texts of a task by language, about CHARS characters at a time."""
-    held: dict[str, list[str]] = {}
+def _passages(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[str, Passage, list]]:
+    """Texts of a task by language, about CHARS characters at a time, with what another column holds for them."""
+    held: dict[str, list] = {}
     sizes: dict[str, int] = {}
+
+    def taken(lang: str) -> tuple[str, Passage, list]:
+        del sizes[lang]
+        rows = held.pop(lang)
+        return lang, Passage([t for t, _ in rows], lang), [x for _, x in rows]
+
     for batch in batches:
-        for lang, text in zip(batch.column(0), batch.column(1)):
+        for lang, text, other in zip(batch.column(0), batch.column(1), batch.column(column)):
             lang, text = lang.as_py(), text.as_py()
-            held.setdefault(lang, []).append(text)
+            held.setdefault(lang, []).append((text, other.as_py()))
             sizes[lang] = sizes.get(lang, 0) + len(text)
             if sizes[lang] >= CHARS:
-                yield lang, Passage(held.pop(lang), lang)
-                del sizes[lang]
+                yield taken(lang)
             elif len(held) > 64:
-                most = max(sizes, key=sizes.__getitem__)
-                yield most, Passage(held.pop(most), most)
-                del sizes[most]
-    for lang, texts in held.items():
-        yield lang, Passage(texts, lang)
+                yield taken(max(sizes, key=sizes.__getitem__))
+    for lang in list(held):
+        yield taken(lang)
 
 
-COUNTS = "h bigint, n bigint"
+COUNTS = "h bigint, n bigint, row bigint"
 
 
 def _counted(texts: DataFrame, proposed, before) -> DataFrame:
-    """Hash and count of all phrases to count, summed over all texts."""
+    """Hash and count of all phrases to count, and the smallest key of a row with it, over all rows (lang, text, row)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        whole: list[tuple[int, int, int]] = []
         size = 0
 
         def counts() -> pa.RecordBatch:
-            h, n = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
-            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
-
-        for _, passage in _passages(batches):
-            found = countable(passage, proposed and proposed.value, before and before.value)
-            held += found
-            size += sum(map(len, found))
+            h, rows = (np.concatenate(x) for x in zip(*held)) if held else (np.empty(0, np.uint64), np.empty(0, np.int64))
+            order = np.argsort(h)
+            h = h[order]
+            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.empty(0, np.int64)
+            n = np.diff(np.append(first, len(h)))
+            least = np.minimum.reduceat(rows[order], first) if len(h) else rows
+            more = np.array(whole, np.int64).reshape(-1, 3)
+            parts = (h[first].view(np.int64), more[:, 0]), (n, more[:, 1]), (least, more[:, 2])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in parts], names=["h", "n", "row"])
+
+        for _, passage, keys in _passages(batches, 2):
+            rows = np.array(keys, np.int64)[passage.texts]
+            for found, places in countable(passage, proposed and proposed.value, before and before.value):
+                held.append((found, rows[places]))
+                size += len(found)
+            if proposed is not None and before is None and len(rows):
+                whole.append((int(passage.all_words.view(np.int64)), len(rows), int(rows.min())))
             if size >= HELD:
                 yield counts()
-                held, size = [], 0
+                held, whole, size = [], [], 0
         yield counts()
 
-    return texts.mapInArrow(count, COUNTS).groupBy("h").agg(F.sum("n").alias("n"))
+    return texts.mapInArrow(count, COUNTS).groupBy("h").agg(F.sum("n").alias("n"), F.min("row").alias("row"))
 
 
 def _filter(hashes: DataFrame):
@@ -185,12 +205,11 @@ def _missing(known):
 
 
 def frequent_hashes(texts: DataFrame, least: int, sample: int = SAMPLE) -> DataFrame:
-    """Hashes of all words and phrases that occur `least` times (hashes that several share: together).
+    """(h, n, row) of all words and phrases that occur `least` times in texts (lang, text, row), and of each language's words together.
 
-    The sample is drawn by all columns of texts.
+    The sample is drawn by the keys of the rows.
     """
-    drawn = texts.where(F.pmod(F.xxhash64(*texts.columns), F.lit(sample)) == 0).select("lang", "text")
-    texts = texts.select("lang", "text")
+    drawn = texts.where(F.pmod("row", F.lit(sample)) == 0)
     lowered = max(1, int(least / sample * LOWERED))
     proposed = stored(_counted(drawn, None, None).where(F.col("n") >= lowered).select("h"), "proposed")
     known, before, found = _filter(proposed), None, None
@@ -206,51 +225,44 @@ def frequent_hashes(texts: DataFrame, least: int, sample: int = SAMPLE) -> DataF
         known, before = _filter(proposed), known
 
 
-FREQUENT = "lang string, phrase string, k int, n bigint"
+NAMED = "h bigint, lang string, phrase string, k int"
 
 
 def frequent_phrases(texts: DataFrame, least: int, sample: int = SAMPLE) -> DataFrame:
-    """Exact counts of all words and phrases (lang, phrase, k, n) that occur `least` times; n of all words as k = 0."""
-    wanted = _filter(frequent_hashes(texts, least, sample))
+    """Counts of all words and phrases (lang, phrase, k, n) that occur `least` times; n of all words as k = 0.
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[str, bytes, int], int] = {}
-        totals: dict[str, int] = {}
-
-        def counts() -> pa.RecordBatch:
-            rows = [(lang, phrase.decode(), k, n) for (lang, phrase, k), n in held.items()]
-            rows += [(lang, "", 0, n) for lang, n in totals.items()]
-            held.clear()
-            totals.clear()
-            columns = list(zip(*rows)) or [[]] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.int64()))],
-                names=["lang", "phrase", "k", "n"],
-            )
-
-        for lang, passage in _passages(batches):
-            totals[lang] = totals.get(lang, 0) + len(passage.words)
-            parts = None
+    texts has lang and text; its further columns only tell copies of a text apart.
+    """
+    keyed = texts.select("lang", "text", F.xxhash64(*texts.columns).alias("row"))
+    known = stored(frequent_hashes(keyed, least, sample), "frequent")
+    # A row names only phrases that it holds, so a list is no longer than its text.
+    naming = known.groupBy("row").agg(F.collect_list("h").alias("hashes"))
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, passage, wanted in _passages(batches, 2):
+            # A hash and a text's number in one; both of a wanted phrase meet at its places only.
+            tied = mixed(np.arange(1, len(wanted) + 1, dtype=np.uint64))
+            lists = [np.array(w, np.int64).view(np.uint64) for w in wanted]
+            keys = np.sort(np.concatenate(lists) ^ np.repeat(tied, [len(w) for w in lists]))
+            out: dict[int, tuple[str, int]] = {}
+            if (np.concatenate(lists) == passage.all_words).any():
+                out[int(passage.all_words.view(np.int64))] = "", 0
             for k, found, places in passage.phrases():
-                if k > 1:
-                    places = places[parts[places] & parts[places + 1]]
-                parts = np.zeros(len(found), bool)
-                parts[places] = wanted.value.passes(found[places])
-                places = places[parts[places]]
-                _, first, number = np.unique(found[places], return_index=True, return_counts=True)
-                at = places[first]
-                for a, b, n in zip(passage.starts[at].tolist(), passage.ends[at + k - 1].tolist(), number.tolist()):
-                    phrase = passage.text[a:b]
-                    if k > 1:
-                        phrase = b" ".join(w for w in phrase.split(b" ") if w)
-                    key = (lang, phrase, k)
-                    held[key] = held.get(key, 0) + n
-            if len(held) >= HELD // 8:
-                yield counts()
-        yield counts()
+                at = found[places] ^ tied[passage.texts[places]]
+                place = np.minimum(np.searchsorted(keys, at), len(keys) - 1)
+                places = places[keys[place] == at]
+                h, first = np.unique(found[places], return_index=True)
+                places = places[first]
+                for x, a, b in zip(h.view(np.int64).tolist(), passage.starts[places].tolist(), passage.ends[places + k - 1].tolist()):
+                    out[x] = b" ".join(w for w in passage.text[a:b].split(b" ") if w).decode(), k
+            rows = [(h, lang, phrase, k) for h, (phrase, k) in out.items()]
+            columns = list(zip(*rows)) or [[]] * 4
+            kinds = pa.int64(), pa.string(), pa.string(), pa.int32()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=["h", "lang", "phrase", "k"])
 
-    counted = texts.select("lang", "text").mapInArrow(gather, FREQUENT).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
-    return stored(counted.where((F.col("k") == 0) | (F.col("n") >= least)), "frequent-phrases")
+    holders = keyed.join(naming, "row").select("lang", "text", "hashes")
+    named = holders.mapInArrow(name, NAMED).distinct()
+    return stored(named.join(known.select("h", "n"), "h").select("lang", "phrase", "k", "n"), "frequent-phrases")
 
 
 def _decimal(column: str):
@@ -265,7 +277,7 @@ def mine(docs: DataFrame, least: int = 30, covered: int = 80, top: int | None =
     language; l and r count the two parts of the cut with the lowest score floor(2000000 * a / (l + r)), the
     earliest of these. A phrase inside a longer candidate with covered % of its count is left out. The
     `top` best of each language by score, a (both falling) and phrase are returned, or all for None.
-    A null text is empty, a null language `und`; repeated rows count each; other columns are left
+    Counts are those of 64-bit hashes of the phrases. A null text is empty, a null language `und`; repeated rows count each; other columns are left
     out, whatever their names; a table without frequent phrases gives no rows.
     """
     body = [F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text")]

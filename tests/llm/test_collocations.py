@@ -46,7 +46,7 @@ def corpus(seed, n=150):
     rows = []
     for _ in range(n):
         parts = [rng.choice(phrases) if rng.random() < 0.3 else rng.choice(words) for _ in range(rng.randint(0, 30))]
-        rows.append(("".join(p + rng.choice([" ", " ", " ", "  ", "\t", ". ", "\n", ",", "\r\n"]) for p in parts), rng.choice(["en", "en", "de", None])))
+        rows.append(("".join(p + rng.choice([" ", " ", " ", "  ", "\t", ". ", "\n", ",", "\r\n"]) for p in parts), rng.choice(["en", "en", "de", "EN", None])))
     return rows
 
 
@@ -70,7 +70,7 @@ def test_against_brute_force(spark, monkeypatch, sample, held, bits):
 def test_a_missed_phrase_is_found_with_its_extensions(spark):
     """Nothing is sampled, so every pass finds failures of the border until four words are counted."""
     rows = [("one two three four", "en")] * 30
-    known = frequent_phrases(table(spark, rows).select("lang", "text"), 30, 10**9).collect()
+    known = frequent_phrases(table(spark, rows).select("lang", "text", "doc_id"), 30, 10**9).collect()
     assert {(r.phrase, r.n) for r in known if r.k == 4} == {("one two three four", 30)}
     assert found(mine(table(spark, rows))) == brute(rows, 30) == [("en", 1, "one two three four", 30, 30, 30, 120, 1_000_000)]
 
