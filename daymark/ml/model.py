@@ -1,131 +1,42 @@
-"""Forecast models: boosted trees for the point, boosted quantile trees for the bounds.
-
-Spark ML has no pinball loss, so the bounds are boosted here round by round (Friedman's
-TreeBoost): a regression tree is fitted to the sign of the residual, each leaf is then set to
-the wanted quantile of the residuals in it. Spark does the fitting and the leaf statistics;
-the driver only ever sees one number per leaf, at most 2^depth of them.
-"""
+"""Forecast models: boosted trees for the point, boosted quantile trees or residual quantiles for the bounds."""
 
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel,
-    GBTRegressionModel,
-    GBTRegressor,
-    RandomForestRegressor,
-)
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.functions.errors import clamp_bounds
 from daymark.functions.quantiles import exact_quantiles
-from daymark.ml.params import QUANTILES, spark_params
+from daymark.ml import boosting
+from daymark.ml.boosting import Trees
+from daymark.ml.params import QUANTILES
 from daymark.schema import HORIZON, LABEL
-from daymark.session import cut_lineage, shared_folder
-from daymark.sources.tables import sink_intermediate
-
-VECTOR = "_features"
-CHECKPOINT_ROUNDS = 5
-#: Accuracy of the sketches inside a fit (start values and leaves); bounds that are shipped are exact.
-SKETCH_ACCURACY = 10_000
-#: Partitions that a fit reads. Fixed, so that one seed gives one model on any cluster.
-FIT_PARTITIONS = 16
-
-
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Feature vector by column name, so the order of the columns never matters."""
-    return VectorAssembler(inputCols=list(features), outputCol=VECTOR).transform(df)
-
-
-def settled(df: DataFrame, features: Sequence[str], label: str = LABEL, partitions: int = FIT_PARTITIONS) -> DataFrame:
-    """Rows dealt and ordered by what they hold: row sampling then does not depend on files or executors."""
-    columns = [*features, label]
-    return df.select(*columns).repartition(partitions, *columns).sortWithinPartitions(*columns)
-
-
-@dataclass
-class QuantileTrees:
-    """Additive trees for one quantile: a start value, and per round a tree with its leaf values."""
-
-    alpha: float
-    start: float
-    rate: float
-    trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
-    leaves: list[list[float]] = field(default_factory=list)
+from daymark.session import ship
 
-    def add_score(self, assembled: DataFrame, name: str) -> DataFrame:
-        """Add the predicted quantile as a column."""
-        scored = assembled.withColumn(name, F.lit(self.start))
-        for tree, values in zip(self.trees, self.leaves):
-            scored = _add_leaf(tree, scored)
-            scored = scored.withColumn(name, F.col(name) + F.lit(self.rate) * _leaf_value(values))
-            scored = scored.drop("_leaf")
-        return scored
-
-
-def _add_leaf(tree: DecisionTreeRegressionModel, df: DataFrame) -> DataFrame:
-    model = tree.copy()
-    model.setFeaturesCol(VECTOR).setPredictionCol("_tree").setLeafCol("_leaf")
-    return model.transform(df).drop("_tree")
+#: The tree models of a forecast model and the columns they fill.
+PARTS = {"point": "point_prediction", "lower": "lower_bound", "upper": "upper_bound"}
 
 
-def _leaf_value(values: Sequence[float]) -> Column:
-    table = F.array(*[F.lit(float(v)) for v in values])
-    return F.element_at(table, F.col("_leaf").cast("int") + 1)
+def add_scores(df: DataFrame, features: Sequence[str], named: Mapping[str, Trees]) -> DataFrame:
+    """Add the scores of tree models as columns, by column name; a missing feature counts as the smallest value."""
+    ship(df.sparkSession)
+    shared = df.sparkSession.sparkContext.broadcast(dict(named))
 
+    @F.pandas_udf(", ".join(f"`{name}` double" for name in named))
+    def score(*columns: pd.Series) -> pd.DataFrame:
+        x = np.column_stack([c.to_numpy(np.float64, na_value=np.nan) for c in columns])
+        return pd.DataFrame({name: trees.scores(x) for name, trees in shared.value.items()})
 
-def fit_quantile_trees(
-    assembled: DataFrame,
-    alpha: float,
-    params: Mapping[str, Any] | None = None,
-    rounds: int | None = None,
-    label: str = LABEL,
-) -> QuantileTrees:
-    """Boost trees for the alpha quantile of the label given the features.
-
-    Rate, depth, leaf size, row and column sampling and seed are those of `params`, as for the
-    point model; `rounds` replaces their number of trees.
-    """
-    chosen = spark_params(params)
-    rate, rounds = chosen.pop("stepSize"), rounds or chosen["maxIter"]
-    seed = chosen.pop("seed")
-    del chosen["maxIter"]
-    scores = cut_lineage(assembled.select(VECTOR, F.col(label).cast("double").alias("_y")))
-    quantile = F.percentile_approx("_y", F.lit(alpha), F.lit(SKETCH_ACCURACY))
-    start = scores.agg(quantile.alias("q")).first().q
-    if start is None:
-        raise ValueError("no labelled rows to fit on")
-    model = QuantileTrees(alpha, float(start), rate)
-    scores = scores.withColumn("_f", F.lit(model.start))
-    for i in range(rounds):
-        pull = F.when(F.col("_y") > F.col("_f"), F.lit(alpha)).otherwise(F.lit(alpha - 1))
-        # A forest of one tree: unlike Spark's single tree it samples rows and columns.
-        forest = RandomForestRegressor(
-            featuresCol=VECTOR, labelCol="_pull", numTrees=1, bootstrap=False, seed=seed + i, **chosen
-        ).fit(scores.withColumn("_pull", pull))
-        tree = forest.trees[0]
-        placed = _add_leaf(tree, scores)
-        residual = F.percentile_approx(
-            F.col("_y") - F.col("_f"), F.lit(alpha), F.lit(SKETCH_ACCURACY)
-        )
-        # One row per leaf reaches the driver; the tree depth bounds their number.
-        found = {int(r["_leaf"]): float(r.v) for r in placed.groupBy("_leaf").agg(residual.alias("v")).collect()}
-        values = [found.get(leaf, 0.0) for leaf in range((tree.numNodes + 1) // 2)]
-        model.trees.append(tree)
-        model.leaves.append(values)
-        step = F.lit(rate) * _leaf_value(values)
-        scores = placed.withColumn("_f", F.col("_f") + step).drop("_leaf")
-        if (i + 1) % CHECKPOINT_ROUNDS == 0:
-            scores = cut_lineage(scores)
-    return model
+    scored = df.withColumn("_scores", score(*[F.col(f"`{f}`").cast("double") for f in features]))
+    return scored.withColumns({name: F.col("_scores")[name] for name in named}).drop("_scores")
 
 
 @dataclass
@@ -134,19 +45,22 @@ class ForecastModel:
 
     features: list[str]
     horizon: int
-    point: GBTRegressionModel | None = None
-    lower: QuantileTrees | None = None
-    upper: QuantileTrees | None = None
+    point: Trees | None = None
+    lower: Trees | None = None
+    upper: Trees | None = None
     offsets: tuple[float, float] | None = None
 
+    def _grown(self, train: DataFrame, params, label: str, rounds: int | None, alphas: Sequence[float | None]) -> list[Trees]:
+        matrix = boosting.binned(train, self.features, label, quantiles=[a for a in alphas if a is not None])
+        models = [boosting.booster(matrix, f"model {i}", 0, params, a) for i, a in enumerate(alphas)]
+        boosting.grow(matrix, models, {m.name: rounds or m.params["n_estimators"] for m in models})
+        return [m.trees for m in models]
+
     def fit_point(
         self, train: DataFrame, params: Mapping[str, Any] | None = None, label: str = LABEL
     ) -> ForecastModel:
         """Boosted trees with squared loss over all series together."""
-        estimator = GBTRegressor(
-            featuresCol=VECTOR, labelCol=label, lossType="squared", **spark_params(params)
-        )
-        self.point = estimator.fit(assemble(settled(train, self.features, label), self.features))
+        (self.point,) = self._grown(train, params, label, None, [None])
         return self
 
     def fit_quantiles(
@@ -157,128 +71,110 @@ class ForecastModel:
         rounds: int | None = None,
         label: str = LABEL,
     ) -> ForecastModel:
-        """Boosted quantile trees for both bounds, with the parameters of the point model."""
-        assembled = assemble(settled(train, self.features, label), self.features)
-        self.lower, self.upper = (fit_quantile_trees(assembled, alpha, params, rounds, label) for alpha in quantiles)
+        """Boosted quantile trees for both bounds, with the parameters of the point model; `rounds` replaces their number."""
+        self.lower, self.upper = self._grown(train, params, label, rounds, quantiles)
         return self
 
     def fit_residual_bounds(
         self, calib: DataFrame, quantiles: tuple[float, float] = QUANTILES, label: str = LABEL
     ) -> ForecastModel:
         """The cheap bounds: point plus residual quantiles of the calibration rows."""
-        residuals = self.predict(calib).select((F.col(label) - F.col("point_prediction")).alias("_residual"))
-        wanted = {"low": ("_residual", quantiles[0]), "high": ("_residual", quantiles[1])}
-        found = exact_quantiles(residuals, wanted).first()
+        found = residual_quantiles(self.predict(calib), quantiles, label).first()
         if found is None or found.low is None:
             raise ValueError("no calibration rows")
         self.offsets = (float(found.low), float(found.high))
         return self
 
+    def trees(self) -> dict[str, Trees]:
+        """The fitted tree models by name."""
+        return {name: getattr(self, name) for name in PARTS if getattr(self, name) is not None}
+
     def predict(self, df: DataFrame, return_intervals: bool = False) -> DataFrame:
         """Add point_prediction and, if asked and fitted, bounds that never cross it."""
         if self.point is None:
             raise ValueError("fit the point model first")
-        model = self.point.copy()
-        model.setFeaturesCol(VECTOR).setPredictionCol("point_prediction")
-        scored = model.transform(assemble(df, self.features))
+        named = {PARTS["point"]: self.point}
         if return_intervals and self.lower is not None and self.upper is not None:
-            scored = self.lower.add_score(scored, "lower_bound")
-            scored = self.upper.add_score(scored, "upper_bound")
-            scored = scored.withColumns(clamp_bounds("point_prediction", "lower_bound", "upper_bound"))
-        elif return_intervals and self.offsets is not None:
-            low, high = self.offsets
-            scored = scored.withColumns(
-                {
-                    "lower_bound": F.col("point_prediction") + F.lit(low),
-                    "upper_bound": F.col("point_prediction") + F.lit(high),
-                }
-            ).withColumns(clamp_bounds("point_prediction", "lower_bound", "upper_bound"))
-        return scored.drop(VECTOR)
+            scored = add_scores(df, self.features, named | {"lower_bound": self.lower, "upper_bound": self.upper})
+            return scored.withColumns(clamp_bounds("point_prediction", "lower_bound", "upper_bound"))
+        scored = add_scores(df, self.features, named)
+        if return_intervals and self.offsets is not None:
+            moved = {b: F.col("point_prediction") + F.lit(o) for b, o in zip(("lower_bound", "upper_bound"), self.offsets)}
+            scored = scored.withColumns(moved).withColumns(clamp_bounds("point_prediction", "lower_bound", "upper_bound"))
+        return scored
 
     def feature_importance(self, spark: SparkSession, top_n: int = 20) -> DataFrame:
-        """Features by falling importance in the point model."""
+        """Features by falling share in the gain of the point model."""
         if self.point is None:
             raise ValueError("fit the point model first")
-        weights = self.point.featureImportances.toArray().tolist()
-        table = spark.createDataFrame(
-            list(zip(self.features, weights)), "feature string, importance double"
-        )
+        weights = self.point.importance(len(self.features)).tolist()
+        table = spark.createDataFrame(list(zip(self.features, weights)), "feature string, importance double")
         return table.orderBy(F.desc("importance"), "feature").limit(top_n)
 
     def save(self, spark: SparkSession, path: str) -> str:
-        """Write trees in Spark ML format and everything else as one JSON row."""
+        """Write the model as JSON: a row for its description and one for each tree model."""
         if self.point is None:
             raise ValueError("fit the point model first")
-        self.point.write().overwrite().save(f"{path}/point")
-        description: dict[str, Any] = {
-            "features": self.features,
-            "horizon": self.horizon,
-            "offsets": self.offsets,
-        }
-        for name in ("lower", "upper"):
-            trees: QuantileTrees | None = getattr(self, name)
-            if trees is None:
-                continue
-            description[name] = {
-                "alpha": trees.alpha,
-                "start": trees.start,
-                "rate": trees.rate,
-                "leaves": trees.leaves,
-            }
-            for i, tree in enumerate(trees.trees):
-                tree.write().overwrite().save(f"{path}/{name}/{i}")
-        row = spark.createDataFrame([(json.dumps(description),)], "value string")
-        row.write.mode("overwrite").text(f"{path}/description")
+        rows = [("description", json.dumps({"features": self.features, "horizon": self.horizon, "offsets": self.offsets}))]
+        rows += [(name, json.dumps(trees.to_lists())) for name, trees in self.trees().items()]
+        spark.createDataFrame(rows, "part string, value string").coalesce(1).write.mode("overwrite").parquet(path)
         return path
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> ForecastModel:
         try:
-            description = json.loads(spark.read.text(f"{path}/description").first().value)
+            parts = {r.part: json.loads(r.value) for r in spark.read.parquet(path).collect()}
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error.getCondition()):
                 raise
             raise FileNotFoundError(path) from error
-        offsets = description["offsets"]
-        model = cls(
-            description["features"],
-            description["horizon"],
-            GBTRegressionModel.load(f"{path}/point"),
-            offsets=tuple(offsets) if offsets else None,
-        )
-        for name in ("lower", "upper"):
-            if name not in description:
-                continue
-            saved = description[name]
-            trees = QuantileTrees(saved["alpha"], saved["start"], saved["rate"], leaves=saved["leaves"])
-            trees.trees = [
-                DecisionTreeRegressionModel.load(f"{path}/{name}/{i}") for i in range(len(saved["leaves"]))
-            ]
-            setattr(model, name, trees)
-        return model
+        about = parts.pop("description")
+        offsets = tuple(about["offsets"]) if about["offsets"] else None
+        return cls(about["features"], about["horizon"], offsets=offsets, **{n: Trees.from_lists(t) for n, t in parts.items()})
+
+
+def residual_quantiles(scored: DataFrame, quantiles: tuple[float, float] = QUANTILES, label: str = LABEL, by: Sequence[str] = ()) -> DataFrame:
+    """low and high quantile of the residuals of scored rows."""
+    residuals = scored.select(*by, (F.col(label) - F.col("point_prediction")).alias("_residual"))
+    wanted = {"low": ("_residual", quantiles[0]), "high": ("_residual", quantiles[1])}
+    return exact_quantiles(residuals, wanted, by, few_groups=list(by) == [HORIZON])
 
 
 def score_by_horizon(df: DataFrame, models: Mapping[int, ForecastModel]) -> DataFrame:
-    """Score each row with the model of its horizon; rows without a model are left out.
+    """Score each row with the model of its horizon, in one pass; rows without a model are left out.
 
-    The rows are first written by horizon: every model then reads its own part only. A table without
-    rows of some horizon (a short frame) gives those of its last horizon to that model.
+    A table without rows of some horizon (a short frame) gives those of its last horizon to that model.
+    Bounds that a model lacks are the point.
     """
-    path = f"{shared_folder(df.sparkSession)}/by-horizon-{uuid.uuid4().hex}"
-    df = sink_intermediate(df, path, [HORIZON])
-    present = sorted(r[HORIZON] for r in df.select(HORIZON).distinct().collect())  # at most one row per horizon
-    parts = []
-    for horizon, model in sorted(models.items()):
-        source = horizon if horizon in present or not present else present[-1]
-        rows = df.where(F.col(HORIZON) == source).withColumn(HORIZON, F.lit(horizon).cast(df.schema[HORIZON].dataType))
-        scored = model.predict(rows, return_intervals=True)
-        for bound in ("lower_bound", "upper_bound"):
-            if bound not in scored.columns:
-                scored = scored.withColumn(bound, F.col("point_prediction"))
-        parts.append(scored)
-    if not parts:
+    if not models:
         raise ValueError("no models")
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+    if any(m.point is None for m in models.values()):
+        raise ValueError("fit the point model first")
+    ship(df.sparkSession)
+    kind = df.schema[HORIZON].dataType
+    present = sorted(r[HORIZON] for r in df.select(HORIZON).distinct().collect() if r[HORIZON] is not None)  # one row for each horizon
+    rows = df.where(F.col(HORIZON).isin(sorted(models)))
+    for missing in sorted(set(models) - set(present)) if present else ():
+        rows = rows.unionByName(df.where(F.col(HORIZON) == present[-1]).withColumn(HORIZON, F.lit(missing).cast(kind)))
+    features = list(dict.fromkeys(f for m in models.values() for f in m.features))
+    at = {f: i for i, f in enumerate(features)}
+    plans = {h: ([at[f] for f in m.features], m.trees(), m.offsets) for h, m in models.items()}
+    shared = df.sparkSession.sparkContext.broadcast(plans)
+
+    @F.pandas_udf("point_prediction double, lower_bound double, upper_bound double")
+    def score(horizon: pd.Series, *columns: pd.Series) -> pd.DataFrame:
+        x = np.column_stack([c.to_numpy(np.float64, na_value=np.nan) for c in columns])
+        own, out = horizon.to_numpy(), np.full((len(horizon), 3), np.nan)
+        for h in np.unique(own):
+            columns_of, trees, offsets = shared.value[int(h)]
+            mine = own == h
+            part = x[mine][:, columns_of]
+            point = trees["point"].scores(part)
+            low, high = (trees[n].scores(part) if n in trees else point for n in ("lower", "upper"))
+            if offsets is not None and "lower" not in trees:
+                low, high = point + offsets[0], point + offsets[1]
+            out[mine] = np.column_stack([point, np.minimum(low, point), np.maximum(high, point)])
+        return pd.DataFrame(out, columns=list(PARTS.values()))
+
+    scored = rows.withColumn("_scores", score(F.col(HORIZON), *[F.col(f"`{f}`").cast("double") for f in features]))
+    return scored.withColumns({name: F.col("_scores")[name] for name in PARTS.values()}).drop("_scores")

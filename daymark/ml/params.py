@@ -1,4 +1,4 @@
-"""Hyperparameters: defaults, search space and their Spark ML names."""
+"""Hyperparameters: defaults, search space, checks."""
 
 from __future__ import annotations
 
@@ -34,23 +34,25 @@ SEARCH_SPACE = {
 }
 QUANTILES = (0.025, 0.975)
 MAX_BINS = 255
-# No counterpart in Spark ML; accepted and recorded, without effect on a fit.
-WITHOUT_EFFECT = ("num_leaves", "reg_alpha", "reg_lambda", "min_child_weight", "n_jobs")
+#: Accepted and recorded; Spark decides how many tasks run.
+WITHOUT_EFFECT = ("n_jobs",)
+#: Deepest tree that may be asked for.
+MAX_DEPTH = 30
 
 
-def spark_params(params: Mapping[str, Any] | None = None) -> dict[str, Any]:
-    """Arguments of the Spark ML estimators for a set of hyperparameters."""
-    p = {**DEFAULT_PARAMS, **(params or {})}
-    return {
-        "maxIter": int(p["n_estimators"]),
-        "maxDepth": int(p["max_depth"]),
-        "stepSize": float(p["learning_rate"]),
-        "minInstancesPerNode": int(p["min_child_samples"]),
-        "subsamplingRate": float(p["subsample"]),
-        "featureSubsetStrategy": str(float(p["colsample_bytree"])) if p["colsample_bytree"] < 1 else "all",
-        "seed": int(p["random_state"]),
-        "maxBins": MAX_BINS,
-    }
+def checked_params(params: Mapping[str, Any] | None = None) -> dict[str, Any]:
+    """The defaults with `params` on top, as numbers; ValueError for values no tree can be grown with."""
+    merged = {"reg_alpha": 0.0, "reg_lambda": 0.0, "min_child_weight": 0.0, **DEFAULT_PARAMS, **(params or {})}
+    whole = ("n_estimators", "max_depth", "num_leaves", "min_child_samples", "random_state")
+    out = {k: int(v) if k in whole else float(v) for k, v in merged.items() if k not in WITHOUT_EFFECT}
+    faults = [k for k in ("n_estimators", "num_leaves", "learning_rate") if out[k] <= 0]
+    faults += [k for k in ("subsample", "colsample_bytree") if not 0 < out[k] <= 1]
+    faults += [k for k in ("reg_alpha", "reg_lambda", "min_child_weight", "min_child_samples", "random_state") if out[k] < 0]
+    if not 1 <= out["max_depth"] <= MAX_DEPTH:
+        faults.append("max_depth")
+    if faults:
+        raise ValueError(f"values out of range: {sorted(faults)}")
+    return out
 
 
 def trials(n: int, seed: int = 42, space: Mapping[str, tuple] = SEARCH_SPACE) -> list[dict[str, Any]]:

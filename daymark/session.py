@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,3 +50,16 @@ def shared_folder(spark: SparkSession) -> str:
     """A folder every executor sees: the checkpoint folder the session names, else (tests) a temporary one."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     return str(named) if named else tempfile.mkdtemp(prefix="daymark-shared-")
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, where their PYTHONPATH does not have it."""
+    context, root = spark.sparkContext, Path(__file__).resolve().parents[1]
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(context, "daymark_sent", False):
+        return
+    path = Path(tempfile.mkdtemp()) / "daymark_package.zip"
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted((root / "daymark").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    context.addPyFile(str(path))
+    context.daymark_sent = True

@@ -1,11 +1,12 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from daymark.ml import params
-from daymark.ml.model import ForecastModel, score_by_horizon
+from daymark.ml import boosting, params
+from daymark.ml.model import ForecastModel, add_scores, score_by_horizon
 from daymark.ml.train import hyperparameter_search, train_horizon
 from daymark.operators.evaluate import evaluate
 from daymark.plans.prediction import load_models, predict_flow, production_version
@@ -49,10 +50,8 @@ def test_interval(fitted, frames):
 
 def test_quantile_trees_approach_the_quantile(fitted, frames):
     train, _ = frames
-    from daymark.ml.model import assemble
-
-    low = fitted.lower.add_score(assemble(train, FEATURES), "q").where("target < q").count() / train.count()
-    high = fitted.upper.add_score(assemble(train, FEATURES), "q").where("target < q").count() / train.count()
+    scored = add_scores(train, FEATURES, {"low": fitted.lower, "high": fitted.upper})
+    low, high = (scored.where(f"target < {q}").count() / train.count() for q in ("low", "high"))
     assert low < 0.10 and high > 0.90
 
 
@@ -86,20 +85,22 @@ def test_unfitted(spark, frames, tmp_path):
 
 
 def test_params():
-    p = params.spark_params({})
-    assert (p["maxIter"], p["maxDepth"], p["stepSize"], p["minInstancesPerNode"], p["maxBins"]) == (100, 6, 0.1, 20, 255)
+    p = params.checked_params({})
+    assert (p["n_estimators"], p["max_depth"], p["learning_rate"], p["min_child_samples"], params.MAX_BINS) == (100, 6, 0.1, 20, 255)
     table = params.trials(50)
     assert table == params.trials(50)
     for row in table:
         for name, (_, low, high, _) in params.SEARCH_SPACE.items():
             assert low - 1e-9 <= row[name] <= high + 1e-9
-    assert params.spark_params({"colsample_bytree": 1.0})["featureSubsetStrategy"] == "all"
+    for wrong in ({"max_depth": 0}, {"subsample": 0.0}, {"learning_rate": -1.0}, {"reg_alpha": -1.0}):
+        with pytest.raises(ValueError):
+            params.checked_params(wrong)
 
 
 def test_search_survives_a_failing_trial(frames):
     train, val = frames
     table = [{**SMALL, "n_estimators": 1}, {**SMALL, "max_depth": 99}, {**SMALL, "n_estimators": 8}]
-    found = hyperparameter_search(train, val, FEATURES, 1, table, threads=2)
+    found = hyperparameter_search(train, val, FEATURES, 1, table)
     assert found[0]["trial"] == 2
     assert found[-1]["trial"] == 1 and found[-1]["error"]
     assert found[0]["val_mae"] <= found[1]["val_mae"]
@@ -109,7 +110,7 @@ def test_flow_from_series_to_tracked_predictions(spark, daily, year_of_counts, t
     n = 240
     df, weather = daily("2024-01-01", year_of_counts(n)), weather_for(spark, "2024-01-01", n)
     last = dt.date(2024, 1, 1) + dt.timedelta(days=n - 1)
-    options = {"table": [{**SMALL, "n_estimators": 3}], "bounds": "residual", "parallel": 4}
+    options = {"table": [{**SMALL, "n_estimators": 3}], "bounds": "residual"}
     flow = train_flow(df, weather, empty_registry(spark), str(tmp_path), "run1", threshold=100.0, **options)
     assert [r.horizon for r in flow["summary"].collect()] == list(range(1, 8))
     totals = flow["totals"].first()
@@ -152,12 +153,6 @@ def test_train_horizon_metadata(spark, daily, year_of_counts):
     assert meta["best_val_mae"] > 0 and meta["test_interval_width"] >= 0
 
 
-def test_default_params_reach_the_estimators():
-    found = params.spark_params()
-    assert found["maxIter"] == 100 and found["maxDepth"] == 6 and found["stepSize"] == 0.1
-    assert params.spark_params({"max_depth": 12, "learning_rate": 0.001})["maxDepth"] == 12
-
-
 def test_fits_do_not_depend_on_partitions(frames):
     train, test = frames
     one = ForecastModel(FEATURES, 1).fit_point(train, SMALL).predict(test)
@@ -169,3 +164,80 @@ def test_short_frames_score_the_last_row(fitted, frames):
     row = frames[1].limit(1).withColumn("horizon", F.lit(3))
     out = score_by_horizon(row, {3: fitted, 7: fitted}).collect()
     assert [r.horizon for r in out] == [3, 7] and out[0].point_prediction == out[1].point_prediction
+
+
+@pytest.mark.parametrize("stored", [1, 10])
+def test_one_block_and_many_blocks_grow_the_same_trees(frames, monkeypatch, stored):
+    """Levels inside one task and one job for each level over many blocks."""
+    train, _ = frames
+    own = {**SMALL, "n_estimators": 3, "max_depth": 3, "reg_lambda": 1.0, "reg_alpha": 0.5}
+
+    def grown():
+        matrix = boosting.binned(train, FEATURES, "target", quantiles=[0.9])
+        models = [boosting.booster(matrix, "mean", 0, own), boosting.booster(matrix, "high", 0, own, 0.9)]
+        boosting.grow(matrix, models, {"mean": 3, "high": 2})
+        return matrix, models
+
+    one, whole = grown()
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    monkeypatch.setattr(boosting, "STORED_TREES", stored)
+    many, parts = grown()
+    assert one.single == {0} and many.single == set() and many.blocks.count() == 6
+    for a, b in zip(whole, parts):
+        assert a.trees.to_lists() == b.trees.to_lists()
+    errors = boosting.absolute_errors(many, parts, "train")
+    assert errors == pytest.approx(boosting.absolute_errors(one, whole, "train")) and set(errors) == {"mean", "high"}
+
+
+def test_growth_goes_on_where_it_stopped(frames):
+    train, _ = frames
+    matrix = boosting.binned(train, FEATURES, "target")
+    once, twice = (boosting.booster(matrix, n, 0, SMALL) for n in ("once", "twice"))
+    boosting.grow(matrix, [once], {"once": 6})
+    boosting.grow(matrix, [twice], {"twice": 2})
+    boosting.grow(matrix, [twice], {"twice": 6})
+    assert once.trees.to_lists() == twice.trees.to_lists()
+
+
+def test_parameters_take_effect(frames):
+    train, _ = frames
+    matrix = boosting.binned(train, FEATURES, "target")
+    base = {**SMALL, "n_estimators": 2}
+
+    def leaves(**changed):
+        m = boosting.booster(matrix, "m", 0, base | changed)
+        boosting.grow(matrix, [m], {"m": 2})
+        return m.trees, [int((t["feature"] < 0).sum()) for t in m.trees.parts]
+
+    plain, sizes = leaves()
+    assert max(sizes) > 4
+    assert max(leaves(num_leaves=4)[1]) == 4 and max(leaves(max_depth=1)[1]) == 2
+    assert max(leaves(min_child_samples=400)[1]) == 1 and max(leaves(min_child_weight=400.0)[1]) == 1
+    for changed in ({"reg_lambda": 50.0}, {"reg_alpha": 1e5}):
+        assert np.abs(leaves(**changed)[0].parts[0]["value"]).max() < np.abs(plain.parts[0]["value"]).max()
+    assert leaves(subsample=0.5)[0].to_lists() != plain.to_lists() != leaves(colsample_bytree=0.5)[0].to_lists()
+
+
+def test_summaries_keep_quantiles():
+    rng = np.random.default_rng(1)
+    values = [rng.normal(size=5000) + k for k in range(4)]
+    parts = [boosting.summary(v) for v in values]
+    assert all(len(v) == boosting.SUMMARY for v, _ in parts)
+    every = np.concatenate(values)
+    for alpha in (0.025, 0.5, 0.975):
+        assert abs((every < boosting.quantile_of(parts, alpha)).mean() - alpha) < 0.003
+
+
+def test_search_stops_the_worse_half_and_goes_on_with_the_rest(frames):
+    train, val = frames
+    table = [{**SMALL, "n_estimators": 40, "learning_rate": r} for r in (0.001, 0.3, 0.1, 0.002)]
+    found = hyperparameter_search(train, val, FEATURES, 1, table)
+    assert {r["trial"] for r in found[:2]} == {1, 2} and {r["n_trees"] for r in found[2:]} == {16}
+    assert found[0]["n_trees"] == 40 and found[0]["val_mae"] <= found[1]["val_mae"]
+
+
+def test_missing_features_and_no_rows(spark, fitted, frames):
+    row = frames[1].limit(1).withColumn("feature_2", F.lit(None).cast("double"))
+    assert fitted.predict(row).first().point_prediction is not None
+    with pytest.raises(ValueError):
+        ForecastModel(FEATURES, 1).fit_point(frames[0].limit(0), SMALL)

@@ -1,4 +1,5 @@
 from daymark.ml.params import DEFAULT_PARAMS, SEARCH_SPACE, trials
+from daymark.schema import HORIZONS
 from daymark.suite import models
 from tests.conftest import SF
 
@@ -6,14 +7,14 @@ from tests.conftest import SF
 def test_whole_parameters_and_all_horizons(spark, monkeypatch):
     seen = []
 
-    def search(train, val, features, horizon, table):
-        seen.append((horizon, table, {r.horizon for r in train.select("horizon").distinct().collect()}))
-        return [{"trial": i, "params": p, "val_mae": 1.0} for i, p in enumerate(table)]
+    def search(split, features, table):
+        seen.append((table, {r.horizon for r in split.select("horizon").distinct().collect()}, features))
+        return {h: [{"trial": i, "params": p, "val_mae": 1.0, "n_trees": p["n_estimators"], "error": None} for i, p in enumerate(table)] for h in HORIZONS}
 
-    monkeypatch.setattr(models, "hyperparameter_search", search)
+    monkeypatch.setattr(models, "search_all", search)
     found = models.search(spark, SF).collect()
-    assert [(h, own) for h, _, own in seen] == [(h, {h}) for h in range(1, 8)]
-    assert len(found) == 7 * len(seen[0][1]) and all(t == trials(len(t), space=SEARCH_SPACE) for _, t, _ in seen)
+    assert seen == [(trials(models.TRIALS, space=SEARCH_SPACE), set(HORIZONS), models.FEATURES)]
+    assert len(found) == 7 * models.TRIALS and models.TRIALS >= 30
     monkeypatch.setattr(models, "_trained", {})
     monkeypatch.setattr(models, "train_all", lambda *args, table, **more: table)
     assert models.trained(spark, SF) == [DEFAULT_PARAMS]
