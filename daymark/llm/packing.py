@@ -8,6 +8,7 @@ that holds, at each node, the largest free space below it. Text never leaves the
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -35,30 +36,38 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
+#: Marks that begin no token together with letters before them.
+_MARKS = ".,;:!?$%&*#|()"
+
+
 class WordTokenizer(Generations):
     """Packed ids of space-separated words: a cache for tokenizers that lower-case letters and drop white space.
 
     Such a tokenizer forms no token across a space or a line feed, so the ids of a text are those of
-    its words in order. Words of Latin-1 letters go straight to the tokenizer's model in lower case, a
-    final full stop or comma after them is a token of its own, and everything else (other letters,
-    digits, marks, other white space, special strings) goes through the whole tokenizer.
+    its words in order. Texts of Latin-1 letters are put in lower case as a whole, unless a special string
+    may be in them. Words of such letters go straight to the tokenizer's model, marks that end
+    them form tokens of their own, and everything else (other letters, digits, other marks and white
+    space, special strings) goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__(self._ids, limit=200_000)
+        super().__init__(self._ids, limit=400_000)
         self.tokenizer, self.letters = Tokenizer.from_file(path), _byte_letters()
         self.model = self.tokenizer.model
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: A letter that all special strings hold, if there is one.
+        self.mark = "<" if all("<" in t for t in special) else None
 
     def _ids(self, word: str) -> bytes:
-        end = word[-1:]
-        if (end == "." or end == ",") and word[:-1].isalpha() and word.isascii():
-            return self[word[:-1]] + self[end]
         if word.isalpha() and word.isascii():
             low = word.lower()
             return self[low] if low != word else self._packed([x.id for x in self.model.tokenize(word)])
-        if word.isalpha() and max(word) <= "\xff":
+        stem = word.rstrip(_MARKS)
+        if stem and stem != word and stem.isalpha() and max(stem) <= "\xff":
+            return self[stem] + self[word[len(stem) :]]
+        if stem == word and word.isalpha() and max(word) <= "\xff":
             low = word.lower()
             if low != word:
                 return self[low]
@@ -68,10 +77,21 @@ class WordTokenizer(Generations):
 
     @staticmethod
     def _packed(ids: list[int]) -> bytes:
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _lowered(self, text: str) -> str:
+        """The text in lower case, where that changes none of its ids."""
+        if self.mark is None or self.mark in text:
+            return text
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text.lower()
 
     def encode(self, text: str) -> bytes:
         """Unsigned little-endian 32-bit ids of a whole text."""
+        text = self._lowered(text)
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
