@@ -34,7 +34,7 @@ LOWERED = 0.4
 #: Bits of the filter of proposed phrases for each of them, and at most in all (32 MB).
 BITS_EACH, MAX_BITS = 16, 1 << 28
 #: Counts that a task holds before it hands them on.
-HELD = 2 << 20
+HELD = 3 << 19
 #: Characters of texts read together.
 CHARS = 1 << 20
 
