@@ -11,8 +11,9 @@ column pairs one pivot with its other documents, pairs whose sizes rule them out
 others' overlaps are counted on the whole sets, and what is linked becomes one component. Inside a
 component nothing is left to find, so columns of near copies shrink to nothing. The pivot is the
 document with the fewest rare shingles, for copies the text nearest to what they share. Columns that
-still hold several components are multiplied in full at last, across components only. No link between
-components is lost.
+still hold several components are multiplied in full at last, across components only, and of their pairs
+those go at once whose parities in hashed buckets differ in more places than similar sets can. No link
+between components is lost.
 """
 
 from __future__ import annotations
@@ -68,7 +69,19 @@ def _least_common(n: int) -> int:
     return -(-PERCENT * n // 100)
 
 
-_MEASURED = ["doc_id", "row_key", "class_id", "n", "slice", "counts"]
+_MEASURED = ["doc_id", "row_key", "class_id", "n", "marks", "slice", "counts"]
+#: Bits of a set's marks, in words of 64.
+MARKS, _WORDS = 512, 8
+
+
+def _marks(grams: np.ndarray) -> list[int]:
+    """For each of MARKS buckets whether it holds an odd number of shingles.
+
+    Each shingle that only one of two sets holds turns one bit, so the bits in which their marks differ
+    are no more than the shingles in which the sets do.
+    """
+    odd = np.bincount((grams >> np.uint64(40)).view(np.int64) & (MARKS - 1), minlength=MARKS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
 
 
 def _row_key() -> Column:
@@ -86,9 +99,9 @@ def _measure(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             counters += np.bincount(_counter(every), minlength=COUNTERS)
         else:
             np.add.at(counters, _counter(every), 1)
-        rows = [(key, row, class_of(g), len(g), None, None) for key, row, g in zip(frame["doc_id"], frame["row_key"], sets, strict=True)]
+        rows = [(key, row, class_of(g), len(g), _marks(g), None, None) for key, row, g in zip(frame["doc_id"], frame["row_key"], sets, strict=True)]
         yield pd.DataFrame(rows, columns=_MEASURED)
-    cut = [(None, None, None, None, i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(np.split(counters, SLICES)) if part.any()]
+    cut = [(None, None, None, None, None, i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(np.split(counters, SLICES)) if part.any()]
     if cut:
         yield pd.DataFrame(cut, columns=_MEASURED)
 
@@ -215,11 +228,15 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return met.where(100 * common >= PERCENT * (F.size(x) + F.size(y) - common)).select("a", "b")
 
 
-def _product(rows: DataFrame) -> DataFrame:
-    """All pairs of the columns, across components."""
-    a = rows.toDF("code", "a", "place_a", "n_a", "root_a")
-    b = rows.toDF("code", "b", "place_b", "n_b", "root_b")
-    met = a.join(b, "code").where("a < b AND root_a <> root_b").where(_first_common("n_a", "place_a", "n_b", "place_b"))
+def _product(rows: DataFrame, marks: DataFrame) -> DataFrame:
+    """All pairs of the columns, across components, that their sets' marks leave possible."""
+    marked = stored(rows.withColumn("class_id", _class_id("label")).join(marks, "class_id").drop("class_id"), "marked")
+    a = marked.toDF("code", "a", "place_a", "n_a", "root_a", "marks_a")
+    b = marked.toDF("code", "b", "place_b", "n_b", "root_b", "marks_b")
+    differ = sum((F.bit_count(F.col("marks_a")[i].bitwiseXOR(F.col("marks_b")[i])) for i in range(_WORDS)), F.lit(0))
+    # Similar sets differ in (100 - PERCENT) of (100 + PERCENT) parts of both sizes together at most.
+    close = differ * (100 + PERCENT) <= (F.col("n_a") + F.col("n_b")) * (100 - PERCENT)
+    met = a.join(b, "code").where("a < b AND root_a <> root_b").where(_first_common("n_a", "place_a", "n_b", "place_b") & close)
     return met.select("a", "b", "n_a", "n_b").distinct()
 
 
@@ -237,7 +254,7 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, row_key, class_id, n) of each document; (node, root) of each class that is linked with another."""
     spark = docs.sparkSession
     texts = docs.select("text")
-    kinds = "doc_id string, row_key bigint, class_id bigint, n bigint, slice bigint, counts binary"
+    kinds = "doc_id string, row_key bigint, class_id bigint, n bigint, marks array<bigint>, slice bigint, counts binary"
     measured = stored(docs.select(F.col("doc_id").cast("string"), _row_key().alias("row_key"), "text").mapInPandas(_measure, kinds), "measured")
     named = measured.where("slice IS NULL").select(F.col("doc_id").cast("bigint"), "row_key", "class_id", "n")
     levels = spark.sparkContext.broadcast(frequency_levels(measured))
@@ -270,7 +287,8 @@ def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = stored(rows.join(columns, "code"), "open-rows")
         if size[1] <= PAIRS_PER_ROW * size[0] or (before is not None and size[1] > 0.7 * before):
             rows = rows.select("code", "label", "place", "n", "root")
-            links, roots, _ = _settled(_product(rows), links, roots, rows, members, texts)
+            marks = measured.where("n > 0").select("class_id", "marks").dropDuplicates(["class_id"])
+            links, roots, _ = _settled(_product(rows, marks), links, roots, rows, members, texts)
             break
         before, stars = size[1], rows.drop("m")
     return named, roots.select(_class_id("node").alias("node"), _class_id("root").alias("root"))

@@ -2,6 +2,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tests.llm.conftest import EDGES
@@ -78,3 +79,46 @@ def test_texts_of_one_id_and_texts_without_an_id(docs):
     rows = [(3, a), (7, near), (7, b), (None, c), (None, c), (None, c.replace("c59", "other")), (None, a), (9, b), (None, ""), (None, "")]
     kept = keep_representatives(docs(rows)).collect()
     assert sorted((r.doc_id or 0, (r.text or "")[:1]) for r in kept) == [(0, ""), (0, ""), (0, "c"), (3, "a"), (7, "b")]
+
+
+def test_marks_bound_the_difference():
+    rng = np.random.default_rng(1)
+    for n in (0, 5, 170, 3000):
+        base = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        for changed in (0, 1, n // 10, n // 3):
+            other = base.copy()
+            other[:changed] = rng.integers(0, 1 << 63, changed).astype(np.uint64)
+            bits = sum(((a ^ b) & ((1 << 64) - 1)).bit_count() for a, b in zip(ngram_join._marks(base), ngram_join._marks(other)))
+            assert bits <= len(set(base.tolist()) ^ set(other.tolist()))
+
+
+def test_a_group_of_copies_whose_pairs_mostly_fail(spark, docs, monkeypatch):
+    """Each copy changes other words, so that neighbours in number of changes link and most pairs don't."""
+    rng = random.Random(7)
+    base = [f"b{i}" for i in range(170)]
+    rows = []
+    for i in range(60):
+        words = base[:]
+        for place in rng.sample(range(170), rng.choice([1, 3, 4, 5])):
+            words[place] = f"x{i}-{place}"
+        rows.append((i, " ".join(words)))
+    seen = []
+    product = ngram_join._product
+    monkeypatch.setattr(ngram_join, "_product", lambda *a: seen.append(product(*a)) or seen[-1])
+    monkeypatch.setattr(ngram_join, "PAIRS_PER_ROW", 10**9)
+    found = {r.doc_id: r.component_id for r in ngram_join.near_components(docs(rows).select("doc_id", "text")).collect()}
+    sets = [set(zip(*(t.split()[k:] for k in range(5)))) for _, t in rows]
+    parent = list(range(60))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(60):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    assert found == {i: root(i) for i in range(60)}
+    assert seen and seen[0].count() < 60 * 59 / 4
