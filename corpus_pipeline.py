@@ -23,9 +23,14 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of strings that occur elsewhere; n_chars follows. Cut letters go whole."""
+    """Texts without the bytes of strings that occur elsewhere; n_chars follows. Letters that a cut broke go whole."""
     found = suffix_dedup.remove_repeats(docs)
-    kept = F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", "")
+    # Replacement letters of the text itself are set aside as a code point that stands for no letter.
+    own, aside = "\ufffd", "\ufdd0"
+    as_bytes = lambda letter: F.lit(letter.encode().decode("latin-1"))
+    plain = F.replace(F.decode("kept", "ISO-8859-1"), as_bytes(own), as_bytes(aside))
+    valid = F.make_valid_utf8(F.encode(plain, "ISO-8859-1").cast("string"))
+    kept = F.replace(F.replace(valid, F.lit(own), F.lit("")), F.lit(aside), F.lit(own))
     text = F.when(F.size("runs") > 0, kept).otherwise(F.col("text"))
     changed = found.withColumn("text", text).withColumn("n_chars", F.length("text").cast("bigint"))
     return changed.select(*docs.columns)
