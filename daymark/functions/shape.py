@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from daymark.schema import HORIZON
+
 
 def struct_leaves(schema: T.StructType, prefix: tuple[str, ...] = ()) -> list[tuple[str, ...]]:
     """Paths of all non-struct fields."""
@@ -63,3 +66,14 @@ def zip_explode(df: DataFrame, arrays: Mapping[str, Column], keep: Sequence[str]
     return rows.select(
         *keep, *[F.col("_z").getField(f).alias(name) for f, name in zip(fields, arrays)]
     )
+
+
+def union_horizons(parts: Mapping[int, DataFrame]) -> DataFrame:
+    """One table of the tables of single horizons, with the horizon of each as a column.
+
+    Columns go by name; one that a table lacks is NULL there. Repeated rows stay.
+    """
+    if not parts:
+        raise ValueError("no horizons")
+    named = [df.drop(HORIZON).withColumn(HORIZON, F.lit(int(h))) for h, df in sorted(parts.items())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)

@@ -152,9 +152,12 @@ def columns_of(model: Booster, number: int, features: int) -> np.ndarray:
 class Growing:
     """A tree under construction; `open` are the nodes of its newest level."""
 
-    def __init__(self, model: Booster, number: int, features: int):
-        self.model, self.number, self.features = model, number, features
-        self.columns = columns_of(model, number, features)
+    def __init__(self, model: Booster, number: int, widths: Sequence[int]):
+        self.model, self.number = model, number
+        self.columns = columns_of(model, number, len(widths))
+        #: The bins of the tree's features lie one behind the other.
+        self.ends = np.cumsum([widths[f] for f in self.columns])
+        self.begins = self.ends - [widths[f] for f in self.columns]
         self.open, self.depth = [0], 0
         self.nodes = {k: [] for k in ("feature", "bin", "left", "right", "sum", "count", "gain")}
         self._node(None, None)
@@ -167,37 +170,52 @@ class Growing:
     def shape(self) -> dict[str, np.ndarray]:
         return {k: np.array(self.nodes[k], _KINDS[k]) for k in ("feature", "bin", "left", "right")}
 
-    def sums(self, block: Block, gradients: np.ndarray, sampled: np.ndarray) -> np.ndarray:
-        """Gradients and counts of the sampled rows by open node, feature of the tree and bin."""
+    def sums(self, block: Block, gradients: np.ndarray, sampled: np.ndarray, nodes: Sequence[int] | None = None) -> np.ndarray:
+        """Gradients and counts of the sampled rows by node (the open ones, if none are named) and bin of each feature."""
+        nodes, width = self.open if nodes is None else nodes, int(self.ends[-1])
         at = np.full(len(self.nodes["feature"]), -1, np.int64)
-        at[self.open] = np.arange(len(self.open))
+        at[nodes] = np.arange(len(nodes))
         place = at[block.leaves(self.shape())]
         rows = np.flatnonzero(sampled & (place >= 0))
-        place, weights = place[rows] * MAX_BINS, gradients[rows]
-        out = np.empty((2, len(self.columns), len(self.open) * MAX_BINS))
-        for i, f in enumerate(self.columns):
-            key = place + block.bins[f, rows]
-            out[0, i] = np.bincount(key, weights, out.shape[2])
-            out[1, i] = np.bincount(key, minlength=out.shape[2])
-        return out.reshape(2, len(self.columns), len(self.open), MAX_BINS)
+        place, weights = place[rows] * width, gradients[rows]
+        keys = (block.bins[np.ix_(self.columns, rows)] + self.begins[:, None] + place).ravel()
+        size = len(nodes) * width
+        out = np.stack([np.bincount(keys, np.tile(weights, len(self.columns)), size), np.bincount(keys, minlength=size)])
+        return out.reshape(2, len(nodes), width)
+
+    def sums_below(self, block: Block, gradients: np.ndarray, sampled: np.ndarray, above: np.ndarray, parents: Sequence[int]) -> np.ndarray:
+        """sums from those of the level above: only the smaller one of two siblings is read, the other is what is left."""
+        parent = {child: (i, p) for i, p in enumerate(parents) for child in (self.nodes["left"][p], self.nodes["right"][p]) if child >= 0}
+        size = self.nodes["count"]
+        smaller = {p: min((self.nodes["left"][p], self.nodes["right"][p]), key=lambda n: (size[n], n)) for _, p in map(parent.__getitem__, self.open)}
+        read = sorted(smaller.values())
+        found = self.sums(block, gradients, sampled, read)
+        where = {n: i for i, n in enumerate(read)}
+        out = np.empty((2, len(self.open), found.shape[2]))
+        for i, node in enumerate(self.open):
+            j, p = parent[node]
+            own = found[:, where[smaller[p]]]
+            out[:, i] = own if node == smaller[p] else above[:, j] - own
+        return out
 
     def best_splits(self, sums: np.ndarray) -> list[tuple]:
         """For each open node (gain, feature, bin, sum and count at the left, of the node)."""
         p, unit = self.model.params, self.model.per_unit()
-        left = np.cumsum(sums, axis=3)
-        total, count = left[0, 0, :, -1], left[1, 0, :, -1]
-        gl, nl = left[0], left[1]
-        gr, nr = total[None, :, None] - gl, count[None, :, None] - nl
+        total, count = (x[:, : self.ends[0]].sum(axis=1) for x in sums)
+        # Every row lies in one bin of each feature, so each feature before adds the node's total.
+        before = np.repeat(np.arange(len(self.ends)), self.ends - self.begins)
+        gl, nl = (np.cumsum(x, axis=1) - before * t[:, None] for x, t in zip(sums, (total, count)))
+        gr, nr = total[:, None] - gl, count[:, None] - nl
         l1, l2 = p["reg_alpha"] * unit, p["reg_lambda"]
         worth = lambda g, n: np.maximum(np.abs(g) - l1, 0.0) ** 2 / np.maximum(n + l2, 1e-9)
-        gain = worth(gl, nl) + worth(gr, nr) - worth(total, count)[None, :, None]
         least = max(p["min_child_samples"], p["min_child_weight"], 1)
-        gain = np.where((nl >= least) & (nr >= least), gain, 0.0).transpose(1, 0, 2).reshape(len(self.open), -1)
-        best = gain.argmax(axis=1)
+        gain = worth(gl, nl) + worth(gr, nr) - worth(total, count)[:, None]
+        gain[(nl < least) | (nr < least)] = 0.0
         out = []
-        for i, b in enumerate(best.tolist()):
-            c, where = divmod(b, MAX_BINS)
-            out.append((float(gain[i, b]) / unit**2, int(self.columns[c]), where, float(gl[c, i, where]), float(nl[c, i, where]), float(total[i]), float(count[i])))
+        for i, b in enumerate(gain.argmax(axis=1).tolist()):
+            c = int(before[b])
+            row = float(gain[i, b]) / unit**2, int(self.columns[c]), int(b - self.begins[c])
+            out.append((*row, float(gl[i, b]), float(nl[i, b]), float(total[i]), float(count[i])))
         return out
 
     def split(self, found: Sequence[tuple]) -> bool:
@@ -347,13 +365,22 @@ def grow(matrix: Matrix, models: Sequence[Booster], rounds: Mapping[str, int]) -
     _grow_by_levels(matrix, [m for m in pending if m.group not in matrix.single], rounds)
 
 
+def widths_of(edges: Sequence[np.ndarray]) -> list[int]:
+    """Bins of each feature."""
+    return [len(e) + 1 for e in edges]
+
+
 def _next_tree(block: Block, model: Booster, score: np.ndarray, edges: Sequence[np.ndarray]) -> dict[str, np.ndarray]:
     """The next tree of a model whose rows are all in one block."""
     number = len(model.trees.parts)
-    growing, sampled = Growing(model, number, len(block.bins)), block.sampled(model, number)
-    gradients, going = model.gradients(block.label, score), True
-    while going:
-        going = growing.split(growing.best_splits(growing.sums(block, gradients, sampled)))
+    growing, sampled = Growing(model, number, widths_of(edges)), block.sampled(model, number)
+    gradients = model.gradients(block.label, score)
+    sums = growing.sums(block, gradients, sampled)
+    while True:
+        parents = growing.open
+        if not growing.split(growing.best_splits(sums)):
+            break
+        sums = growing.sums_below(block, gradients, sampled, sums, parents)
     quantiles = None
     if model.alpha is not None:
         found = growing.summaries(block, block.label - score, sampled)
@@ -416,7 +443,7 @@ def _grow_by_levels(matrix: Matrix, models: Sequence[Booster], rounds: Mapping[s
         return block, {m.name: block.score(m, done[m.name], base.get(m.name)) for m in own}
 
     while pending:
-        growing = [Growing(m, len(m.trees.parts), len(matrix.features)) for m in pending]
+        growing = [Growing(m, len(m.trees.parts), widths_of(matrix.edges)) for m in pending]
         active = list(growing)
         while active:
             found = _level(spark, blocks, active, done, scored)

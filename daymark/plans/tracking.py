@@ -50,25 +50,25 @@ def track_performance(
     threshold_pct: float = monitor.DEGRADATION_PCT,
     series_cols: Sequence[str] = (),
     log_path: str | None = None,
+    run_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """Rolling and overall error per horizon, the row to log for each, alerts and status.
 
-    With `log_path` the rows are appended to the log there.
+    With `log_path` the rows are added to the log there; those of a `run_id` that is repeated replace its earlier ones.
     """
     keys = [*series_cols, HORIZON]
-    # Four results come from it: it is computed once.
-    compared = cut_lineage(monitor.predictions_vs_actuals(predictions, actuals, series_cols))
-    rolling = monitor.rolling_mae(compared, window_rows, series_cols)
-    overall = monitor.point_mae_by_horizon(compared, series_cols)
-    # One sort gives both errors of a group; its newest row then carries them.
-    with_overall = monitor.rolling_mae(compared, window_rows, series_cols, with_overall=True)
-    log = monitor.latest_per_group(with_overall, keys).select(
+    compared = monitor.predictions_vs_actuals(predictions, actuals, series_cols)
+    # All results come from it: one sort gives both errors of a group, and its newest row carries them.
+    both = cut_lineage(monitor.rolling_mae(compared, window_rows, series_cols, with_overall=True))
+    rolling = both.drop("mae")
+    log = monitor.latest_per_group(both, keys).select(
         *keys, "mae", "rolling_mae", "n_predictions", F.col("prediction_timestamp").alias("timestamp")
     )
+    overall = log.select(*keys, "mae")
     report = {"rolling": rolling, "overall": overall, "log": log}
     if baselines is not None:
         report["alerts"] = monitor.degradation_alerts(rolling, baselines, threshold_pct, series_cols)
-        report["status"] = monitor.tracking_status(report["alerts"], compared)
+        report["status"] = monitor.tracking_status(report["alerts"], both)
     if log_path:
-        append_tracking(log, log_path, series_cols)
+        append_tracking(log, log_path, series_cols, run_id)
     return report

@@ -132,7 +132,8 @@ def train_flow(
 ) -> dict[str, Any]:
     """Features, models for every horizon, registration, promotion, retention and the report.
 
-    With `log_path` the chosen parameters and the metrics of each model are appended to run tables there.
+    With `log_path` the chosen parameters and the metrics of each model are added to run tables there;
+    a repeated `run_id` replaces its rows.
     The daily series is computed once, before the checks and the features.
     """
     spark = daily.sparkSession
@@ -151,8 +152,8 @@ def train_flow(
         for h, t in sorted(trained.items()):
             run = f"{run_id}/{model_name(h, prefix)}"
             numbers = {k: v for k, v in t.metadata.items() if isinstance(v, (int, float)) and not isinstance(v, bool)}
-            tables.append_rows(tables.params_rows(spark, run, t.metadata["best_params"]), f"{log_path}/params")
-            tables.append_rows(tables.metrics_rows(spark, run, numbers), f"{log_path}/metrics")
+            tables.append_rows(tables.params_rows(spark, run, t.metadata["best_params"]), f"{log_path}/params", f"{run_id}-{h}")
+            tables.append_rows(tables.metrics_rows(spark, run, numbers), f"{log_path}/metrics", f"{run_id}-{h}")
     return {
         "trained": trained,
         "registry": reg.keep_latest_versions(promoted),

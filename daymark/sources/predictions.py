@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from daymark.operators.evaluate import format_predictions
 from daymark.schema import ACTUALS, HORIZON, PREDICTION, nan_to_null
@@ -16,8 +17,14 @@ from daymark.sources.visits import is_bracketed_name
 IF_EXISTS = ("append", "replace", "fail")
 
 
-def scan_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return nan_to_null(spark.read.schema(PREDICTION).option("header", True).csv(path))
+def scan_predictions(spark: SparkSession, path: str, series_cols: Sequence[str] = ()) -> DataFrame:
+    """Prediction files with the series columns (as text) that stand before the seven others.
+
+    The names in the files are compared with these columns, so a file with others is an error.
+    """
+    schema = T.StructType([*[T.StructField(c, T.StringType()) for c in series_cols], *PREDICTION])
+    files = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return nan_to_null(files.csv(path))
 
 
 def scan_actuals(spark: SparkSession, path: str) -> DataFrame:
@@ -30,14 +37,15 @@ def sink_predictions_csv(
     include_timestamp: bool = True,
     run_time: dt.datetime | None = None,
 ) -> str:
-    """Write a run as CSV and return its path.
+    """Write a run as CSV and return its path: columns that are none of the seven (a series) first, then these.
 
     The result is a folder named after the run with one part per task; nothing is gathered.
     """
     stamp = (run_time or dt.datetime.now()).strftime("%Y%m%d_%H%M%S")
     name = f"predictions_{stamp}.csv" if include_timestamp else "predictions_latest.csv"
     path = f"{folder.rstrip('/')}/{name}"
-    predictions.write.mode("overwrite").option("header", True).csv(path)
+    extra = [c for c in predictions.columns if c not in PREDICTION.fieldNames()]
+    with_extra_keys(predictions, extra).write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
@@ -75,7 +83,10 @@ def sink_predictions_table(
     if present is not None:
         if if_exists == "fail" and not present.isEmpty():
             raise ValueError(f"table {path} already has rows")
-        rows = rows.join(present.select(*run_keys).distinct(), run_keys, "left_anti")
+        # Only runs of the new rows' times are read, not the keys of the whole history.
+        first, last = rows.agg(F.min("prediction_timestamp"), F.max("prediction_timestamp")).first()
+        same = present.where(F.col("prediction_timestamp").between(F.lit(first), F.lit(last)))
+        rows = rows.join(same.select(*run_keys).distinct(), run_keys, "left_anti")
     written = Observation()
     counted = rows.observe(written, F.count(F.lit(1)).alias("n"))  # counts while it writes
     counted.write.mode("append").partitionBy(HORIZON).parquet(path)
@@ -101,8 +112,9 @@ def sink_predictions_db(
 ) -> int:
     """Append the series and prediction columns to a database table; returns the number of rows.
 
-    Executors write in parallel. A retried task could repeat its rows, so point `table` at a
-    staging table and merge by (prediction_timestamp, horizon) on the database side.
+    Executors write in parallel. A retried task could repeat its rows, so point `table` at a staging
+    table and merge by (prediction_timestamp, prediction_date, horizon) and the series columns on the
+    database side.
     """
     if not url:
         raise ValueError("the connection URL must not be empty")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -14,6 +15,9 @@ from daymark.functions.shape import flatten_mapping
 from daymark.operators.monitor import metric_records
 from daymark.schema import MODEL_PERFORMANCE, RUN_METRICS, TRACKING_LOG, in_schema
 
+#: Column that names the run in run tables.
+RUN = "run"
+
 
 def sink_intermediate(df: DataFrame, path: str, series_cols: Sequence[str] = ()) -> DataFrame:
     """Write a stage as parquet (a folder per series key if given) and read it back.
@@ -30,19 +34,42 @@ def sink_intermediate(df: DataFrame, path: str, series_cols: Sequence[str] = ())
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-def append_performance(metrics: DataFrame, path: str) -> None:
-    """Add evaluation rows to the performance history."""
-    in_schema(metrics, MODEL_PERFORMANCE).write.mode("append").partitionBy("horizon").parquet(path)
+def commit_run(rows: DataFrame, path: str, run_id: str) -> None:
+    """Put the rows of one run into a run table at `path`, in place of what this run wrote before.
+
+    The table is partitioned by `run`. Spark writes the rows to a staging folder first and moves the
+    run's folder in when all tasks are done, so a task that is lost and starts again leaves each row
+    once, a run that failed leaves nothing, and a repeated run replaces its own rows only.
+    """
+    named = rows.withColumn(RUN, F.lit(run_id))
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(RUN).parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str, schema: T.StructType, with_run: bool = False) -> DataFrame:
+    """The rows of all runs of a run table."""
+    known = T.StructType([*[f for f in schema if f.name != RUN], T.StructField(RUN, T.StringType())])
+    rows = spark.read.schema(known).parquet(path)
+    return rows if with_run else rows.drop(RUN)
 
 
-def append_tracking(log: DataFrame, path: str, series_cols: Sequence[str] = ()) -> None:
-    """Add the rows of one tracking run to its log."""
+def append_performance(metrics: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add evaluation rows to the performance history; those of a named run replace its earlier ones."""
+    commit_run(in_schema(metrics, MODEL_PERFORMANCE), path, run_id or _new_run())
+
+
+def append_tracking(log: DataFrame, path: str, series_cols: Sequence[str] = (), run_id: str | None = None) -> None:
+    """Add the rows of one tracking run to its log; those of a named run replace its earlier ones."""
     extra = log.select(*series_cols).schema.fields
-    in_schema(log, T.StructType([*extra, *TRACKING_LOG])).write.mode("append").parquet(path)
+    commit_run(in_schema(log, T.StructType([*extra, *TRACKING_LOG])), path, run_id or _new_run())
+
+
+def append_rows(df: DataFrame, path: str, run_id: str | None = None) -> None:
+    """Add rows to a run table; those of a named run replace its earlier ones."""
+    commit_run(df, path, run_id or _new_run())
 
 
-def append_rows(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def _new_run() -> str:
+    return uuid.uuid4().hex
 
 
 def write_snapshot(df: DataFrame, root: str, snapshot: int) -> str:
@@ -68,18 +95,23 @@ def metrics_rows(
 class MetricsLog:
     """Records run events as rows appended to the run_metrics table at `path`.
 
-    Times are UTC, also those of a clock that names no zone.
+    Times are UTC, also those of a clock that names no zone. With a `run_id` the events of a run that
+    is repeated in the same order replace those it recorded before.
     """
 
-    def __init__(self, spark: SparkSession, path: str, clock=lambda: dt.datetime.now(dt.timezone.utc)):
-        self.spark, self.path, self.clock = spark, path, clock
+    def __init__(
+        self, spark: SparkSession, path: str, clock=lambda: dt.datetime.now(dt.timezone.utc), run_id: str | None = None
+    ):
+        self.spark, self.path, self.clock, self.run_id, self.recorded = spark, path, clock, run_id, 0
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(RUN_METRICS).parquet(self.path)
+        return read_runs(self.spark, self.path, RUN_METRICS)
 
     def record(self, *events: tuple[Mapping[str, float], Mapping[str, object]]) -> None:
         """Append (values, labels) pairs of one moment in one write."""
-        append_rows(metric_records(self.spark, self._now().replace(tzinfo=None), events), self.path)
+        name = f"{self.run_id}-{self.recorded}" if self.run_id else None
+        append_rows(metric_records(self.spark, self._now().replace(tzinfo=None), events), self.path, name)
+        self.recorded += 1
 
     def _now(self) -> dt.datetime:
         moment = self.clock()

@@ -91,10 +91,14 @@ def _percent(column: str):
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = table(spark, sf_dir, "lineitem")
+    """Weather with holes to fill."""
+    return weather_of_all_days(spark, sf_dir).where(F.dayofyear(DATE) % 17 != 0)
+
+
+def weather_of_all_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.to_date("l_shipdate")
     return (
-        items.where(F.dayofyear(day) % 17 != 0)
+        table(spark, sf_dir, "lineitem")
         .groupBy(day.alias(DATE))
         .agg(
             F.max(_percent("l_discount")).cast("double").alias("Temp_Max"),
@@ -114,6 +118,7 @@ WEATHER_SQL = """weather AS (
          sum(l_quantity) AS Precipitation,
          avg(CAST(round(l_tax * 100) AS INTEGER)) AS Snowfall
   FROM lineitem WHERE dayofyear(CAST(l_shipdate AS DATE)) % 17 <> 0 GROUP BY 1)"""
+WEATHER_OF_ALL_DAYS_SQL = WEATHER_SQL.replace("WHERE dayofyear(CAST(l_shipdate AS DATE)) % 17 <> 0 ", "")
 
 
 # ---- scores: every line item is a scored row, its line number the horizon ----

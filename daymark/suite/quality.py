@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from daymark.functions import errors
+from daymark.functions import errors, shape
 from daymark.functions.quantiles import exact_quantiles
 from daymark.functions.shape import flatten_params, metric_rows
 from daymark.operators import evaluate as ev
@@ -234,12 +234,10 @@ def sort_prediction_date(spark, sf):
     PRED + " SELECT series, prediction_date, horizon, point_prediction FROM predictions",
 )
 def union_horizons(spark, sf):
+    """Tables of single horizons, each with its own columns, in one."""
     made = i.predictions(spark, sf).select("series", "prediction_date", "horizon", "point_prediction")
-    parts = [made.where(F.col("horizon") == h) for h in range(1, 8)]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+    parts = {h: made.where(F.col("horizon") == h).drop("horizon") for h in range(1, 8)}
+    return shape.union_horizons(parts).select(*made.columns)
 
 
 BROKEN_SQL = """broken AS (SELECT prediction_timestamp, prediction_date,

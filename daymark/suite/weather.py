@@ -123,14 +123,14 @@ def fill_linear(spark, sf):
 @query(
     "weather_profile",
     rounded_sql(
-        with_ctes(i.WEATHER_SQL)
+        with_ctes(i.WEATHER_OF_ALL_DAYS_SQL)
         + """ SELECT min(Temp_Mean) AS min_temp, max(Temp_Mean) AS max_temp, avg(Temp_Mean) AS mean_temp,
                 sum(Precipitation) AS total_precipitation FROM weather""",
         ["min_temp", "max_temp", "mean_temp", "total_precipitation"],
     ),
 )
 def weather_profile(spark, sf):
-    return rounded(ops.weather_profile(i.weather(spark, sf)))
+    return rounded(ops.weather_profile(i.weather_of_all_days(spark, sf)))
 
 
 @query(

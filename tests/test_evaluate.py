@@ -1,9 +1,10 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Row
 
 from daymark.functions import errors
-from daymark.functions.shape import flatten_params, metric_rows
+from daymark.functions.shape import flatten_params, metric_rows, union_horizons
 from daymark.operators import evaluate as ev
 from daymark.operators import validate
 from daymark.schema import PREDICTION
@@ -110,7 +111,15 @@ def test_training_summary(spark):
     rows = ev.training_summary(df).collect()
     assert [(r.horizon, r.coverage_pct, r.promoted) for r in rows] == [(1, None, "Yes"), (2, 50.0, "No")]
     totals = ev.flow_totals(df).first()
-    assert tuple(totals) == (2, 1, 7.0)
+    assert tuple(totals) == (2, 1, 0, 7.0)
+
+
+def test_union_horizons(spark):
+    parts = {2: spark.sql("SELECT 1 AS a, 9 AS horizon"), 1: spark.sql("SELECT 2 AS b, 3 AS a UNION ALL SELECT 2, 3")}
+    rows = union_horizons(parts).select("horizon", "a", "b").collect()
+    assert sorted(map(str, rows)) == sorted(map(str, [Row(horizon=1, a=3, b=2)] * 2 + [Row(horizon=2, a=1, b=None)]))
+    with pytest.raises(ValueError):
+        union_horizons({})
 
 
 def test_shapes(spark):

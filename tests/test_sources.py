@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from daymark.operators.evaluate import evaluate, metrics_by_horizon
 from daymark.sources import predictions as pred
@@ -103,6 +104,15 @@ def test_predictions_csv_round_trip(spark, predictions, tmp_path):
     assert pred.sink_predictions_csv(predictions, str(tmp_path), False).endswith("predictions_latest.csv")
 
 
+def test_predictions_csv_with_series(spark, predictions, tmp_path):
+    keyed = predictions.withColumn("series", F.lit("007"))
+    path = pred.sink_predictions_csv(keyed, str(tmp_path))
+    again = pred.scan_predictions(spark, path, ["series"])
+    assert sorted(again.select(*keyed.columns).collect()) == sorted(keyed.collect())
+    with pytest.raises(Exception):  # other columns than those of the file are no silent shift
+        pred.scan_predictions(spark, path).collect()
+
+
 def test_predictions_table_is_idempotent(spark, predictions, tmp_path):
     path = str(tmp_path / "predictions")
     assert pred.sink_predictions_table(predictions, path) == 7
@@ -149,6 +159,34 @@ def test_run_tables(spark, predictions, tmp_path):
         tables.write_snapshot(scored, str(tmp_path / "state"), 1)
 
 
+def test_runs_are_committed_once(spark, predictions, tmp_path):
+    """A run that fails leaves nothing, a repeated one replaces its own rows only."""
+    path, schema = str(tmp_path / "runs"), predictions.schema
+    tables.commit_run(predictions, path, "first")
+    broken = predictions.withColumn("horizon", F.when(F.col("horizon") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("horizon")).cast("int"))
+    with pytest.raises(Exception):
+        tables.commit_run(broken.repartition(3), path, "second")
+    assert tables.read_runs(spark, path, schema).count() == 7
+    for _ in range(2):
+        tables.commit_run(predictions.where("horizon < 4"), path, "second")
+    assert tables.read_runs(spark, path, schema).count() == 10
+    tables.commit_run(predictions.where("horizon = 1"), path, "first")
+    found = tables.read_runs(spark, path, schema, with_run=True)
+    assert {(r.run, r["count"]) for r in found.groupBy("run").count().collect()} == {("first", 1), ("second", 3)}
+
+
+def test_repeated_logs(spark, predictions, tmp_path):
+    for _ in range(2):
+        log = tables.MetricsLog(spark, str(tmp_path / "metrics"), run_id="day1")
+        log.promotion(1)
+        log.promotion(1)
+    assert log.read().count() == 2
+    rows = predictions.select("horizon", F.lit(1.0).alias("mae"), F.lit(1.0).alias("rolling_mae"), F.lit(3).cast("bigint").alias("n_predictions"), F.col("prediction_timestamp").alias("timestamp"))
+    for name in ("a", "a", "b", None):
+        tables.append_tracking(rows, str(tmp_path / "log"), run_id=name)
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 21
+
+
 def test_params_and_metrics(spark):
     rows = tables.params_rows(spark, "r1", {"a": 1, "model": {"depth": 3, "tree": {"rate": 0.1}}}).collect()
     assert {r.name: r.value for r in rows} == {"a": "1", "model.depth": "3", "model.tree.rate": "0.1"}
