@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions import calendar as cal
 from daymark.operators.gaps import gap_fill
-from daymark.operators.weather import forecast_at_horizon, weather_of_days_ahead
+from daymark.operators.weather import forecast_at_horizon, weather_at_target
 from daymark.schema import (
     DATE,
     HORIZON,
@@ -184,7 +184,7 @@ def engineer_features(
 
 def engineer_for_horizons(
     df: DataFrame,
-    weather: DataFrame | None,
+    weather: DataFrame,
     horizons: Sequence[int] = HORIZONS,
     include_fourier: bool = False,
     include_lags: bool = True,
@@ -198,12 +198,10 @@ def engineer_for_horizons(
     """Training features for all horizons in one table with a `horizon` column.
 
     Lags and rolling statistics belong to the row date and are computed once; each row is then
-    spread over the horizons, and calendar and weather come from the target day. The weather of the
-    days ahead joins a row before it is spread; without a weather table the series' own weather
-    columns are taken, in the window of the lags and without a join.
+    spread over the horizons, and calendar and weather come from the target day.
     """
     base = _row_features(
-        df if weather is None else df.drop(*WEATHER),
+        df.drop(*WEATHER),
         include_fourier,
         include_lags,
         include_rolling,
@@ -213,30 +211,9 @@ def engineer_for_horizons(
     )
     if include_lag0:
         base = base.withColumn(f"{lag_prefix(target_col)}_lag_0", F.col(target_col))
-    horizons = [int(h) for h in horizons]
-    names = [c for c in base.columns if c not in WEATHER]
-    if weather is None:
-        base, present = _weather_ahead(base, horizons, series_cols), WEATHER
-    else:
-        present = [c for c in WEATHER if c in weather.columns]
-        base = base.join(weather_of_days_ahead(weather, horizons, location_cols), [*location_cols, DATE], "left")
-    choices = F.array(*[F.struct(F.lit(h).alias(HORIZON), F.col(f"_ahead_{h}").alias("_then")) for h in horizons])
-    spread = base.withColumn("_choice", F.explode(choices)).select(*names, f"_choice.{HORIZON}", "_choice._then")
-    dated = calendar_at_target(spread, HORIZON)
-    return dated.select(*[c for c in dated.columns if c != "_then"], *[F.col(f"_then.{c}").alias(c) for c in present])
-
-
-def _weather_ahead(base: DataFrame, horizons: Sequence[int], series_cols: Sequence[str]) -> DataFrame:
-    """Add the series' own weather of each day ahead, in the window of the lags.
-
-    A series has one row for each of its days, so the row of a day `h` days later is among the next `h`.
-    """
-    w = series_window(series_cols)
-    later = [F.lead("_now", k).over(w) for k in range(1, max(horizons) + 1)]
-    led = base.withColumn("_now", F.struct(DATE, *WEATHER)).withColumn("_later", F.array(*later))
-    on_day = lambda day: F.try_element_at(F.filter("_later", lambda x: x[DATE] == day), F.lit(1))
-    found = {f"_ahead_{h}": on_day(F.date_add(DATE, h)) for h in horizons}
-    return led.withColumns(found).drop("_now", "_later", *WEATHER)
+    ahead = F.explode(F.array(*[F.lit(int(h)) for h in horizons]))
+    spread = calendar_at_target(base.withColumn(HORIZON, ahead), HORIZON)
+    return weather_at_target(spread, weather, HORIZON, location_cols)
 
 
 def last_known_row(df: DataFrame, series_cols: Sequence[str] = ()) -> DataFrame:

@@ -90,20 +90,6 @@ def weather_at_target(
     return base.join(lookup, condition, "left").select(*keep, *present)
 
 
-def weather_of_days_ahead(weather: DataFrame, horizons: Sequence[int], location_cols: Sequence[str] = ()) -> DataFrame:
-    """For each day before a known one, a column `_ahead_h` with the weather `h` days later (NULL if absent).
-
-    The weather table is spread over the horizons here, so that the rows it is joined to need not be.
-    """
-    present = [c for c in WEATHER if c in weather.columns]
-    once = first_per_key(weather.select(*location_cols, DATE, *present), [*location_cols, DATE])
-    ahead = F.explode(F.array(*[F.lit(int(h)) for h in horizons]))
-    spread = once.select(*location_cols, DATE, F.struct(*present).alias("_then"), ahead.alias("_h"))
-    spread = spread.withColumn(DATE, F.date_sub(DATE, F.col("_h")))
-    found = [F.max(F.when(F.col("_h") == h, F.col("_then"))).alias(f"_ahead_{int(h)}") for h in horizons]
-    return spread.groupBy(*location_cols, DATE).agg(*found)
-
-
 def forecast_at_horizon(
     future: DataFrame, forecast: DataFrame, location_cols: Sequence[str] = ()
 ) -> DataFrame:

@@ -50,12 +50,15 @@ def training_table(
     """Complete, labelled feature rows for all horizons.
 
     The weather of a target day comes from the merged and filled series, so a day past the end
-    of the series has none, and its rows are dropped. `materialize` checkpoints the merged series.
+    of the series has none, and its rows are dropped. The merged series is used twice, so
+    `materialize` checkpoints it, and the raw visits behind it are read and shuffled once.
     """
     merged = merge_weather(daily, weather, fallback, series_cols, location_cols, validate)
     if materialize:
         merged = cut_lineage(merged)
-    features = engineer_for_horizons(merged, None, series_cols=series_cols, **switches)
+    keys = [*dict.fromkeys([*series_cols, *location_cols])]
+    lookup = merged.select(*keys, "Date", *[c for c in merged.columns if c not in daily.columns])
+    features = engineer_for_horizons(merged, lookup, series_cols=series_cols, location_cols=keys, **switches)
     return training_rows(features, series_cols, lossless=lossless)
 
 

@@ -51,17 +51,17 @@ def test_stream_code_counts_a_batch_like_the_batch_code(visits):
         visits(rows).sparkSession.conf.set("spark.sql.session.timeZone", zone)
 
 
-def test_merges_equal_the_full_run_and_touch_their_days_only(spark, visits, tmp_path):
+def test_merges_equal_the_full_run_and_touch_their_months_only(spark, visits, tmp_path):
     path = str(tmp_path / "state")
-    rows = [("a" if k % 3 else "b", str(k % 40), D(2024, 1, 1 + k % 9, k % 24)) for k in range(300)]
-    parts = [rows[:120], rows[100:200], rows[200:], [("a", "new", D(2024, 1, 4, 5)), ("a", "none", None)]]
+    rows = [("a" if k % 3 else "b", str(k % 40), D(2024, 1 + k % 5, 1 + k % 3, k % 24)) for k in range(300)]
+    parts = [rows[:120], rows[100:200], rows[200:], [("a", "new", D(2024, 4, 4, 5)), ("a", "none", None)]]
     for part in parts[:3]:
         merge_visits(visits(part), path, ["series"])
     files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "state").rglob("*.parquet")}
     before = files()
-    assert merge_visits(visits(parts[3]), path, ["series"]) == [dt.date(2024, 1, 4)]
+    assert merge_visits(visits(parts[3]), path, ["series"]) == ["2024-04"]
     after = files()
-    assert all("2024-01-04" in str(f) for f in set(before.items()) ^ set(after.items()))
+    assert all("2024-04" in str(f) for f in set(before.items()) ^ set(after.items()))
     every = [r for part in parts for r in part]
     full = daily_counts(dedup_visits(visits(every), series_cols=["series"]), ["series"])
     schema = visits(rows).select("series").schema
@@ -71,12 +71,12 @@ def test_merges_equal_the_full_run_and_touch_their_days_only(spark, visits, tmp_
     assert merge_visits(visits([]), path, ["series"]) == []
 
 
-def test_earlier_days_are_not_read(spark, visits, tmp_path):
+def test_earlier_months_are_not_read(spark, visits, tmp_path):
     path = str(tmp_path / "state")
-    merge_visits(visits([("a", "1", D(2024, 1, 1)), ("a", "2", D(2024, 1, 2))]), path, ["series"])
-    for f in (tmp_path / "state" / "visits" / "Date=2024-01-01").glob("*.parquet"):
+    merge_visits(visits([("a", "1", D(2024, 1, 1)), ("a", "2", D(2024, 2, 2))]), path, ["series"])
+    for f in (tmp_path / "state" / "visits" / "month=2024-01").glob("*.parquet"):
         f.write_bytes(b"not readable")
         (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
-    merge_visits(visits([("a", "3", D(2024, 1, 2))]), path, ["series"])
+    merge_visits(visits([("a", "3", D(2024, 2, 2))]), path, ["series"])
     counts = rows_of(read_daily(spark, path, visits([]).select("series").schema))
-    assert counts == [("a", dt.date(2024, 1, 1), 1), ("a", dt.date(2024, 1, 2), 2)]
+    assert counts == [("a", dt.date(2024, 1, 1), 1), ("a", dt.date(2024, 2, 2), 2)]
