@@ -53,7 +53,7 @@ class WordTokenizer(Generations):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__(self._ids, limit=400_000)
+        super().__init__(self._ids, limit=150_000)
         self.tokenizer, self.letters = Tokenizer.from_file(path), _byte_letters()
         self.model = self.tokenizer.model
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
