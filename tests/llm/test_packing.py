@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -66,3 +67,13 @@ def test_edges(docs):
     assert found[found.doc_id == 1].doc_tokens.tolist() == [1] and found[found.doc_id == 2].doc_tokens.tolist() == [1]
     assert found.doc_id.isna().sum() == 1
     assert pack_documents(docs(EDGES).limit(0), PATH).count() == 0
+
+
+def test_random_letters_and_marks_give_the_ids_of_the_library():
+    rng = random.Random(6)
+    letters = "aAbBzZéÉßÄÿµªºÆ×÷.,;!:?$%&*#|()'<|>endoftextSTART 019 \n\t\xa0\xadİıẞΩéx̀中"
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 40)))
+        if rng.random() < 0.1:
+            text += rng.choice(["<|endoftext|>", "<|ENDOFTEXT|>", "'S 'Ll don't DON'T", "abc***", "é&&&."])
+        assert np.frombuffer(word_tokenizer(PATH).encode(text), "<u4").tolist() == whole(text)
