@@ -35,10 +35,11 @@ def successive_halving(
     """The trials of each group with their validation errors, best first, and the best model of each.
 
     All trials of all groups grow together. After 16, 32, 64... trees those with the larger error in
-    their group stop; the others go on from where they are, until the ones left have all their trees.
+    their group stop; the others go on from where they are, until the ones left have all their trees. `stopped_by`
+    is the largest error of those that went on when a trial stopped, whatever they came to later.
     A trial whose parameters are impossible is kept with its message and sorts last.
     """
-    results = {g: [{"trial": i, "params": dict(p), "val_mae": None, "error": None, "n_trees": 0} for i, p in enumerate(table)] for g in groups}
+    results = {g: [{"trial": i, "params": dict(p), "val_mae": None, "error": None, "n_trees": 0, "stopped_by": None} for i, p in enumerate(table)] for g in groups}
     alive: dict[int, list[tuple[int, Booster]]] = {g: [] for g in groups}
     for g in groups:
         for i, params in enumerate(table):
@@ -58,7 +59,10 @@ def successive_halving(
                 results[g][i].update(val_mae=found.get(m.name, results[g][i]["val_mae"]), n_trees=len(m.trees.parts))
             own.sort(key=lambda x: (_last(results[g][x[0]]["val_mae"]), x[0]))
             if any(len(m.trees.parts) < m.params["n_estimators"] for _, m in own):
-                del own[(len(own) + 1) // 2 :]
+                stay = (len(own) + 1) // 2
+                for i, _ in own[stay:]:
+                    results[g][i]["stopped_by"] = results[g][own[stay - 1][0]]["val_mae"]
+                del own[stay:]
         if all(len(m.trees.parts) >= m.params["n_estimators"] for own in alive.values() for _, m in own):
             break
         aim *= 2

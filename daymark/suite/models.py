@@ -147,11 +147,12 @@ def search(spark, sf):
     split = temporal_split(training_rows(spark, sf), series_cols=S)
     rows = []
     for horizon, found in search_all(split, FEATURES, trials(TRIALS, space=SEARCH_SPACE)).items():
-        best = found[0]
         for place, r in enumerate(found):
             p = r["params"]
             whole = r["n_trees"] == p["n_estimators"]
-            sound = r["error"] is None and 0 < r["val_mae"] < 1e12 and (whole if place == 0 else whole or r["n_trees"] <= best["n_trees"] * 2)
+            sound = r["error"] is None and r["val_mae"] is not None and 0 < r["val_mae"] < 1e12
+            if not whole:
+                sound = sound and place > 0 and r["stopped_by"] is not None and r["stopped_by"] <= r["val_mae"]
             rows.append((horizon, r["trial"], p["n_estimators"], p["max_depth"], p["num_leaves"], p["subsample"], sound))
     kinds = "horizon int, trial int, n_estimators int, max_depth int, num_leaves int, subsample double, sound boolean"
     return spark.createDataFrame(rows, kinds)

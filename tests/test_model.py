@@ -236,6 +236,15 @@ def test_search_stops_the_worse_half_and_goes_on_with_the_rest(frames):
     assert found[0]["n_trees"] == 40 and found[0]["val_mae"] <= found[1]["val_mae"]
 
 
+def test_search_keeps_what_stopped_a_trial(frames):
+    train, val = frames
+    table = [{**SMALL, "n_estimators": 40, "learning_rate": r} for r in (0.001, 0.3, 0.1, 0.002)]
+    found = hyperparameter_search(train, val, FEATURES, 1, table)
+    first = max(r["stopped_by"] for r in found[2:])
+    assert [r["stopped_by"] for r in found[2:]] == [first] * 2 and all(first <= r["val_mae"] for r in found[2:])
+    assert found[0]["stopped_by"] is None and found[1]["n_trees"] == 32 and found[1]["stopped_by"] <= found[1]["val_mae"]
+
+
 def test_missing_features_and_no_rows(spark, fitted, frames):
     row = frames[1].limit(1).withColumn("feature_2", F.lit(None).cast("double"))
     assert fitted.predict(row).first().point_prediction is not None
