@@ -4,7 +4,8 @@
 tables, where the calendar bounds a group, and wrong for raw rows. `exact_quantiles` gives
 the same linearly interpolated numbers in two passes: a sketch brackets each wanted quantile
 between two values, then rows outside the brackets are only counted (map-side) while the few
-values inside are ranked.
+values inside are ranked. Brackets of large groups are broadcast, so that rows are never dealt by
+the keys of a large group; groups of few rows need no brackets.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 
 from daymark.schema import join_keys
 
+#: Groups of more rows are bracketed, the values of others all ranked. A table has at most one such group for so many rows.
+LARGE_GROUP = 100_000
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -24,6 +28,7 @@ def exact_quantiles(
     carry: Mapping[str, Column] | None = None,
     accuracy: int = 20_000,
     few_groups: bool = False,
+    large_group: int = LARGE_GROUP,
 ) -> DataFrame:
     """One row per group: the keys, `carry` aggregates, and the wanted quantiles.
 
@@ -34,12 +39,13 @@ def exact_quantiles(
     on both sides, so it always holds the wanted ranks, and at most about 10/accuracy of the
     rows. Values next to a bracket are kept as well, for groups too small for that margin.
     `few_groups` says that the number of groups is bounded by definition (horizons, say); the
-    brackets are then broadcast. Otherwise Spark chooses the join by measured size.
+    brackets are then broadcast. Otherwise only those of groups with more than `large_group` rows are.
     """
     by = list(by)
     carry = dict(carry or {})
     keys = by or ["_all"]
     source = df if by else df.withColumn("_all", F.lit(0))
+    all_large = few_groups or not by
     columns = list(dict.fromkeys(column for column, _ in wanted.values()))
     probs = {c: [p for column, p in wanted.values() if column == c] for c in columns}
 
@@ -50,14 +56,14 @@ def exact_quantiles(
         edges = [F.lit(q) for p in probs[c] for q in (max(0.0, p - margin), min(1.0, p + margin))]
         sketch = F.percentile_approx(F.col(c).cast("double"), F.array(*edges), F.lit(accuracy))
         sketches.append(sketch.alias(f"_edges_{c}"))
-    groups = source.groupBy(*keys).agg(
-        *sketches, *[column.alias(name) for name, column in carry.items()]
-    )
+    carried = [column.alias(name) for name, column in carry.items()]
+    groups = source.groupBy(*keys).agg(*sketches, F.count("*").alias("_rows"), *(carried if all_large else []))
 
     # Second pass: rows outside the brackets collapse into one row per stretch, map-side.
     values = [F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_v")) for c in columns]
     rows = source.select(*keys, F.inline(F.array(*values)))
-    marked = join_keys(rows, F.broadcast(groups) if few_groups or not by else groups, keys)
+    large = groups if all_large else groups.where(F.col("_rows") > large_group)
+    marked = join_keys(rows, F.broadcast(large), keys, "left")
     v = F.col("_v")
     inside, passed = F.lit(False), F.lit(None).cast("double")
     for c in columns:
@@ -68,17 +74,17 @@ def exact_quantiles(
             inside = inside | F.coalesce(mine & v.between(low, high), F.lit(False))
             passed = F.greatest(passed, F.when(mine & (v > high), high))
     counted = (
-        marked.withColumn("_inside", inside)
+        marked.withColumn("_inside", F.when(F.col("_rows").isNull(), v.isNotNull()).otherwise(inside))
         .groupBy(*keys, "_c", "_inside", F.when(F.col("_inside"), v).otherwise(passed).alias("_place"))
         .agg(
             F.count("_v").alias("_n"),
             F.min("_v").alias("_min"),
             F.max("_v").alias("_max"),
-            *[F.first(name).alias(name) for name in carry],
+            *[F.first(name).alias(name) for name in carry if all_large],
         )
     )
 
-    # Rows of a group here: the values inside its brackets and one row per stretch between.
+    # Rows of a group here: the values inside its brackets and one row per stretch between, or all its values.
     whole = Window.partitionBy(*keys, "_c")
     along = whole.orderBy(F.asc_nulls_first("_place"), F.desc("_inside"))
     ranked = counted.withColumns(
@@ -95,7 +101,9 @@ def exact_quantiles(
         for part, rank in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             here = mine & (F.col("_start") <= rank) & (rank < F.col("_end"))
             found.append(F.max(F.when(here, _at(rank))).alias(f"_{part}_{name}"))
-    picked = ranked.groupBy(*keys).agg(*found, *[F.first(name).alias(name) for name in carry])
+    picked = ranked.groupBy(*keys).agg(*found, *[F.first(name).alias(name) for name in carry if all_large])
+    if carry and not all_large:
+        picked = join_keys(picked, source.groupBy(*keys).agg(*carried), keys)
     quantiles = []
     for name in wanted:
         low, high, position = F.col(f"_lo_{name}"), F.col(f"_hi_{name}"), F.col(f"_at_{name}")

@@ -45,6 +45,31 @@ def test_exact_whatever_the_sketch_accuracy(spark, accuracy):
     check(spark, groups, accuracy=accuracy)
 
 
+def test_large_and_small_groups_side_by_side(spark):
+    rng = random.Random(5)
+    groups = {"hot": [rng.gauss(0, 1) for _ in range(9000)], "ties": [rng.choice([1, 2]) for _ in range(501)], "edge": list(range(500))}
+    check(spark, groups | {f"g{i}": [rng.random() for _ in range(i)] for i in range(1, 9)}, accuracy=100, large_group=500)
+
+
+def test_rows_are_not_dealt_by_group(spark):
+    """Only brackets of large groups, counted stretches and values of small groups are shuffled, whatever Spark thinks of sizes."""
+    df = spark.range(30_000).selectExpr("id % 3 AS g", "CAST(id * 7919 % 30011 AS DOUBLE) AS v")
+    adaptive, limit = (f"spark.sql.{name}" for name in ("adaptive.enabled", "autoBroadcastJoinThreshold"))
+    old = {name: spark.conf.get(name) for name in (adaptive, limit)}
+    spark.conf.set(adaptive, "false")
+    spark.conf.set(limit, "-1")
+    try:
+        found = exact_quantiles(df, MEDIAN, ["g"], accuracy=1000, large_group=1000)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        medians = {r.g: r.p50 for r in found.collect()}
+    finally:
+        for name, value in old.items():
+            spark.conf.set(name, value)
+    expected = {g: float(np.median([i * 7919 % 30011 for i in range(g, 30_000, 3)])) for g in range(3)}
+    assert medians == expected
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e6, 1e6), min_size=1, max_size=40))
 def test_any_small_group(spark, vs):
