@@ -9,8 +9,8 @@ Scoring reads the counts in blocks of a bounded size: ranges of a gram's third a
 all counts that the probabilities of its grams take, seen or not, since a gram's contexts share these letters. It
 is a sorted array of 4-grams with a row of log probabilities, and sorted arrays for the orders below. One block
 scores the texts in one pass; several score them one after another, and a text's sums are added up. A text's
-language is the one with the lowest cross-entropy per letter. A text is rejected if that is above what the
-language's own texts show, for its length.
+language is the one with the lowest cross-entropy per letter. A text is rejected if that is above what all of the
+language's learning texts show, for its length.
 """
 
 from __future__ import annotations
@@ -32,8 +32,6 @@ ORDER = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
 #: Counts (language, 4-gram) of a block. More make more blocks.
 BLOCK_GRAMS = 2_000_000
-#: Learning texts that calibrate the rejection: those with the smallest hashes of their ids.
-CALIBRATION_ROWS = 20_000
 #: Rejection: cross-entropy above the mean by so many standard errors and so much more (nats a letter).
 ERRORS, MARGIN = 6.0, 0.5
 UNKNOWN = "und"
@@ -357,8 +355,11 @@ def _judged(docs: DataFrame, models: LanguageModels, make, fields: str, columns:
     return appended(met, ["text", "_sums", "_letters", *columns], arrays, fields).drop("_text_key", "_sums", "_letters")
 
 
-def learn(docs: DataFrame, block_grams: int = BLOCK_GRAMS, calibration_rows: int = CALIBRATION_ROWS) -> LanguageModels:
-    """Models of all languages in docs (doc_id, text, lang), from the rows that `learning` allows."""
+def learn(docs: DataFrame, block_grams: int = BLOCK_GRAMS) -> LanguageModels:
+    """Models of all languages in docs (doc_id, text, lang), from all rows that `learning` allows.
+
+    The same rows, all of them, calibrate the rejection: Spark scores them and adds up their moments by language.
+    """
     allowed = docs.where(learning(docs) & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     models = LanguageModels(gram_counts(allowed), block_grams)
     langs, judge = models.langs, models.judge
@@ -368,15 +369,14 @@ def learn(docs: DataFrame, block_grams: int = BLOCK_GRAMS, calibration_rows: int
         k = np.array([langs.index(x) if x in langs and n else -1 for x, n in zip(own, letters, strict=True)])
         return [k, letters, -sums[np.arange(len(k)), k] / np.maximum(letters, 1)]
 
-    ids = allowed.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows)
-    last = ids.agg(F.max(F.struct(F.xxhash64("doc_id").alias("h"), "doc_id"))).first()[0]
-    if last is not None and langs:
-        sample = allowed.where(F.xxhash64("doc_id") <= last["h"])
-        measured = _judged(sample, models, measure, "k bigint, n bigint, cross double", ["lang"])
-        found = measured.where("k >= 0").select("k", "n", "cross").toPandas()
-        for k, own in found.groupby("k"):
-            judge.mean[k] = np.average(own["cross"], weights=own["n"])
-            judge.sd[k] = np.sqrt(np.mean((own["cross"] - judge.mean[k]) ** 2 * own["n"])) + 0.5
+    if langs:
+        measured = _judged(allowed, models, measure, "k bigint, n bigint, cross double", ["lang"]).where("k >= 0")
+        weight, cross = F.col("n").cast("double"), F.col("cross")
+        sums = [F.sum(x) for x in (weight, weight * cross, weight * cross * cross)]
+        for k, rows, whole, first, second in measured.groupBy("k").agg(F.count("*"), *sums).collect():
+            judge.mean[k] = mean = first / whole
+            # mean of n * (cross - mean) ** 2; n of up to 10 digits leave 6 of a double
+            judge.sd[k] = np.sqrt(max(0.0, second - 2 * mean * first + mean * mean * whole) / rows) + 0.5
     return models
 
 

@@ -72,3 +72,25 @@ def test_no_count_is_left_out(spark):
     assert np.sort(small.grams).tolist() == np.sort(whole.grams).tolist()
     order = np.argsort(small.grams)
     assert small.rows[order] == pytest.approx(whole.rows, abs=1e-6)
+
+
+@pytest.mark.parametrize("block_grams", [2_000_000, 9_000])
+def test_all_learning_texts_calibrate_the_rejection(spark, block_grams):
+    """More texts than were once sampled; the errors' mean and spread are those of every learning text."""
+    from pyspark.sql import functions as F
+
+    text = F.translate(F.concat_ws(" ", F.col("id"), F.col("id") * 7919 % 100003), "0123456789", "abcdefghij")
+    docs = spark.range(33_000).select(F.col("id").alias("doc_id"), text.alias("text"), F.when(F.col("id") % 2 == 0, "one").otherwise("two").alias("lang"))
+    models = learn(docs, block_grams)
+    assert (len(models.ranges) == 1) == (block_grams > 9_000)
+    rows = docs.where(~held_out()).toPandas()
+    assert len(rows) > 21_000
+    blocks = [models.block(*bounds) for bounds in models.ranges]
+    sums = sum(block.sums(list(rows["text"]))[0] for block in blocks)
+    n = blocks[0].sums(list(rows["text"]))[1]
+    for k, lang in enumerate(models.langs):
+        own = (rows["lang"] == lang).to_numpy()
+        cross = -sums[own, k] / n[own]
+        mean = np.average(cross, weights=n[own])
+        assert models.judge.mean[k] == pytest.approx(mean, rel=1e-9)
+        assert models.judge.sd[k] == pytest.approx(np.sqrt(np.mean((cross - mean) ** 2 * n[own])) + 0.5, rel=1e-9)
