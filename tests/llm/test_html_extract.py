@@ -83,3 +83,47 @@ def test_groups_of_a_host_meet(spark):
         text = {r.page_id: r.text for r in extract_text(pages, size).collect()}
         assert [text[i] for i in range(41)] == [own(i) for i in range(41)], size
         assert text[41] == f"{own(5)}\n{menu}" and text[42] == text[43] == ""
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.integers(1, 3), max_size=14), min_size=1, max_size=6), st.integers(1, 4), st.integers(1, 4))
+def test_covered_words_of_pages_with_several_streams(streams, run, least):
+    owners, places = [i // 2 for i in range(len(streams))], {}
+    for page, words in zip(owners, streams, strict=True):
+        for i in range(len(words) - run + 1):
+            places.setdefault(tuple(words[i : i + run]), set()).add(page)
+    expected = []
+    for words in streams:
+        held = [False] * len(words)
+        for i in range(len(words) - run + 1):
+            if len(places[tuple(words[i : i + run])]) >= least:
+                held[i : i + run] = [True] * run
+        expected.append(held)
+    found = covered_words([np.array(s, np.uint64) for s in streams], run, least, owners)
+    assert [h.tolist() for h in found] == expected
+
+
+def test_notices_inside_articles_go(spark):
+    """What half of a host's distinct articles hold goes, wherever they are dealt; quotes, copies and edited copies stay whole."""
+    notice, quote = "Please note that we use small files on this site to count all visits", "It was the best of times it was the worst of times"
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    page = lambda *blocks: "<nav>menu</nav><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"
+    blocks, kept = {}, {}
+    for i in range(40):
+        kept[i] = [f"Title {i}", own(i), *[quote] * (i % 3 == 0), own(i + 100)]
+        blocks[i] = [*kept[i][:-1], *[notice] * (i % 2), kept[i][-1]]
+    rows = [(i, f"http://h.org/{i}", page(*blocks[i])) for i in range(40)]
+    rows += [(100 + i, f"http://h.org/copy{i}", page(*blocks[0])) for i in range(60)]  # one distinct article, not 60
+    rows += [(200 + i, f"http://e.org/{i}", page(own(7), own(8), f"edited {own(50 + i)}")) for i in range(5)]
+    rows += [(300 + i, f"http://two.org/{i}", page(own(300 + i), notice)) for i in range(2)]
+    rows.append((400, "http://other.org/", page(own(9), notice)))
+    for i in range(40):
+        kept[i] = "\n".join(kept[i])
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    for size in (3, 256):
+        text = {r.page_id: r.text for r in extract_text(pages, size).collect()}
+        assert {i: text[i] for i in range(40)} == kept, size
+        assert {text[100 + i] for i in range(60)} == {kept[0]}
+        assert [text[200 + i] for i in range(5)] == [f"{own(7)}\n{own(8)}\nedited {own(50 + i)}" for i in range(5)]
+        assert [text[300 + i] for i in range(2)] == [f"{own(300 + i)}\n{notice}" for i in range(2)]
+        assert text[400] == f"{own(9)}\n{notice}"
