@@ -12,8 +12,8 @@ from daymark.llm.shared import stored
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the language models don't reject."""
-    models = language_id.learn(docs)
+    """Documents that the language models don't reject. All documents with a language teach them; none is held out."""
+    models = language_id.learn(docs, rows=F.lit(True))
     return language_id.identify(docs, models).where("NOT rejected").select(*docs.columns)
 
 

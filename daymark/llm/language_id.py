@@ -355,12 +355,13 @@ def _judged(docs: DataFrame, models: LanguageModels, make, fields: str, columns:
     return appended(met, ["text", "_sums", "_letters", *columns], arrays, fields).drop("_text_key", "_sums", "_letters")
 
 
-def learn(docs: DataFrame, block_grams: int = BLOCK_GRAMS) -> LanguageModels:
-    """Models of all languages in docs (doc_id, text, lang), from all rows that `learning` allows.
+def learn(docs: DataFrame, block_grams: int = BLOCK_GRAMS, rows: Column | None = None) -> LanguageModels:
+    """Models of all languages in docs (doc_id, text, lang), from all rows that `learning` allows, or all with a language that `rows` does.
 
     The same rows, all of them, calibrate the rejection: Spark scores them and adds up their moments by language.
     """
-    allowed = docs.where(learning(docs) & F.col("text").isNotNull()).select("doc_id", "text", "lang")
+    wanted = learning(docs) if rows is None else rows & F.col("lang").isNotNull()
+    allowed = docs.where(wanted & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     models = LanguageModels(gram_counts(allowed), block_grams)
     langs, judge = models.langs, models.judge
 

@@ -31,3 +31,20 @@ def test_edges(spark):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, table, SF).columns == docs.columns
             stage(spark, table, SF).collect()
+
+
+def test_all_documents_teach_the_languages(spark):
+    """A language of documents that op8 would hold out, or without an id, is known to the pipeline."""
+    from pyspark.sql import functions as F
+
+    from daymark.llm.language_id import held_out
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    text = lambda first: F.translate(F.concat_ws(" ", F.col("id"), F.col("id") * 7919 % 100003), "0123456789", first)
+    row = lambda lang, first: [text(first).alias("text"), F.lit(lang).alias("lang"), F.lit("s").alias("source"), F.lit(9).cast("bigint").alias("n_chars")]
+    some = spark.range(10_000_000, 10_000_600)
+    held = some.select(F.col("id").alias("doc_id"), *row("ja", "あいうえおかきくけこ")).where(held_out())
+    nameless = some.select(F.lit(None).cast("bigint").alias("doc_id"), *row("ru", "абвгдежзик"))
+    kept = corpus_pipeline.known_language(spark, docs.unionByName(held).unionByName(nameless), SF)
+    found = {r.lang: r["count"] for r in kept.groupBy("lang").count().collect()}
+    assert found["ja"] == held.count() > 100 and found["ru"] == 600
