@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.shared import appended, chunks, stored, tasks
+from daymark.llm.shared import appended, bounded_batches, chunks, stored, tasks
 
 ORDER = 4
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -360,6 +360,7 @@ def learn(docs: DataFrame, block_grams: int = BLOCK_GRAMS, rows: Column | None =
 
     The same rows, all of them, calibrate the rejection: Spark scores them and adds up their moments by language.
     """
+    bounded_batches(docs.sparkSession)
     wanted = learning(docs) if rows is None else rows & F.col("lang").isNotNull()
     allowed = docs.where(wanted & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     models = LanguageModels(gram_counts(allowed), block_grams)
@@ -388,6 +389,7 @@ def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
     languages every text is. Equally likely languages: the first by name. Repeated rows are judged
     each; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     judge = models.judge
 
     def predict(texts: list[str], sums: np.ndarray, letters: np.ndarray) -> list:

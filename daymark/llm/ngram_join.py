@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from daymark.llm.components import components
-from daymark.llm.shared import batch_hashes, chunks, key_filter, passing, rolled, stored, word_bytes
+from daymark.llm.shared import batch_hashes, bounded_batches, chunks, key_filter, passing, rolled, stored, word_bytes
 
 GRAM = 5
 PERCENT = 80
@@ -253,6 +253,7 @@ def _settled(pairs: DataFrame, links, roots, rows: DataFrame, members: DataFrame
 def join_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, row_key, class_id, n) of each document; (node, root) of each class that is linked with another."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     texts = docs.select("text")
     kinds = "doc_id string, row_key bigint, class_id bigint, n bigint, marks array<bigint>, slice bigint, counts binary"
     measured = stored(docs.select(F.col("doc_id").cast("string"), _row_key().alias("row_key"), "text").mapInPandas(_measure, kinds), "measured")

@@ -40,12 +40,27 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of rows that go to a Python worker together, as many as its helpers work on at once.
+BATCH_BYTES = 2 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python in batches of BATCH_BYTES, in this session from now on, unless it names a size itself.
+
+    Spark's 10,000 rows or 64 MB stand several times in a task: in Arrow buffers outside the heap, as what
+    the worker reads, and as its strings. Batches bound memory only; no result depends on them.
+    """
+    if not spark.conf.get(_BATCH_SETTING, None):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def tasks(spark: SparkSession) -> int:
     """Partitions for a key shuffle of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def chunks(frames: Iterator[pd.DataFrame], column: str = "text", limit: int = 2 << 20) -> Iterator[pd.DataFrame]:
+def chunks(frames: Iterator[pd.DataFrame], column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pd.DataFrame]:
     """Cut Arrow batches so that each part holds about `limit` characters of text; null becomes the empty text."""
     for frame in frames:
         frame = frame.assign(**{column: [t if isinstance(t, str) else "" for t in frame[column]]})
@@ -211,7 +226,7 @@ def passing(known):
     return passes
 
 
-def appended(df: DataFrame, columns: list[str], make, fields: str, limit: int = 2 << 20) -> DataFrame:
+def appended(df: DataFrame, columns: list[str], make, fields: str, limit: int = BATCH_BYTES) -> DataFrame:
     """df with further columns, computed by make for about `limit` characters of rows at a time.
 
     make gets a list of values for each of `columns`, of which the first is a text (null as the empty

@@ -1,7 +1,10 @@
 import corpus_pipeline
 import duckdb
+import pytest
 from tests.conftest import SF
 
+from daymark.llm import shared
+
 
 def test_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
@@ -48,3 +51,23 @@ def test_all_documents_teach_the_languages(spark):
     kept = corpus_pipeline.known_language(spark, docs.unionByName(held).unionByName(nameless), SF)
     found = {r.lang: r["count"] for r in kept.groupBy("lang").count().collect()}
     assert found["ja"] == held.count() > 100 and found["ru"] == 600
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.known_language, corpus_pipeline.one_of_near_copies])
+def test_texts_go_to_python_in_batches_of_bounded_bytes(spark, stage):
+    """However many rows Spark would send, a worker holds a few MB of texts. A size that the session names stays."""
+    setting, size = "spark.sql.execution.arrow.maxBytesPerBatch", 100_000
+    docs = spark.range(100).selectExpr("id AS doc_id", f"repeat(concat(id, ' word '), {size} div 7) AS text", "'en' AS lang", "'s' AS source", "1L AS n_chars").coalesce(1)
+    bytes_of = lambda frames: (frame[["n"]].assign(n=frame["text"].str.len().sum())[:1] for frame in frames)
+    sent = lambda: [r.n for r in docs.selectExpr("text", "1L AS n").mapInPandas(bytes_of, "n bigint").collect()]
+    before = spark.conf.get(setting, None)
+    try:
+        spark.conf.unset(setting)
+        assert max(sent()) == sum(sent()) > 50 * size
+        assert stage(spark, docs, SF).count() == 100
+        assert max(sent()) <= shared.BATCH_BYTES + size and sum(sent()) > 50 * size
+        spark.conf.set(setting, "1m")
+        stage(spark, docs.limit(2), SF)
+        assert spark.conf.get(setting) == "1m"
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
